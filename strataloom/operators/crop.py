@@ -2,45 +2,38 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.text import window_start
 from ..session import checkpointed
 
 BLOCK = 2048
 
 
-def _crop_block(budget_min: int, max_chains: int, min_resolved: int, min_coverage: float):
-    """Walk one block of an entry's ranked chains from the state it was reached with."""
-    def crop(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("spatial_rank")
-        left, kept = int(pdf["remaining"].iloc[0]), int(pdf["kept"].iloc[0])
-        starts, ends, kinds, done = [], [], [], False
-        for length, center, mask in zip(pdf["length"], pdf["center"], pdf["resolved_mask"]):
-            start = end = kind = None
-            done = done or left < budget_min or kept >= max_chains
-            size = min(int(length), left)
-            if not done and size >= budget_min and not pd.isna(center):
-                if size == length:
-                    start, end, kind = 0, size, "full_context"
-                else:
-                    start = max(0, min(int(center) - size // 2, int(length) - size))
-                    end, kind = start + size, "context_window"
-                if mask is not None:
-                    resolved = int(np.asarray(mask[start:end], dtype=bool).sum())
-                    if resolved < min_resolved or resolved / size < min_coverage:
-                        start = end = kind = None
-                if kind:
-                    left, kept = left - size, kept + 1
-            starts.append(start), ends.append(end), kinds.append(kind)
-        done = done or left < budget_min or kept >= max_chains
-        return pd.DataFrame({
-            "entry": pdf["entry"].to_numpy(), "chain": pdf["chain"].to_numpy(),
-            "spatial_rank": pdf["spatial_rank"].to_numpy(),
-            "start": pd.array(starts, dtype="Int64"), "end": pd.array(ends, dtype="Int64"), "kind": kinds,
-            "remaining": left, "kept": kept, "done": done})
-    return crop
+def _walk(rows: Column, remaining: Column, kept: Column, min_length: int, max_chains: int,
+          min_resolved: int, min_coverage: float, pick_type: str) -> Column:
+    """Fold over an entry's ranked chains: what is left, how many are kept, and the picks."""
+    start_state = F.struct(
+        remaining.alias("remaining"), kept.alias("kept"), F.array().cast(f"array<{pick_type}>").alias("picks"))
+
+    def step(state: Column, chain: Column) -> Column:
+        size = F.least(chain["length"], state["remaining"])
+        start = F.when(size == chain["length"], F.lit(0).cast("bigint")).otherwise(
+            window_start(chain["length"], size, chain["center"]))
+        resolved = F.get(chain["prefix"], start + size) - F.get(chain["prefix"], start)
+        good = chain["prefix"].isNull() | (
+            (resolved >= min_resolved) & (resolved / F.greatest(size, F.lit(1)) >= F.lit(float(min_coverage))))
+        take = ((state["remaining"] >= min_length) & (state["kept"] < max_chains)
+                & (size >= min_length) & chain["center"].isNotNull() & good)
+        pick = F.struct(
+            chain["chain"].alias("chain"), chain["spatial_rank"].alias("spatial_rank"), start.alias("start"),
+            (start + size).alias("end"),
+            F.when(size == chain["length"], "full_context").otherwise("context_window").alias("kind"))
+        return F.when(take, F.struct(
+            (state["remaining"] - size).alias("remaining"), (state["kept"] + 1).alias("kept"),
+            F.concat(state["picks"], F.array(pick).cast(f"array<{pick_type}>")).alias("picks"))).otherwise(state)
+
+    return F.aggregate(rows, start_state, step)
 
 
 def budget_crop(
@@ -51,41 +44,48 @@ def budget_crop(
 
     ``chains`` columns: entry, chain, length, is_target, spatial_rank (from 1, NULL for the
     target), center (nearest residue, NULL when there is none) and optionally ``resolved_mask``
-    (one boolean per residue), needed when a quality gate is set. In rank order a chain is kept
+    (one boolean per residue), which the quality gate needs. In rank order a chain is kept
     whole if it fits, else as one centred window of what is left; a chain that fails the gate
     costs nothing; the walk stops when less than ``min_length`` is left or ``max_chains`` are
     kept. Chains are walked in blocks of ``block`` ranks, and only entries that are not finished
     go on to their next block, so an entry of any size never sits in one task.
     """
-    if "resolved_mask" not in chains.columns:
-        chains = chains.withColumn("resolved_mask", F.lit(None).cast("array<boolean>"))
+    gated = "resolved_mask" in chains.columns and (min_resolved > 0 or min_coverage > 0)
     target = chains.where("is_target").select("entry", F.col("chain").alias("target"), F.col("length").alias("target_length"))
     too_long = target.where(F.col("target_length") > budget)
     skipped = too_long.withColumn("reason", F.lit("target_too_long_for_complete_crop"))
     fits = target.where(F.col("target_length") <= budget)
     state = fits.select("entry", (F.lit(budget) - F.col("target_length")).cast("bigint").alias("remaining"), F.lit(1).cast("bigint").alias("kept"))
+    # resolved residues before each position, so that a window is two look-ups
+    prefix = F.when(F.col("resolved_mask").isNotNull(), F.aggregate(
+        "resolved_mask", F.array(F.lit(0)),
+        lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.coalesce(x.cast("int"), F.lit(0)))))) \
+        if gated else F.lit(None).cast("array<int>")
     context = chains.where("not is_target").withColumn(
         "__block", F.floor((F.col("spatial_rank") - 1) / block).cast("int"))
     context = checkpointed(context.select(
         "entry", "chain", F.col("length").cast("bigint").alias("length"), F.col("center").cast("bigint").alias("center"),
-        F.col("spatial_rank").cast("bigint").alias("spatial_rank"), "resolved_mask", "__block"))
+        F.col("spatial_rank").cast("bigint").alias("spatial_rank"), prefix.alias("prefix"), "__block"))
     blocks = context.agg(F.max("__block")).first()[0]
-    entry_type, chain_type = (chains.schema[c].dataType.simpleString() for c in ("entry", "chain"))
-    schema = (f"entry {entry_type}, chain {chain_type}, spatial_rank bigint, start bigint, end bigint, kind string, "
-              "remaining bigint, kept bigint, done boolean")
+    chain_type = chains.schema["chain"].dataType.simpleString()
+    pick_type = f"struct<chain:{chain_type},spatial_rank:bigint,start:bigint,end:bigint,kind:string>"
     crops = fits.select(
         "entry", F.col("target").alias("chain"), F.lit(0).cast("bigint").alias("spatial_rank"),
         F.lit(0).cast("bigint").alias("start"), F.col("target_length").cast("bigint").alias("end"),
         F.lit("full_target").alias("kind"))
     for at in range(0 if blocks is None else blocks + 1):
-        part = context.where(F.col("__block") == at).drop("__block").join(state, "entry")
-        walked = part.groupBy("entry").applyInPandas(
-            _crop_block(min_length, max_chains, min_resolved, min_coverage), schema)
+        part = context.where(F.col("__block") == at).join(state, "entry").groupBy("entry").agg(
+            F.array_sort(F.collect_list(F.struct("spatial_rank", "chain", "length", "center", "prefix"))).alias("rows"),
+            F.first("remaining").alias("remaining"), F.first("kept").alias("kept"))  # at most ``block`` rows each
+        walked = part.select("entry", _walk(
+            F.col("rows"), F.col("remaining"), F.col("kept"), min_length, max_chains,
+            min_resolved, min_coverage, pick_type).alias("end"))
         if blocks:
             walked = checkpointed(walked)
-        crops = crops.unionByName(walked.where("kind is not null").select(crops.columns))
+        crops = crops.unionByName(walked.select("entry", F.explode("end.picks").alias("p")).select("entry", "p.*"))
         if at < blocks:
-            state = checkpointed(walked.where("not done").select("entry", "remaining", "kept").distinct())
+            state = checkpointed(walked.select("entry", "end.remaining", "end.kept").where(
+                (F.col("remaining") >= min_length) & (F.col("kept") < max_chains)))
             if state.isEmpty():
                 break
     return crops, skipped
