@@ -58,7 +58,7 @@ def adjacent_pairs(orders: DataFrame) -> DataFrame:
     pairs = F.when(n > 1, F.arrays_zip(
         F.slice("domain_order", F.lit(1), n - 1).alias("l"), F.slice("domain_order", F.lit(2), n - 1).alias("r")))
     return orders.select("doc_id", "order_id", F.posexplode(pairs).alias("at", "p")).select(
-        "doc_id", "order_id", "at", F.col("p.0").alias("left"), F.col("p.1").alias("right"))
+        "doc_id", "order_id", "at", F.col("p.l").alias("left"), F.col("p.r").alias("right"))
 
 
 def linker_problems(linkers: DataFrame, orders: DataFrame, domains: DataFrame, direct: DataFrame) -> DataFrame:

@@ -227,11 +227,15 @@ def fingerprint(df: DataFrame, group: Sequence[str], order: Sequence[str | Colum
         (F.col(o) if isinstance(o, str) else o).alias(f"__o{i}") for i, o in enumerate(order)]),
         [f"__o{i}" for i in range(len(order))], "__pos", group).select(*group, "__pos", "__v")
     counts = level.groupBy(*group).agg(F.count("*").alias("n_ids"))
+    done = F.lit(False)
     while True:
         rows = F.array_sort(F.collect_list(F.struct("__pos", "__v")))
-        level = level.groupBy(*group, F.floor((F.col("__pos") - 1) / chunk).alias("__c")).agg(
-            F.sha2(F.array_join(F.transform(rows, lambda r: r["__v"]), "\n"), 256).alias("__v"))
-        level = checkpointed(level.select(*group, (F.col("__c") + 1).alias("__pos"), "__v"))
+        level = level.groupBy(*group, F.floor((F.col("__pos") - 1) / chunk).alias("__c")).agg(rows.alias("__r"))
+        digest = F.sha2(F.array_join(F.transform("__r", lambda r: r["__v"]), "\n"), 256)
+        # a group down to one digest is finished, whatever the other groups still need
+        level = level.select(*group, (F.col("__c") + 1).alias("__pos"), F.when(
+            done & (F.col("__c") == 0) & (F.size("__r") == 1), F.get("__r", F.lit(0))["__v"]).otherwise(digest).alias("__v"))
+        level, done = checkpointed(level), F.lit(True)
         if level.agg(F.max("__pos")).first()[0] in (None, 1):
             break
     return counts.join(level.select(*group, F.col("__v").alias("ids_sha256")), list(group)) if group else \

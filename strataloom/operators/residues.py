@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions import text as X
 from ..functions.align import identity
 from ..functions.vector import vec
+from ..session import shuffle_width
 
 ATOM_NAMES = ("N", "CA", "C", "O")
 
@@ -165,6 +166,9 @@ def target_identity(chains: DataFrame, entry: str, id: str, is_target: str, enti
     pairs = chains.join(target, entry).withColumn("__known",
         F.when((F.col(entity) == F.col("__e")) | (F.col(seq) == F.col("__s")), F.lit(1.0))
         .when(F.col(cluster) != F.col("__c"), F.lit(0.0)))
-    left = F.when(F.col("__known").isNull(), F.col("__s"))
-    right = F.when(F.col("__known").isNull(), F.col(seq))
-    return pairs.select(entry, "chain_a", F.col(id).alias("chain_b"), F.coalesce("__known", identity(left, right)).alias("identity"))
+    columns = [entry, "chain_a", F.col(id).alias("chain_b")]
+    settled = pairs.where(F.col("__known").isNotNull()).select(*columns, F.col("__known").alias("identity"))
+    # alignment cost is quadratic in length: spread the open pairs evenly, whatever their entry
+    open_pairs = pairs.where(F.col("__known").isNull()).select(*columns, "__s", seq).repartition(
+        max(shuffle_width(chains.sparkSession), chains.sparkSession.sparkContext.defaultParallelism), entry, "chain_b")
+    return settled.unionByName(open_pairs.select(entry, "chain_a", "chain_b", identity(F.col("__s"), F.col(seq)).alias("identity")))

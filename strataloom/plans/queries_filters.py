@@ -117,7 +117,7 @@ def sequence_hashes(t):
 
 
 @query("size_strings", """
-SELECT p_partkey, CAST(p_size * CASE p_partkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 1024 WHEN 2 THEN 1048576 ELSE 1073741824 END AS BIGINT) AS bytes FROM part""")
+SELECT p_partkey, CAST(p_size::BIGINT * CASE p_partkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 1024 WHEN 2 THEN 1048576 ELSE 1073741824 END AS BIGINT) AS bytes FROM part""")
 def size_strings(t):
     unit = F.get(F.array(F.lit(""), F.lit("k"), F.lit("m"), F.lit("G")), (F.col("p_partkey") % 4).cast("int"))
     return t.part.select("p_partkey", X.size_bytes(F.concat(F.col("p_size").cast("string"), unit)).alias("bytes"))
@@ -174,19 +174,19 @@ def codon_translate(t):
 
 
 @query("residue_labels", """
-SELECT item_id, list_sum([greatest(instr('ACDEFGHIKLMNPQRSTVWYX', c) - 1, 0) FOR c IN string_split(upper(text), '')])::BIGINT AS label_sum,
-  len([c FOR c IN string_split(upper(text), '') IF instr('ACDEFGHIKLMNPQRSTVWYX', c) > 0])::BIGINT AS known FROM benchmark""")
+SELECT item_id, list_sum([greatest(instr('ACDEFGHIKLMNPQRSTVWYX', c) - 1, 0) FOR c IN string_split(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), '')])::BIGINT AS label_sum,
+  len([c FOR c IN string_split(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), '') IF instr('ACDEFGHIKLMNPQRSTVWYX', c) > 0])::BIGINT AS known FROM benchmark""")
 def residue_labels(t):
-    labels = F.transform(F.split(F.upper("text"), ""), lambda c: X.residue_label(c))
+    labels = F.transform(F.split(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), ""), lambda c: X.residue_label(c))
     b = t.benchmark.select("item_id", F.filter(labels, lambda x: x.isNotNull()).alias("l"))
     return b.select("item_id", F.aggregate("l", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("label_sum"), F.size("l").cast("bigint").alias("known"))
 
 
 @query("labels_to_sequence", """
-SELECT item_id, string_agg(c, '' ORDER BY i) AS seq FROM (SELECT item_id, i, substr(upper(text), i, 1) AS c FROM benchmark, range(1, 500) r(i) WHERE i <= length(text))
-WHERE instr('ACDEFGHIKLMNPQRSTVWYX', c) > 0 AND (i % 3 <> 0) GROUP BY item_id""")
+SELECT item_id, coalesce(string_agg(c, '' ORDER BY i) FILTER (instr('ACDEFGHIKLMNPQRSTVWYX', c) > 0 AND i % 3 <> 0), '') AS seq
+FROM (SELECT item_id, i, substr(text, i, 1) AS c FROM (SELECT *, unnest(range(1, length(text) + 1)) AS i FROM benchmark)) GROUP BY item_id""")
 def labels_to_sequence(t):
-    letters = F.split(F.upper("text"), "")
+    letters = F.split("text", "")
     labels = F.transform(letters, lambda c: F.coalesce(X.residue_label(c), F.lit(0)))
     mask = F.transform(letters, lambda c, i: (X.residue_label(c).isNotNull() & ((i + 1) % 3 != 0)).cast("int"))
     b = t.benchmark.select("item_id", labels.alias("l"), mask.alias("m"))
@@ -350,6 +350,6 @@ def relative_offsets(t):
 @query("file_sets", """
 SELECT o_custkey AS k, CASE WHEN in_l AND NOT in_r THEN 'left_only' ELSE 'right_only' END AS side FROM (
   SELECT k AS o_custkey, bool_or(s = 'l') AS in_l, bool_or(s = 'r') AS in_r FROM (
-    SELECT DISTINCT o_custkey AS k, 'l' AS s FROM orders UNION ALL SELECT c_custkey, 'r' FROM customer) GROUP BY k) WHERE in_l <> in_r""")
+    SELECT DISTINCT o_custkey AS k, 'l' AS s FROM orders WHERE o_totalprice > 200000 UNION ALL SELECT c_custkey, 'r' FROM customer WHERE c_acctbal > 0) GROUP BY k) WHERE in_l <> in_r""")
 def file_sets(t):
-    return set_difference(t.orders.select(F.col("o_custkey").alias("k")).distinct(), t.customer.select(F.col("c_custkey").alias("k")))
+    return set_difference(t.orders.where("o_totalprice > 200000").select(F.col("o_custkey").alias("k")).distinct(), t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("k")))
