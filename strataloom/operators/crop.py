@@ -51,6 +51,9 @@ def budget_crop(
     go on to their next block, so an entry of any size never sits in one task.
     """
     gated = "resolved_mask" in chains.columns and (min_resolved > 0 or min_coverage > 0)
+    # everything below starts from these columns: write them once
+    chains = checkpointed(chains.select(
+        "entry", "chain", "length", "is_target", "spatial_rank", "center", *(["resolved_mask"] if gated else [])))
     target = chains.where("is_target").select("entry", F.col("chain").alias("target"), F.col("length").alias("target_length"))
     too_long = target.where(F.col("target_length") > budget)
     skipped = too_long.withColumn("reason", F.lit("target_too_long_for_complete_crop"))
@@ -63,9 +66,9 @@ def budget_crop(
         if gated else F.lit(None).cast("array<int>")
     context = chains.where("not is_target").withColumn(
         "__block", F.floor((F.col("spatial_rank") - 1) / block).cast("int"))
-    context = checkpointed(context.select(
+    context = context.select(
         "entry", "chain", F.col("length").cast("bigint").alias("length"), F.col("center").cast("bigint").alias("center"),
-        F.col("spatial_rank").cast("bigint").alias("spatial_rank"), prefix.alias("prefix"), "__block"))
+        F.col("spatial_rank").cast("bigint").alias("spatial_rank"), prefix.alias("prefix"), "__block")
     blocks = context.agg(F.max("__block")).first()[0]
     chain_type = chains.schema["chain"].dataType.simpleString()
     pick_type = f"struct<chain:{chain_type},spatial_rank:bigint,start:bigint,end:bigint,kind:string>"

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..functions.text import rank_hash
 from ..session import checkpointed
@@ -132,23 +132,31 @@ def stratified_pick(
                   bin_label(F.col(length), bins).alias("length_bin")))
     if not rows.where(F.col("length_bin").isNull()).isEmpty():
         raise ValueError("a record lies outside all length bins")
-    per_bin = checkpointed(greedy_unique(rows, rank, (cluster, content), within=["length_bin"]))
-    sizes = {r["length_bin"]: r["count"] for r in per_bin.groupBy("length_bin").count().collect()}
     base, extra = divmod(count, len(bins))
     quota = {label: base + (i < extra) for i, (label, _, _) in enumerate(bins)}
+    # A picked record blocks at most two candidates of a bin, one by cluster and one by content,
+    # so the first quota + 2 * count of each bin are all the walk below can reach.
+    w = W.partitionBy("length_bin").orderBy(*rank)
+    firsts = greedy_unique(rows, rank, (cluster, content), within=["length_bin"]).select(
+        "*", F.row_number().over(w).alias("__rn"), F.count("*").over(W.partitionBy("length_bin")).alias("__size"))
+    candidates: dict[str, list] = {}
+    for r in firsts.where(F.col("__rn") <= base + 1 + 2 * count).orderBy("length_bin", "__rn").collect():
+        candidates.setdefault(r["length_bin"], []).append(r)
+    sizes = {label: found[0]["__size"] for label, found in candidates.items()}
     picked: list = []
-
-    def free(pool: DataFrame) -> DataFrame:
-        if not picked:
-            return pool
-        return pool.where(~F.col(cluster).isin([r[cluster] for r in picked])
-                          & ~F.col(content).isin([r[content] for r in picked]))
-
-    for label, first, _ in sorted(bins, key=lambda b: (sizes.get(b[0], 0), b[1])):
-        if quota[label] and sizes.get(label):
-            picked += free(per_bin.where(F.col("length_bin") == label)).orderBy(*rank).limit(quota[label]).collect()
+    used_clusters, used_contents = set(), set()
+    for label, _, _ in sorted(bins, key=lambda b: (sizes.get(b[0], 0), b[1])):
+        taken = 0
+        for r in candidates.get(label, ()):
+            if taken == quota[label]:
+                break
+            if r[cluster] not in used_clusters and r[content] not in used_contents:
+                picked.append(r)
+                used_clusters.add(r[cluster]), used_contents.add(r[content])
+                taken += 1
     if len(picked) < count:
-        rest = greedy_unique(free(rows), rank, (cluster, content))
+        left = rows.where(~F.col(cluster).isin(list(used_clusters)) & ~F.col(content).isin(list(used_contents)))
+        rest = greedy_unique(left, rank, (cluster, content))
         picked += rest.orderBy(*rank).limit(count - len(picked)).collect()
     if len(picked) < count:
         raise ValueError(f"only {len(picked)} of {count} records can be picked")

@@ -12,7 +12,7 @@ from ..functions import text as X
 from ..functions.vector import distance
 from ..session import checkpointed
 from .pairs import contact_agreement
-from .scale import exact_median, row_numbers
+from .scale import quantile_of_counts, row_numbers, value_counts
 
 TRAINING_TOKENS = 2000.0
 SMOOTHING = 0.1
@@ -101,27 +101,38 @@ def to_long(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataF
     return df.unpivot(list(keys), [F.col(m).cast("double").alias(m) for m in metrics], "metric", "value")
 
 
-def long_summary(long: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """count, mean, exact median, min, max of ``value`` per keys."""
-    stats = long.where("value is not null").groupBy(*keys).agg(
-        F.count("*").alias("count"), F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"))
-    return stats.join(exact_median(long, keys, "value", "median"), list(keys))
+def counts_summary(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """count, mean, exact median, min, max per keys of a ``value_counts`` table."""
+    stats = counts.groupBy(*keys).agg(
+        F.sum("n").alias("count"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    return stats.join(quantile_of_counts(counts, keys, "value", 0.5, "median"), list(keys))
+
+
+def coarser(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same table under fewer keys."""
+    return counts.groupBy(*keys, "value").agg(F.sum("n").alias("n"))
 
 
 def metric_summary(df: DataFrame, metrics: Sequence[str], group: str | None = None) -> DataFrame:
-    """Summary per metric, overall (scope ``overall``) and per value of ``group``."""
-    long = to_long(df, [group] if group else [], metrics)
-    overall = F.lit("overall")
-    if group is None:
-        return long_summary(long.withColumn("scope", overall), ["scope", "metric"])
-    scoped = long.select(F.explode(F.array(overall, F.col(group).cast("string"))).alias("scope"), "metric", "value")
-    return long_summary(scoped, ["scope", "metric"])
+    """Summary per metric, overall (scope ``overall``) and per value of ``group``.
+
+    The rows are read once, into counts per distinct value; both scopes come from those.
+    """
+    keys = ["metric"] if group is None else [group, "metric"]
+    counts = checkpointed(value_counts(to_long(df, keys[:-1], metrics), keys, "value"))
+    columns = ["scope", "metric", "value", "n"]
+    overall = coarser(counts, ["metric"]).withColumn("scope", F.lit("overall")).select(columns)
+    if group is not None:
+        overall = overall.unionByName(counts.withColumn("scope", F.col(group).cast("string")).select(columns))
+    return counts_summary(overall, ["scope", "metric"])
 
 
 def model_summary(df: DataFrame, model: str, record: str, metrics: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Summaries by model and by record and model."""
-    long = to_long(df, [model, record], metrics)
-    return long_summary(long, [model, "metric"]), long_summary(long, [record, model, "metric"])
+    fine = checkpointed(value_counts(to_long(df, [model, record], metrics), [record, model, "metric"], "value"))
+    return (counts_summary(coarser(fine, [model, "metric"]), [model, "metric"]),
+            counts_summary(fine, [record, model, "metric"]))
 
 
 def safe_corr(x: Column, y: Column) -> Column:

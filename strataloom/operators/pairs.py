@@ -17,7 +17,8 @@ from ..session import checkpointed
 from .scale import ordered_scan, row_numbers
 
 TILE_ROWS = 1024
-_TILE_SCHEMA = "tile int, n int, ids array<bigint>, data binary, aux binary, low array<double>, high array<double>"
+_TILE_SCHEMA = ("tile int, n int, ids array<bigint>, data binary, aux binary, low array<double>, high array<double>, "
+                "bound double")
 
 
 def _z_order(vec: Column, cell: float) -> Column:
@@ -32,23 +33,29 @@ def _z_order(vec: Column, cell: float) -> Column:
     return out
 
 
-def _pack(batches):
-    for pdf in batches:
-        out = []
-        for row in pdf.itertuples(index=False):
-            points = np.stack([np.asarray(r["vec"], dtype=np.float64) for r in row.rows])
-            ids = np.array([r["id"] for r in row.rows], dtype=np.int64)
-            aux = np.stack([np.asarray(r["aux"], dtype=np.float64) for r in row.rows])
-            by_id = np.argsort(ids)
-            points, ids, aux = points[by_id], ids[by_id], aux[by_id]
-            out.append((*row[:-1], len(ids), ids, points.tobytes(), aux.tobytes(),
-                        points.min(axis=0), points.max(axis=0)))
-        yield pd.DataFrame(out, columns=[*pdf.columns[:-1], "n", "ids", "data", "aux", "low", "high"])
+def _pack(k: int, eps: float):
+    """Tile rows to packed arrays, boxes and, for k > 0, the k-th distance every row reaches inside."""
+    def pack(batches):
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                points = np.stack([np.asarray(r["vec"], dtype=np.float64) for r in row.rows])
+                ids = np.array([r["id"] for r in row.rows], dtype=np.int64)
+                aux = np.stack([np.asarray(r["aux"], dtype=np.float64) for r in row.rows])
+                by_id = np.argsort(ids)
+                points, ids, aux = points[by_id], ids[by_id], aux[by_id]
+                bound = float("inf")
+                if 0 < k <= len(ids):
+                    bound = float(np.partition(_distances(points, points, eps), k - 1, axis=1)[:, k - 1].max())
+                out.append((*row[:-1], len(ids), ids, points.tobytes(), aux.tobytes(),
+                            points.min(axis=0), points.max(axis=0), bound))
+            yield pd.DataFrame(out, columns=[*pdf.columns[:-1], "n", "ids", "data", "aux", "low", "high", "bound"])
+    return pack
 
 
 def make_tiles(
     df: DataFrame, group: Sequence[str], id: str, vec: str, aux: str | None = None,
-    tile_rows: int = TILE_ROWS, cell: float = 8.0,
+    tile_rows: int = TILE_ROWS, cell: float = 8.0, k: int = 0, eps: float = 0.0,
 ) -> DataFrame:
     """One row per tile of at most ``tile_rows`` rows: ids, packed vectors, bounding box.
 
@@ -63,7 +70,7 @@ def make_tiles(
     packed = numbered.groupBy(*group, F.floor((F.col("__at") - 1) / tile_rows).cast("int").alias("tile")).agg(
         F.collect_list(F.struct("id", "vec", "aux")).alias("rows"))  # at most tile_rows entries
     types = [f"{g} {df.schema[g].dataType.simpleString()}" for g in group]
-    return checkpointed(packed.mapInPandas(_pack, ", ".join([*types, _TILE_SCHEMA])))
+    return checkpointed(packed.mapInPandas(_pack(k, eps), ", ".join([*types, _TILE_SCHEMA])))
 
 
 def box_distance(a_low: Column, a_high: Column, b_low: Column, b_high: Column) -> Column:
@@ -98,20 +105,6 @@ def _best_k(dist: np.ndarray, ids: np.ndarray, k: int):
     return r[keep], dist[r[keep], c[keep]], ids[c[keep]]
 
 
-def _own_bound(k: int, eps: float):
-    @F.pandas_udf("double")
-    def bound(n: pd.Series, data: pd.Series) -> pd.Series:
-        out = []
-        for rows, raw in zip(n, data):
-            if rows < k:
-                out.append(float("inf"))
-                continue
-            p = _points(raw, rows)
-            out.append(float(np.partition(_distances(p, p, eps), k - 1, axis=1)[:, k - 1].max()))
-        return pd.Series(out)
-    return bound
-
-
 def _tile_neighbours(group: Sequence[str], k: int, eps: float):
     width = len(group)
 
@@ -143,8 +136,7 @@ def knn_edges(
     in space; the result is exact either way.
     """
     valid = df if mask is None else df.where(F.col(mask))
-    tiles = make_tiles(valid, group, id, vec, tile_rows=tile_rows, cell=cell)
-    tiles = checkpointed(tiles.withColumn("bound", _own_bound(k, eps)("n", "data")))
+    tiles = make_tiles(valid, group, id, vec, tile_rows=tile_rows, cell=cell, k=k, eps=eps)
     meta = tiles.select(*group, "tile", "low", "high", "bound")
     a = meta.select(*group, F.col("tile").alias("ta"), F.col("low").alias("al"), F.col("high").alias("ah"), "bound")
     b = meta.select(*group, F.col("tile").alias("tb"), F.col("low").alias("bl"), F.col("high").alias("bh"))

@@ -51,22 +51,56 @@ def with_group_agg(
     return salted.join(merged, [*keys, "__salt"]).drop("__salt")
 
 
+#: Groups of at most this many rows are sorted by one task.
+GROUP_ROWS = 1_000_000
+
+
 def ordered_scan(
     df: DataFrame,
     order: Sequence[str | Column],
     aggs: Mapping[str, tuple[str, str]],
     keys: Sequence[str] = (),
     exclusive: Sequence[str] = (),
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Running ``{out: (kind, column)}`` aggregates in ``order`` inside ``keys``.
 
     Kinds: sum, count, min, max. ``order`` must be total (end it with a unique id). Outputs
     named in ``exclusive`` leave the current row out (NULL, or 0 for sum and count, on the
-    first row). Rows are range partitioned by (keys, order), so a key may span any number of
-    tasks; only one summary row per (key, range) is carried across ranges. The ranges are
-    written once, because both passes must see the same boundaries even after a lost executor.
+    first row). Groups are counted first. Those of at most ``group_rows`` rows run as a plain
+    window; the rows of larger ones are range partitioned, see ``_range_scan``.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
+    large = df.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > group_rows).drop("__n")
+    if large.isEmpty():
+        return _window_scan(df, order, aggs, keys, exclusive)
+    if not keys:
+        return _range_scan(df, order, aggs, keys, exclusive)
+    # at most total / group_rows keys are large
+    large = checkpointed(large)
+    small_part = _window_scan(df.join(large, list(keys), "left_anti"), order, aggs, keys, exclusive)
+    return small_part.unionByName(_range_scan(df.join(large, list(keys), "left_semi"), order, aggs, keys, exclusive))
+
+
+def _running(kind: str, column: str, out: str, window, exclusive: Sequence[str]) -> Column:
+    return _PARTIAL[kind](column).over(window.rowsBetween(W.unboundedPreceding, -1 if out in exclusive else 0))
+
+
+def _window_scan(df: DataFrame, order, aggs, keys, exclusive) -> DataFrame:
+    window = W.partitionBy(*keys).orderBy(*order)
+    columns = []
+    for out, (kind, column) in aggs.items():
+        value = _running(kind, column, out, window, exclusive)
+        columns.append((F.coalesce(value, F.lit(0)) if kind in ("sum", "count") else value).alias(out))
+    return df.select(*df.columns, *columns)
+
+
+def _range_scan(df: DataFrame, order, aggs, keys, exclusive) -> DataFrame:
+    """The scan over range partitions of (keys, order): a key may span any number of tasks.
+
+    Only one summary row per (key, range) is carried across ranges. The ranges are written once,
+    because both passes must see the same boundaries even after a lost executor.
+    """
     ranged = checkpointed(
         df.repartitionByRange(*[F.col(k) for k in keys], *order)
         .withColumn("__range", F.spark_partition_id())
@@ -80,34 +114,30 @@ def ordered_scan(
         *[_MERGE[kind](f"__{out}").over(before).alias(f"__{out}") for out, (kind, _) in aggs.items()],
     )
     local = W.partitionBy(*keys, "__range").orderBy(*order)
-    out_columns = []
+    columns = []
     for out, (kind, column) in aggs.items():
-        end = -1 if out in exclusive else 0
-        running = _PARTIAL[kind](column).over(local.rowsBetween(W.unboundedPreceding, end))
-        carry = F.col(f"__{out}")
+        value, carry = _running(kind, column, out, local, exclusive), F.col(f"__{out}")
         if kind in ("sum", "count"):
-            value = F.coalesce(running, F.lit(0)) + F.coalesce(carry, F.lit(0))
+            value = F.coalesce(value, F.lit(0)) + F.coalesce(carry, F.lit(0))
         else:
-            value = (F.least if kind == "min" else F.greatest)(running, carry)
-        out_columns.append(value.alias(out))
-    return ranged.join(carried, [*keys, "__range"]).select(*df.columns, *out_columns)
+            value = (F.least if kind == "min" else F.greatest)(value, carry)
+        columns.append(value.alias(out))
+    return ranged.join(carried, [*keys, "__range"]).select(*df.columns, *columns)
 
 
-def exact_quantile(
-    df: DataFrame, keys: Sequence[str], value: str, at: float, out: str,
-) -> DataFrame:
-    """Linear-interpolated quantile of ``value`` per ``keys``, exact at any group size.
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(keys, value, n): rows per distinct value, the form order statistics are read from."""
+    return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
 
-    Equal values are counted before the scan, so the work after the first aggregation grows
-    with the distinct values only.
-    """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    scanned = ordered_scan(counted, [value], {"__cum": ("sum", "__n")}, keys)
-    totals = counted.groupBy(*keys).agg(F.sum("__n").alias("__total"))
+
+def quantile_of_counts(counts: DataFrame, keys: Sequence[str], value: str, at: float, out: str) -> DataFrame:
+    """Linear-interpolated quantile of a ``value_counts`` table, exact at any group size."""
+    scanned = ordered_scan(counts, [value], {"__cum": ("sum", "n")}, keys)
+    totals = counts.groupBy(*keys).agg(F.sum("n").alias("__total"))
     placed = scanned.join(totals, list(keys)) if keys else scanned.crossJoin(totals)
     rank = F.lit(float(at)) * (F.col("__total") - 1)
     low, high = F.floor(rank), F.ceil(rank)
-    first, last = F.col("__cum") - F.col("__n"), F.col("__cum") - 1
+    first, last = F.col("__cum") - F.col("n"), F.col("__cum") - 1
     hit_low = (first <= low) & (low <= last)
     hit_high = (first <= high) & (high <= last)
     picked = placed.where(hit_low | hit_high).groupBy(*keys).agg(
@@ -120,12 +150,19 @@ def exact_quantile(
     )
 
 
+def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, at: float, out: str) -> DataFrame:
+    """Exact quantile of ``value`` per ``keys``. Equal values are counted before the scan."""
+    return quantile_of_counts(checkpointed(value_counts(df, keys, value)), keys, value, at, out)
+
+
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     return exact_quantile(df, keys, value, 0.5, out)
 
 
-def row_numbers(df: DataFrame, order: Sequence[str | Column], out: str, keys: Sequence[str] = ()) -> DataFrame:
+def row_numbers(
+    df: DataFrame, order: Sequence[str | Column], out: str, keys: Sequence[str] = (), group_rows: int = GROUP_ROWS,
+) -> DataFrame:
     """1-based position in ``order`` inside ``keys`` by a distributed scan."""
     return ordered_scan(
-        df.withColumn("__one", F.lit(1).cast("bigint")), order, {out: ("sum", "__one")}, keys
+        df.withColumn("__one", F.lit(1).cast("bigint")), order, {out: ("sum", "__one")}, keys, group_rows=group_rows
     ).drop("__one")

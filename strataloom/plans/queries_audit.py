@@ -200,10 +200,10 @@ def enqueue_collisions(t):
 LEDGER_SQL = """
 WITH ev AS (SELECT event_id, user_id, CASE event_type WHEN 'signup' THEN 'claim' WHEN 'view' THEN 'renew' ELSE 'finish' END AS kind,
   CASE event_type WHEN 'purchase' THEN CASE WHEN event_id % 7 = 0 THEN 'succeeded' ELSE 'retryable' END WHEN 'error' THEN 'retryable' END AS status,
-  epoch_ms(ts) // 1000 AS at, CAST(floor(value * 60) AS BIGINT) AS lease, ts FROM events WHERE event_type <> 'click'),
-num AS (SELECT *, count(*) FILTER (kind = 'claim') OVER (PARTITION BY user_id ORDER BY at, event_id) AS attempt FROM ev),
-att AS (SELECT user_id AS work_id, attempt, min(at) FILTER (kind = 'claim') AS claimed_at, max(at + lease) FILTER (kind IN ('claim', 'renew')) AS lease_expires_at,
-  min(at) FILTER (kind = 'finish') AS finished_at, arg_min(status, at * 1000000 + CASE status WHEN 'retryable' THEN 0 ELSE 1 END) FILTER (kind = 'finish') AS fs FROM num WHERE attempt > 0 GROUP BY 1, 2),
+  epoch_us(ts) // 1000000 AS tm, CAST(floor(value * 60) AS BIGINT) AS lease, ts FROM events WHERE event_type <> 'click'),
+num AS (SELECT *, count(*) FILTER (kind = 'claim') OVER (PARTITION BY user_id ORDER BY tm, event_id) AS attempt FROM ev),
+att AS (SELECT user_id AS work_id, attempt, min(tm) FILTER (kind = 'claim') AS claimed_at, max(tm + lease) FILTER (kind IN ('claim', 'renew')) AS lease_expires_at,
+  min(tm) FILTER (kind = 'finish') AS finished_at, arg_min(status, tm * 1000000 + CASE status WHEN 'retryable' THEN 0 ELSE 1 END) FILTER (kind = 'finish') AS fs FROM num WHERE attempt > 0 GROUP BY 1, 2),
 st AS (SELECT work_id, attempt, claimed_at, lease_expires_at, finished_at, CASE WHEN fs IS NOT NULL THEN fs WHEN lead(attempt) OVER (PARTITION BY work_id ORDER BY attempt) IS NOT NULL THEN 'lease_expired' ELSE 'running' END AS status FROM att),
 ex AS (SELECT * REPLACE (CASE WHEN status = 'running' AND lease_expires_at <= 1706500000 THEN 'lease_expired' ELSE status END AS status) FROM st),
 items AS (SELECT user_id AS work_id, user_id % 20 + 1 AS max_attempts FROM (SELECT DISTINCT user_id FROM events)),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.vector import rbf
 from ..operators import crop as K, greedy as G, pairs as P, select as S
+from ..session import checkpointed
 from .registry import query
 
 
@@ -114,7 +115,7 @@ def running_best(t):
     return S.running_best(rows, "user_id", "event_id", "value").select("user_id", "event_id", "best_before", "improved")
 
 
-BINS = G.length_bins(1, 40000, 8)
+BINS = G.length_bins(1, 200000, 40)
 BIN_SQL = "CASE " + " ".join(f"WHEN n_chars BETWEEN {a} AND {b} THEN '{n}'" for n, a, b in BINS) + " END"
 
 
@@ -157,7 +158,7 @@ def eligibility_funnel(t):
     ]).withColumnRenamed("rows", "n_rows")
 
 
-PICK_BINS = G.length_bins(1, 40000, 10)
+PICK_BINS = G.length_bins(1, 200000, 30)
 PICK_N = 60
 
 
@@ -187,7 +188,7 @@ w2(st, bin, inbin, total, a, b, kept) AS (
   FROM (SELECT s.st, s.bin, s.cl, s.seq, s.doc_id, w.total, w.a, w.b,
           CASE WHEN s.bin = w.bin THEN w.inbin ELSE 0 END AS prior,
           NOT list_contains(w.a, s.cl) AND NOT list_contains(w.b, s.seq) AND w.total < {PICK_N} AND (s.phase = 2 OR
-            CASE WHEN s.bin = w.bin THEN w.inbin ELSE 0 END < {PICK_N // 10}) AS take
+            CASE WHEN s.bin = w.bin THEN w.inbin ELSE 0 END < {PICK_N // 30}) AS take
         FROM w2 w JOIN steps s ON s.st = w.st + 1)),
 got AS (SELECT docs.*, row_number() OVER (ORDER BY docs.bin, n_chars, docs.doc_id) AS rn FROM w2 JOIN docs ON docs.doc_id = w2.kept)
 SELECT 'record-' || lpad(rn::VARCHAR, 4, '0') AS record_id,
@@ -270,7 +271,7 @@ def budget_crop(t):
     lines = t.lineitem.select(
         F.col("l_orderkey").alias("entry"), "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         F.col("l_quantity").cast("bigint").alias("length"))
-    lines = row_numbers(lines, ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], "chain", ["entry"])
+    lines = checkpointed(row_numbers(lines, ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], "chain", ["entry"]))
     target = S.target_member(lines.select("entry", "chain", "length"), ["entry"], ["length"], "chain").select(
         "entry", F.col("chain").alias("target"))
     marked = lines.join(target, "entry").withColumn("is_target", F.col("chain") == F.col("target"))
