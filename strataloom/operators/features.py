@@ -163,7 +163,8 @@ def tied_positions(ties: DataFrame, chains: DataFrame) -> DataFrame:
     ``ties``: name, tie, chain, positions (from 1), weights (may be NULL, read 1). ``chains``:
     name, chain, start from ``design_order``.
     """
-    flat = ties.select("name", "tie", "chain", F.posexplode(F.arrays_zip("positions", "weights")).alias("at", "z"))
+    flat = ties.select("name", "tie", "chain", F.posexplode(F.arrays_zip(
+        "positions", F.coalesce("weights", F.array().cast("array<double>")).alias("weights"))).alias("at", "z"))
     placed = flat.join(chains.select("name", "chain", "start"), ["name", "chain"]).select(
         "name", "tie", "chain", "at", (F.col("start") + F.col("z.positions") - 1).alias("g"), F.coalesce("z.weights", F.lit(1.0)).alias("w"))
     rows = F.array_sort(F.collect_list(F.struct("chain", "at", "g", "w")))
