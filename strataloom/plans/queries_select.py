@@ -164,7 +164,7 @@ PICK_N = 60
 
 # oracle: one walk per bin for the candidates, then one walk over (scarce bins first, all rows last)
 PICK_SQL = f"""WITH RECURSIVE
-docs AS MATERIALIZED (SELECT doc_id, n_chars, (doc_id // 5)::VARCHAR AS cl, sha256(text) AS seq,
+docs AS MATERIALIZED (SELECT doc_id, n_chars, (doc_id // 2)::VARCHAR AS cl, sha256(text) AS seq,
   sha256('13' || chr(0) || doc_id || chr(0) || sha256(text)) AS h,
   CASE {" ".join(f"WHEN n_chars BETWEEN {a} AND {b} THEN {i}" for i, (_, a, b) in enumerate(PICK_BINS))} END AS bin FROM documents),
 o1 AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY bin ORDER BY h, doc_id) AS rk FROM docs),
@@ -197,7 +197,7 @@ SELECT 'record-' || lpad(rn::VARCHAR, 4, '0') AS record_id,
 
 @query("stratified_pick", PICK_SQL)
 def stratified_pick(t):
-    docs = t.documents.select("doc_id", "n_chars", F.floor(F.col("doc_id") / 5).alias("cluster"), F.sha2("text", 256).alias("content"))
+    docs = t.documents.select("doc_id", "n_chars", F.floor(F.col("doc_id") / 2).alias("cluster"), F.sha2("text", 256).alias("content"))
     return G.stratified_pick(docs, "doc_id", "n_chars", "cluster", "content", PICK_BINS, PICK_N, seed=13).select(
         "record_id", "length_bin", "doc_id", "n_chars")
 
