@@ -127,14 +127,11 @@ def assign_splits(
 
     Sizes are ``max(1, floor(N * frac))`` each from three clusters up, else none.
     """
-    clusters = df.select(cluster).distinct()
+    clusters = checkpointed(df.select(cluster).distinct())
+    total = clusters.count()
+    n_valid, n_test = (max(1, int(total * frac)) if total >= 3 else 0 for frac in (valid_frac, test_frac))
     ranked = row_numbers(clusters, [rank_hash(seed, F.col(cluster)), F.col(cluster)], "__rank")
-    total = ranked.agg(F.max("__rank").alias("__n"))
-    size = lambda frac: F.when(F.col("__n") >= 3, F.greatest(
-        F.lit(1).cast("bigint"), F.floor(F.col("__n") * F.lit(float(frac))))).otherwise(F.lit(0).cast("bigint"))
-    n_valid, n_test = size(valid_frac), size(test_frac)
-    # one total row, so this join is a projection with a scalar
-    return ranked.crossJoin(total).select(cluster, F.when(F.col("__rank") <= n_valid, "valid")
+    return ranked.select(cluster, F.when(F.col("__rank") <= n_valid, "valid")
         .when(F.col("__rank") <= n_valid + n_test, "test").otherwise("train").alias(out))
 
 

@@ -4,26 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as X
 from ..functions import vector as V
 from .pairs import knn_edges
+from .scale import neighbour_values, row_numbers
 
 MISSING_LOG_ODDS = 10000.0
 
 
-def _by_structure(group: Sequence[str], idx: str):
-    # one structure's residues: bounded by the total-length cap of an example
-    return W.partitionBy(*group).orderBy(idx)
-
-
-def continuity_masks(residues: DataFrame, group: Sequence[str], idx: str, out_order: str | None = None) -> DataFrame:
+def continuity_masks(residues: DataFrame, group: Sequence[str], idx: str) -> DataFrame:
     """phi, psi and omega masks: 1 where the neighbour's index differs by exactly 1."""
-    w = _by_structure(group, out_order or idx)
-    before = F.coalesce((F.col(idx) - F.lag(idx).over(w) == 1).cast("int"), F.lit(0))
-    after = F.coalesce((F.lead(idx).over(w) - F.col(idx) == 1).cast("int"), F.lit(0))
-    return residues.withColumn("phi_mask", before).withColumn("psi_mask", after).withColumn("omega_mask", after)
+    near = neighbour_values(residues, group, idx, {"__before": (idx, -1), "__after": (idx, 1)})
+    before = F.coalesce((F.col(idx) - F.col("__before") == 1).cast("int"), F.lit(0))
+    after = F.coalesce((F.col("__after") - F.col(idx) == 1).cast("int"), F.lit(0))
+    return near.withColumn("phi_mask", before).withColumn("psi_mask", after).withColumn("omega_mask", after).drop("__before", "__after")
 
 
 def edge_features(residues: DataFrame, group: Sequence[str], idx: str, k: int, chain: str = "chain_no") -> DataFrame:
@@ -49,16 +45,16 @@ def trace_frames(residues: DataFrame, group: Sequence[str], idx: str, ca: str =
     Steps outside 3.6-4.0 A count as breaks. Adds shifted neighbours, the three angle features
     and the frame rows (o, n, o x n); the first and the last two residues have none and get zeros.
     """
-    w = _by_structure(group, idx)
     zero = V.vec(F.lit(0.0), F.lit(0.0), F.lit(0.0))
-    nxt = lambda c, n=1: F.lead(c, n).over(w)
-    step = V.sub(nxt(F.col(ca)), F.col(ca))
-    out = residues.withColumn("ca_before", F.coalesce(F.lag(ca).over(w), zero)).withColumn("ca_after", F.coalesce(nxt(F.col(ca)), zero))
-    out = out.withColumn("__d", step)
-    length = V.norm(F.col("__d"))
-    out = out.withColumn("__u", F.when((length > 3.6) & (length < 4.0), V.unit(F.col("__d"))).when(F.col("__d").isNotNull(), zero))
-    # the frame of residue i uses the steps i-1, i, i+1
-    out = out.withColumn("__u2", F.lag("__u").over(w)).withColumn("__u0", nxt(F.col("__u")))
+    # the frame of residue i uses the steps i-1, i and i+1, so the points from i-1 to i+2
+    out = neighbour_values(residues, group, idx, {"__p": (ca, -1), "__q": (ca, 1), "__r": (ca, 2)})
+
+    def step(a, b):
+        d = V.sub(F.col(b), F.col(a))
+        return F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.when((V.norm(d) > 3.6) & (V.norm(d) < 4.0), V.unit(d)).otherwise(zero))
+
+    out = out.withColumn("ca_before", F.coalesce("__p", zero)).withColumn("ca_after", F.coalesce("__q", zero))
+    out = out.withColumn("__u2", step("__p", ca)).withColumn("__u", step(ca, "__q")).withColumn("__u0", step("__q", "__r"))
     u2, u1, u0 = F.col("__u2"), F.col("__u"), F.col("__u0")
     eps = 1e-6
     clamp = lambda c: F.least(F.greatest(c, F.lit(-1 + eps)), F.lit(1 - eps))
@@ -73,7 +69,7 @@ def trace_frames(residues: DataFrame, group: Sequence[str], idx: str, ca: str =
     frame = F.when(whole, F.struct(o1.alias("r0"), n2.alias("r1"), V.cross(o1, n2).alias("r2"))).otherwise(
         F.struct(zero.alias("r0"), zero.alias("r1"), zero.alias("r2")))
     return out.withColumn("angles", angles).withColumn("frame", frame).drop(
-        "__d", "__u", "__u2", "__u0", "__n2", "__n1", "__a", "__t")
+        "__p", "__q", "__r", "__u", "__u2", "__u0", "__n2", "__n1", "__a", "__t")
 
 
 def frame_edges(frames: DataFrame, edges: DataFrame, group: Sequence[str], idx: str, ca: str = "ca") -> DataFrame:
@@ -172,10 +168,19 @@ def tied_positions(ties: DataFrame, chains: DataFrame) -> DataFrame:
         "name", "tie", F.transform("r", lambda x: x["g"]).alias("positions"), F.transform("r", lambda x: x["w"]).alias("weights"))
 
 
-def chain_display(chains: DataFrame, structure: str, chain: str, seq: str, out: str = "display") -> DataFrame:
-    """Sequences of a structure's chains in name order, joined by ``/``."""
-    rows = F.array_sort(F.collect_list(F.struct(chain, seq)))
-    return chains.groupBy(structure).agg(F.array_join(F.transform(rows, lambda r: r[seq]), "/").alias(out))
+DISPLAY_CHAINS = 1024
+
+
+def chain_display(chains: DataFrame, structure: str, chain: str, seq: str, tiebreak: str | None = None) -> DataFrame:
+    """(structure, piece, display): sequences in chain-name order, joined by ``/``.
+
+    A structure of up to 1024 chains is one piece; the pieces of a larger one join by ``/`` too.
+    """
+    order = [chain] + ([tiebreak] if tiebreak else [])
+    numbered = row_numbers(chains.select(structure, *order, *([seq] if seq not in order else [])), order, "__at", [structure])
+    rows = F.array_sort(F.collect_list(F.struct("__at", F.col(seq).alias("s"))))
+    return numbered.groupBy(structure, F.floor((F.col("__at") - 1) / DISPLAY_CHAINS).alias("piece")).agg(
+        F.array_join(F.transform(rows, lambda r: r["s"]), "/").alias("display"))
 
 
 def context_example(residues: DataFrame, chains: DataFrame, target: DataFrame) -> DataFrame:

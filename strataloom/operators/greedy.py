@@ -187,8 +187,8 @@ def _fold_sizes(budget: int):
                 else:
                     filled += first
                 seen += n
-                out[-1] += (open_batch,)
-            yield pd.DataFrame(out, columns=["size", "seen", "first", "open_batch", "fresh", "cap", "last"])
+                out[-1] += (open_batch, n)
+            yield pd.DataFrame(out, columns=["size", "seen", "first", "open_batch", "fresh", "cap", "last", "n"])
     return fold
 
 
@@ -205,19 +205,18 @@ def token_batches(df: DataFrame, id: str, size: str, budget: int, seed: int | No
     counts = rows.where(fits).groupBy("size").agg(F.count("*").alias("n"))
     plan = counts.repartitionByRange(1, "size").sortWithinPartitions("size").mapInPandas(
         _fold_sizes(int(budget)),
-        "size bigint, seen bigint, first bigint, open_batch bigint, fresh bigint, cap bigint, last bigint")
+        "size bigint, seen bigint, first bigint, open_batch bigint, fresh bigint, cap bigint, last bigint, n bigint")
     plan = checkpointed(plan)
     placed = row_numbers(rows, ["size", "id"], "__at")
     inside = F.col("__at") - 1 - F.col("seen")
     batch = F.when(inside < F.col("first"), F.col("open_batch")).otherwise(
         F.col("fresh") + F.floor((inside - F.col("first")) / F.col("cap")))
     packed = placed.join(plan, "size", "left").withColumn("batch", batch)
-    tail = plan.agg((F.coalesce(F.max("last"), F.lit(-1)) + 1).alias("__next"))
-    small = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("__packed"))
-    tail = tail.crossJoin(small)  # one row
-    out = packed.crossJoin(tail).select(
+    end = plan.agg(F.max("last").alias("last"), F.max(F.col("seen") + F.col("n")).alias("rows")).first()
+    start, before = (end["last"] + 1, end["rows"]) if end["rows"] else (0, 0)
+    out = packed.select(
         F.col("id").alias(id), F.col("size").alias(size),
-        F.coalesce("batch", F.col("__next") + F.col("__at") - 1 - F.col("__packed")).cast("bigint").alias("batch"))
+        F.coalesce("batch", F.lit(start - before - 1) + F.col("__at")).cast("bigint").alias("batch"))
     if seed is not None:
         out = out.withColumn("batch_order", rank_hash(seed, F.col("batch")))
     return out

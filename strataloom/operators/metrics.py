@@ -157,9 +157,9 @@ def pair_arms(df: DataFrame, keys: Sequence[str], arm: str, baseline: str, candi
     """Candidate minus baseline per key that has both arms. One aggregation, no self join."""
     pick = lambda m, a: F.max(F.when(F.col(arm) == a, F.col(m)))
     wide = df.where(F.col(arm).isin(baseline, candidate)).groupBy(*keys).agg(
-        F.count_distinct(arm).alias("__arms"),
+        (F.max(F.col(arm) == baseline) & F.max(F.col(arm) == candidate)).alias("__both"),
         *[pick(m, a).alias(f"__{tag}_{m}") for m in metrics for tag, a in (("b", baseline), ("c", candidate))])
-    return wide.where("__arms = 2").select(*keys, *[(F.col(f"__c_{m}") - F.col(f"__b_{m}")).alias(m) for m in metrics])
+    return wide.where("__both").select(*keys, *[(F.col(f"__c_{m}") - F.col(f"__b_{m}")).alias(m) for m in metrics])
 
 
 def paired_delta(

@@ -26,9 +26,9 @@ def _z_order(vec: Column, cell: float) -> Column:
     """Interleaved bits of the first three coordinates in units of ``cell``."""
     out = F.lit(0).cast("bigint")
     axes = [F.coalesce(F.get(vec, F.lit(a)), F.lit(0.0)) for a in range(3)]
-    cells = [(F.floor(F.greatest(F.lit(-32768.0), F.least(F.lit(32767.0), a / F.lit(cell)))) + 32768).cast("bigint")
+    cells = [(F.floor(F.greatest(F.lit(-128.0), F.least(F.lit(127.0), a / F.lit(cell)))) + 128).cast("bigint")
              for a in axes]
-    for bit in range(16):
+    for bit in range(8):
         for a, c in enumerate(cells):
             out = out.bitwiseOR(F.shiftleft(F.shiftright(c, bit).bitwiseAND(F.lit(1)), 3 * bit + a))
     return out

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as X
 from ..functions.align import identity
 from ..functions.vector import vec
 from ..session import shuffle_width
+from .scale import row_numbers
 
 ATOM_NAMES = ("N", "CA", "C", "O")
 
@@ -143,10 +144,10 @@ def context_size(chains: DataFrame, entry: str = "entry") -> DataFrame:
 
 
 def remap_chains(chains: DataFrame, entry: str = "entry", out: str = "chain_id") -> DataFrame:
-    """Letters for the sorted source ids of an entry: A-Z, a-z, 0-9 (62 chains at most)."""
-    at = F.row_number().over(W.partitionBy(entry).orderBy("chain"))
+    """Letters for the sorted source ids of an entry: A-Z, a-z, 0-9; NULL past the 62nd chain."""
     letters = F.array(*[F.lit(x) for x in X.CHAIN_LETTERS])
-    return chains.withColumn(out, F.try_element_at(letters, at))
+    return row_numbers(chains, ["chain"], "__at", [entry]).withColumn(
+        out, F.get(letters, (F.col("__at") - 1).cast("int"))).drop("__at")
 
 
 def with_cluster(rows: DataFrame, cluster_map: DataFrame, keys: list[str], sequence: str, out: str = "cluster") -> DataFrame:

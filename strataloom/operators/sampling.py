@@ -12,15 +12,15 @@ MAX_CHAINS = 351
 
 
 def group_by_cluster(rows: DataFrame, split: str, cluster: str, record: list[str], debug: bool = False, order: str | None = None) -> DataFrame:
-    """(split, cluster, records) with an array of records per cluster.
+    """(split, cluster, member, record columns): the records of each cluster, numbered from 1.
 
-    Meant for record ids, not payloads. ``debug`` keeps the first 20 rows, holds nothing out and
-    validates on the training clusters.
+    One row per member, so that a cluster of any size stays spread over tasks. ``debug`` keeps the
+    first 20 rows, holds nothing out and validates on the training clusters.
     """
     if debug:
         rows = rows.orderBy(order or record[0]).limit(20).withColumn(split, F.lit("train"))
         rows = rows.unionByName(rows.withColumn(split, F.lit("valid")))
-    return rows.groupBy(split, cluster).agg(F.array_sort(F.collect_list(F.struct(*record))).alias("records"))
+    return row_numbers(rows.select(split, cluster, *record), record, "member", [split, cluster])
 
 
 def expand_assemblies(wanted: DataFrame, assemblies: DataFrame, chains: DataFrame, seed: int) -> DataFrame:
@@ -68,7 +68,7 @@ def chain_examples(copies: DataFrame, order: list[str]) -> DataFrame:
     """
     counted = copies.groupBy("example").agg(F.count("*").alias("__n")).where(F.col("__n") <= MAX_CHAINS).select("example")
     kept = copies.join(counted, "example", "left_semi")
-    idx = F.row_number().over(W.partitionBy("example").orderBy(*order)) - 1
+    idx = F.row_number().over(W.partitionBy("example").orderBy(*order)) - 1  # at most 351 copies
     letters = F.array(*[F.lit(x) for x in X.CHAIN_LETTERS[:52]])
     return kept.withColumn("idx", idx).withColumn(
         "letter", F.when(F.col("idx") < 52, F.get(letters, F.col("idx"))).otherwise((F.col("idx") - 52).cast("string")))
@@ -94,13 +94,15 @@ def assemble_examples(chains: DataFrame, example: str, order: str, max_length: i
 
     Examples above ``max_length`` residues are left out; ``max_units`` keeps the first examples.
     """
+    # the cap is applied to the sizes, before any example is put together
+    fits = chains.groupBy(example).agg(F.sum(F.length("seq")).alias("__n")).where(F.col("__n") <= max_length).select(example)
     rows = F.array_sort(F.collect_list(F.struct(order, "letter", "seq", "masked")))
-    out = chains.groupBy(example).agg(rows.alias("r")).select(
+    out = chains.join(fits, example, "left_semi").groupBy(example).agg(rows.alias("r")).select(
         example,
         F.array_join(F.transform("r", lambda x: x["seq"]), "").alias("seq"),
         F.transform(F.filter("r", lambda x: x["masked"]), lambda x: x["letter"]).alias("masked_list"),
         F.transform(F.filter("r", lambda x: ~x["masked"]), lambda x: x["letter"]).alias("visible_list"),
-        F.size("r").alias("num_of_chains")).where(F.length("seq") <= max_length)
+        F.size("r").alias("num_of_chains"))
     return out.orderBy(example).limit(max_units) if max_units is not None else out
 
 

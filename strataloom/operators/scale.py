@@ -45,10 +45,13 @@ def with_group_agg(
     ])
     window = W.partitionBy(*keys)
     merged = partial.select(
-        *keys, "__salt",
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__salt").alias("__s"),
         *[_merge(kind, out, window).alias(out) for out, (kind, _) in aggs.items()],
     )
-    return salted.join(merged, [*keys, "__salt"]).drop("__salt")
+    same = F.col("__salt") == F.col("__s")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return salted.join(merged, same).select(*df.columns, *aggs)
 
 
 #: Groups of at most this many rows are sorted by one task.
@@ -166,3 +169,26 @@ def row_numbers(
     return ordered_scan(
         df.withColumn("__one", F.lit(1).cast("bigint")), order, {out: ("sum", "__one")}, keys, group_rows=group_rows
     ).drop("__one")
+
+
+def neighbour_values(
+    df: DataFrame, keys: Sequence[str], order: str, values: Mapping[str, tuple[str, int]], group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """Add ``{out: (column, offset)}``: the column of the row ``offset`` places on inside ``keys``.
+
+    Groups of at most ``group_rows`` rows, which are counted, use a window; larger ones number
+    their rows in a distributed scan and meet their neighbours by position.
+    """
+    large = df.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > group_rows).drop("__n")
+    window = W.partitionBy(*keys).orderBy(order)
+    plain = lambda part: part.select("*", *[F.lead(c, n).over(window).alias(out) if n > 0 else F.lag(c, -n).over(window).alias(out)
+                                            for out, (c, n) in values.items()])
+    if large.isEmpty():
+        return plain(df)
+    large = checkpointed(large)
+    placed = checkpointed(row_numbers(df.join(large, list(keys), "left_semi"), [order], "__at", keys, group_rows))
+    out = placed
+    for name, (column, offset) in values.items():
+        shifted = placed.select(*keys, (F.col("__at") - offset).alias("__at"), F.col(column).alias(name))
+        out = out.join(shifted, [*keys, "__at"], "left")
+    return plain(df.join(large, list(keys), "left_anti")).unionByName(out.drop("__at"))

@@ -147,13 +147,12 @@ def region_overlap(t):
 
 
 @query("adjacent_pairs", """
-WITH o AS (SELECT l_orderkey AS doc, array_agg(l_returnflag || l_linenumber ORDER BY l_linenumber, l_returnflag) AS d FROM lineitem GROUP BY 1)
-SELECT doc AS doc_id, CAST(i AS INTEGER) AS "at", d[i + 1] AS "left", d[i + 2] AS "right" FROM o, range(0, 40) r(i) WHERE i + 2 <= len(d)""")
+WITH o AS (SELECT conv_id * 100 + turn AS doc_id, string_split(text, ' ') AS d FROM conversations)
+SELECT doc_id, CAST(i AS INTEGER) AS "at", d[i + 1] AS "left", d[i + 2] AS "right" FROM (SELECT doc_id, d, unnest(range(0, len(d) - 1)) AS i FROM o)""")
 def adjacent_pairs(t):
-    name = F.concat("l_returnflag", F.col("l_linenumber").cast("string"))
-    orders = t.lineitem.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_returnflag", name.alias("d")))), lambda x: x["d"]).alias("domain_order"))
-    return K.adjacent_pairs(orders.withColumn("order_id", F.lit(0))).drop("order_id")
+    """The words of a turn as an order of domains."""
+    orders = t.conversations.select((F.col("conv_id") * 100 + F.col("turn")).alias("doc_id"), F.split("text", " ").alias("domain_order"), F.lit(0).alias("order_id"))
+    return K.adjacent_pairs(orders).drop("order_id")
 
 
 @query("candidate_rules", """
@@ -247,3 +246,25 @@ SELECT work_id FROM states WHERE attempts < max_attempts AND state = 'pending' O
 def next_work_item(t):
     items = _states(t).select("work_id", "state", "attempts", "max_attempts", F.col("max_attempts").alias("priority"), F.lit(0).alias("created_at"), "lease_expires_at")
     return S.next_work_item(items.where("state = 'pending'"), 0.0).select("work_id")
+
+
+@query("inheritance_audit", """
+WITH d AS (SELECT doc_id, text, doc_id // 5 AS cluster, doc_id // 4 AS entry, CASE WHEN (doc_id // 5) % 10 = 0 THEN 'valid' WHEN (doc_id // 5) % 10 = 1 THEN 'test' ELSE 'train' END AS split FROM documents),
+s AS (FROM d WHERE doc_id % 2 = 1), r AS (FROM d WHERE doc_id % 2 = 0),
+a AS (SELECT s.entry, s.split AS ss, r.split AS rs FROM s JOIN r USING (cluster) UNION SELECT s.entry, s.split, r.split FROM s JOIN r USING (text))
+SELECT 'split_differs_from_anchor' AS rule, count(*) AS failed FROM (SELECT DISTINCT entry FROM a WHERE ss <> rs)
+UNION ALL SELECT 'anchors_in_two_splits', count(*) FROM (SELECT entry FROM a GROUP BY 1 HAVING count(DISTINCT rs) > 1)
+UNION ALL SELECT 'entry_in_both_releases', count(*) FROM s WHERE entry IN (SELECT entry FROM r)""")
+def inheritance_audit(t):
+    d = _reference_docs(t).withColumn("entry", F.floor(F.col("doc_id") / 4))
+    return A.inheritance_audit(d.where("doc_id % 2 = 1"), d.where("doc_id % 2 = 0"), sequence="text", entry="entry").select("rule", "failed")
+
+
+@query("split_files_audit", """
+WITH v AS (SELECT o_custkey AS c FROM orders WHERE o_orderkey % 3 = 0), t AS (SELECT o_custkey AS c FROM orders WHERE o_orderkey % 5 = 0), k AS (SELECT c_custkey AS c FROM customer WHERE c_acctbal > 0)
+SELECT 'valid_test_overlap' AS rule, count(*) AS failed FROM (FROM v INTERSECT FROM t) UNION ALL SELECT 'unknown_valid_cluster', count(*) FROM v WHERE c NOT IN (FROM k)
+UNION ALL SELECT 'unknown_test_cluster', count(*) FROM t WHERE c NOT IN (FROM k) UNION ALL SELECT 'duplicate_valid_cluster', count(*) FROM (SELECT c FROM v GROUP BY c HAVING count(*) > 1)
+UNION ALL SELECT 'duplicate_test_cluster', count(*) FROM (SELECT c FROM t GROUP BY c HAVING count(*) > 1)""")
+def split_files_audit(t):
+    ids = lambda m: t.orders.where(F.col("o_orderkey") % m == 0).select(F.col("o_custkey").alias("cluster"))
+    return A.split_files_audit(t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("cluster")), ids(3), ids(5)).select("rule", "failed")

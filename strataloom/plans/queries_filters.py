@@ -314,9 +314,9 @@ def assemble_examples(t):
 
 
 @query("chain_display", """
-SELECT l_orderkey, string_agg(l_returnflag, '/' ORDER BY l_linenumber, l_returnflag) AS display FROM lineitem GROUP BY l_orderkey""")
+SELECT l_orderkey, 0 AS piece, string_agg(l_returnflag, '/' ORDER BY l_linenumber, l_returnflag) AS display FROM lineitem GROUP BY l_orderkey""")
 def chain_display(t):
-    return E.chain_display(t.lineitem, "l_orderkey", "l_linenumber", "l_returnflag")
+    return E.chain_display(t.lineitem, "l_orderkey", "l_linenumber", "l_returnflag", tiebreak="l_returnflag")
 
 
 @query("group_by_cluster", """
@@ -325,7 +325,8 @@ FROM orders GROUP BY 1, 2""")
 def group_by_cluster(t):
     rows = t.orders.select(F.when(F.col("o_orderkey") % 10 == 0, "valid").otherwise("train").alias("split"), F.col("o_custkey").alias("cluster"), "o_orderkey")
     grouped = S.group_by_cluster(rows, "split", "cluster", ["o_orderkey"])
-    return grouped.select("split", "cluster", F.size("records").cast("bigint").alias("records"), F.get("records", F.lit(0))["o_orderkey"].alias("first_record"))
+    return grouped.groupBy("split", "cluster").agg(
+        F.max("member").alias("records"), F.min(F.when(F.col("member") == 1, F.col("o_orderkey"))).alias("first_record"))
 
 
 @query("rigid_transform", """

@@ -276,3 +276,62 @@ def structure_metrics(t):
     """Superposition metrics of points against a disturbed copy, one record per label."""
     out = M.structure_metrics(_points(t), ["record"], "pos", "native", "model", "mask")
     return out.select("record", "resolved", "length", *[F.round(c, 6).alias(c) for c in ("ca_rmsd", "tm_resolved", "tm_full", "ca_lddt")])
+
+
+@query("argmin_passing", "SELECT p_partkey, p_retailprice FROM part WHERE p_size >= 30 AND p_brand <> 'Brand#1' ORDER BY p_retailprice, p_partkey LIMIT 1")
+def argmin_passing(t):
+    from ..operators.select import argmin_passing as pick
+    part = t.part.select("p_partkey", "p_retailprice", "p_size", "p_brand")
+    return pick(part, (F.col("p_size") >= 30) & (F.col("p_brand") != "Brand#1"), "p_retailprice", "p_partkey").select("p_partkey", "p_retailprice")
+
+
+@query("record_join", """
+SELECT CASE WHEN a.c_custkey IS NULL THEN 'missing_experimental' WHEN b.c_custkey IS NULL THEN 'missing_native_prediction' WHEN c.c_custkey IS NULL THEN 'missing_baseline' END AS problem, count(*) AS n
+FROM orders LEFT JOIN (FROM customer WHERE c_acctbal > 0) a ON a.c_custkey = o_custkey LEFT JOIN (FROM customer WHERE c_nationkey < 20) b ON b.c_custkey = o_custkey
+LEFT JOIN (FROM customer WHERE c_mktsegment <> 'MACHINERY') c ON c.c_custkey = o_custkey GROUP BY 1""")
+def record_join(t):
+    c = t.customer.withColumnRenamed("c_custkey", "k")
+    designs = t.orders.select(F.col("o_custkey").alias("k"), "o_orderkey")
+    joined = G.record_join(designs, c.where("c_acctbal > 0").select("k", "c_acctbal"), c.where("c_nationkey < 20").select("k", "c_nationkey"),
+                           c.where("c_mktsegment <> 'MACHINERY'").select("k", "c_mktsegment"), "k")
+    return joined.groupBy("problem").agg(F.count("*").alias("n"))
+
+
+@query("flatten_metrics", """
+SELECT metric, count(*) AS pairs, round(avg(value), 6) AS mean FROM (UNPIVOT (SELECT l_tax AS recovery, 1 - l_tax AS mutation_fraction, l_discount AS score FROM lineitem)
+ON recovery, mutation_fraction, score INTO NAME metric VALUE value) GROUP BY 1""")
+def flatten_metrics(t):
+    nested = t.lineitem.select("l_orderkey", F.struct(F.struct(F.col("l_tax").alias("recovery")).alias("sequence"), F.col("l_discount").alias("score")).alias("result"))
+    flat = M.flatten_metrics(nested, {"recovery": "result.sequence.recovery", "score": "result.score"}, ["l_orderkey"], {"mutation_fraction": "recovery"})
+    return M.to_long(flat, ["l_orderkey"], ["recovery", "score", "mutation_fraction"]).groupBy("metric").agg(
+        F.count("*").alias("pairs"), F.round(F.avg("value"), 6).alias("mean"))
+
+
+def _backbone(t):
+    """Vectors as residues: four groups of three coordinates, one structure per label."""
+    e = lambda i: F.get("embedding", F.lit(i)).cast("double") * 20
+    atom = lambda at: F.struct(*[e(at + i).alias(a) for i, a in enumerate("xyz")])
+    return t.embeddings.select(F.col("label").alias("structure"), F.col("vec_id").alias("idx"), (F.col("vec_id") % 3).alias("chain_no"), F.lit(True).alias("mask"),
+                               atom(0).alias("n"), atom(3).alias("ca"), atom(6).alias("c"), atom(9).alias("o"))
+
+
+@query("edge_features", """
+WITH r AS (SELECT label AS structure, vec_id AS idx, vec_id % 3 AS c, list_transform(embedding::DOUBLE[], lambda x: x * 20) AS v FROM embeddings),
+p AS (SELECT a.structure, a.idx AS i, b.idx AS j, a.c AS ac, b.c AS bc, a.v AS av, b.v AS bv, sqrt(pow(list_distance(a.v[4:6], b.v[4:6]), 2) + 1e-6) AS d FROM r a JOIN r b USING (structure)),
+k AS (SELECT *, row_number() OVER (PARTITION BY structure, i ORDER BY d, j) AS rank FROM p QUALIFY rank <= 6)
+SELECT structure, i, j, rank, round(d, 6) AS dist, CAST(CASE WHEN ac = bc THEN least(greatest(i - j + 32, 0), 64) ELSE 65 END AS INTEGER) AS "offset",
+  round(sqrt(pow(list_distance(av[1:3], bv[1:3]), 2) + 1e-6), 6) AS n_n, round(sqrt(pow(list_distance(av[4:6], bv[1:3]), 2) + 1e-6), 6) AS ca_n,
+  round(sqrt(pow(list_distance(av[7:9], bv[10:12]), 2) + 1e-6), 6) AS c_o FROM k""")
+def edge_features(t):
+    from ..operators.features import edge_features as edges
+    out = edges(_backbone(t), ["structure"], "idx", 6)
+    at = lambda i: F.round(F.get("distances", F.lit(i)), 6)
+    return out.select("structure", "i", "j", "rank", F.round("dist", 6).alias("dist"), "offset", at(1).alias("n_n"), at(5).alias("ca_n"), at(24).alias("c_o"))
+
+
+@query("trace_frames", """
+WITH s AS (SELECT label AS structure, vec_id AS idx, embedding[4]::DOUBLE * 20 AS x FROM embeddings)
+SELECT structure, idx, coalesce(lag(x) OVER w, 0) AS before_x, coalesce(lead(x) OVER w, 0) AS after_x FROM s WINDOW w AS (PARTITION BY structure ORDER BY idx)""")
+def trace_frames(t):
+    from ..operators.features import trace_frames as frames
+    return frames(_backbone(t), ["structure"], "idx").select("structure", "idx", F.col("ca_before.x").alias("before_x"), F.col("ca_after.x").alias("after_x"))

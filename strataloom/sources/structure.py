@@ -7,7 +7,7 @@ import re
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions import text as X
 from ..functions.vector import finite, vec
@@ -267,8 +267,7 @@ def pdb_residues(atoms: DataFrame, atom_names: Sequence[str] = BACKBONE) -> Data
     grid = spans.select("file", "chain", F.explode(F.sequence("a", "b")).alias("residue"))
     filled = grid.join(letters, ["file", "chain", "residue"], "left").withColumn(
         "aa", F.coalesce("aa", F.lit("-"))).withColumn("insertion", F.coalesce("insertion", F.lit("")))
-    from pyspark.sql import Window as W
-    # a chain of a text file has at most a few thousand residues: four-column residue numbers
+    # residue numbers have four columns, which bounds a chain
     at = F.row_number().over(W.partitionBy("file", "chain").orderBy("residue", "insertion")) - 1
     return filled.withColumn("pos", at).drop("name")
 
@@ -332,14 +331,12 @@ def prediction_ca(lines: DataFrame, expected: DataFrame) -> tuple[DataFrame, Dat
 
 def numbered_models(lines: DataFrame) -> DataFrame:
     """Lines with their model number: text before the first MODEL line is model 1."""
-    marks = lines.where(F.substring("value", 1, 6) == "MODEL ").select(
-        "file", F.col("line").alias("from"), F.trim(F.substring("value", 7, 10)).try_cast("int").alias("model"))
-    from pyspark.sql import Window as W
-    spans = marks.withColumn("to", F.lead("from").over(W.partitionBy("file").orderBy("from")))
-    hit = lines.alias("l").join(
-        spans.alias("s"), (F.col("l.file") == F.col("s.file")) & (F.col("line") >= F.col("from"))
-        & (F.col("to").isNull() | (F.col("line") < F.col("to"))), "left")
-    return hit.select("l.file", "line", "value", F.coalesce("model", F.lit(1)).alias("model"))
+    from ..operators.scale import ordered_scan
+
+    mark = F.substring("value", 1, 6) == "MODEL "
+    scanned = ordered_scan(lines.withColumn("__m", mark.cast("bigint")), ["line"], {"__nth": ("sum", "__m")}, ["file"])
+    numbers = scanned.where("__m = 1").select("file", "__nth", F.trim(F.substring("value", 7, 10)).try_cast("int").alias("model"))
+    return scanned.join(numbers, ["file", "__nth"], "left").select("file", "line", "value", F.coalesce("model", F.lit(1)).alias("model"))
 
 
 def native_ca(residues: DataFrame, chains: DataFrame) -> tuple[DataFrame, DataFrame]:

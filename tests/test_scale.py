@@ -155,3 +155,13 @@ def test_stratified_pick_takes_one_per_bin(spark):
 def test_length_bins_cover_the_range():
     bins = G.length_bins(50, 800, 4)
     assert bins[0][1] == 50 and bins[-1][2] == 800 and all(a[2] + 1 == b[1] for a, b in zip(bins, bins[1:]))
+
+
+def test_neighbour_values_of_large_and_small_groups(spark):
+    pdf = skewed(120)
+    df = spark.createDataFrame(pdf)
+    values = {"before": ("v", -1), "after": ("v", 2)}
+    a, b = (S.neighbour_values(df, ["k"], "id", values, n).toPandas().sort_values("id").reset_index(drop=True) for n in (10, 10**6))
+    assert a[["id", "before", "after"]].equals(b[["id", "before", "after"]])
+    want = pdf.sort_values("id").groupby("k")["v"].shift(1)
+    assert b["before"].fillna(-1).tolist() == want.fillna(-1).tolist()
