@@ -226,7 +226,7 @@ def knn_edges(
         fill = last.join(spare, list(group)).where(F.col("__n") + F.col("__at") <= k).select(
             *group, "i", "j", "dist", (F.col("__n") + F.col("__at")).cast("int").alias("rank"))
         edges = edges.select(*group, "i", "j", "dist", "rank").unionByName(fill)
-    return edges.select(*group, "i", "j", "rank", "dist")
+    return edges.select(*group, "i", "j", F.col("rank").cast("bigint").alias("rank"), "dist")
 
 
 def _tile_minimum(group: Sequence[str]):

@@ -43,7 +43,7 @@ SELECT CAST(sum(n) AS BIGINT) AS inputs, max(CASE WHEN o = 'ok' THEN n END) AS o
 FROM (SELECT coalesce(reason, 'ok') AS o, count(*) AS n FROM d GROUP BY 1)""")
 def build_manifest(t):
     row = sinks.build_manifest(_cascade(t), {"max_chars": 5000})
-    return row.select("inputs", F.col("outcomes")["ok"].alias("ok_rows"), F.size("outcomes").alias("outcomes"), "filter_max_chars")
+    return row.select("inputs", F.col("outcomes")["ok"].alias("ok_rows"), F.size("outcomes").cast("bigint").alias("outcomes"), "filter_max_chars")
 
 
 @query("date_window", """
@@ -314,7 +314,7 @@ def assemble_examples(t):
 
 
 @query("chain_display", """
-SELECT l_orderkey, 0 AS piece, string_agg(l_returnflag, '/' ORDER BY l_linenumber, l_returnflag) AS display FROM lineitem GROUP BY l_orderkey""")
+SELECT l_orderkey, CAST(0 AS BIGINT) AS piece, string_agg(l_returnflag, '/' ORDER BY l_linenumber, l_returnflag) AS display FROM lineitem GROUP BY l_orderkey""")
 def chain_display(t):
     return E.chain_display(t.lineitem, "l_orderkey", "l_linenumber", "l_returnflag", tiebreak="l_returnflag")
 

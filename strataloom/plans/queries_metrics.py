@@ -105,7 +105,7 @@ def model_summary(t):
 
 @query("pearson_by_bin", """
 SELECT l_returnflag, round(CASE WHEN count(*) >= 2 AND var_pop(l_quantity) * var_pop(l_extendedprice) > 0 THEN corr(l_quantity, l_extendedprice) END, 6) AS r,
-  CASE WHEN var_pop(1.0) > 0 THEN 1.0 END AS flat FROM lineitem GROUP BY 1""")
+  CAST(CASE WHEN var_pop(1.0) > 0 THEN 1.0 END AS DOUBLE) AS flat FROM lineitem GROUP BY 1""")
 def pearson_by_bin(t):
     return t.lineitem.groupBy("l_returnflag").agg(
         F.round(M.safe_corr(F.col("l_quantity"), F.col("l_extendedprice")), 6).alias("r"), M.safe_corr(F.lit(1.0), F.col("l_quantity")).alias("flat"))
