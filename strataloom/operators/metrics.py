@@ -103,10 +103,13 @@ def to_long(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataF
 
 def counts_summary(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """count, mean, exact median, min, max per keys of a ``value_counts`` table."""
-    stats = counts.groupBy(*keys).agg(
+    stats = checkpointed(counts.groupBy(*keys).agg(
         F.sum("n").alias("count"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    return stats.join(quantile_of_counts(counts, keys, "value", 0.5, "median"), list(keys))
+        F.min("value").alias("min"), F.max("value").alias("max"), F.count("*").alias("__values")))
+    largest = stats.agg(F.max("__values")).first()[0] or 0
+    median = quantile_of_counts(
+        counts, keys, "value", 0.5, "median", stats.select(*keys, F.col("count").alias("__total")), largest)
+    return stats.drop("__values").join(median, list(keys))
 
 
 def coarser(counts: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -65,15 +65,19 @@ def ordered_scan(
     keys: Sequence[str] = (),
     exclusive: Sequence[str] = (),
     group_rows: int = GROUP_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Running ``{out: (kind, column)}`` aggregates in ``order`` inside ``keys``.
 
     Kinds: sum, count, min, max. ``order`` must be total (end it with a unique id). Outputs
     named in ``exclusive`` leave the current row out (NULL, or 0 for sum and count, on the
-    first row). Groups are counted first. Those of at most ``group_rows`` rows run as a plain
-    window; the rows of larger ones are range partitioned, see ``_range_scan``.
+    first row). Groups are counted first, unless the caller knows how many rows the ``largest``
+    has. Those of at most ``group_rows`` rows run as a plain window; the rows of larger ones are
+    range partitioned, see ``_range_scan``.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
+    if largest is not None and largest <= group_rows:
+        return _window_scan(df, order, aggs, keys, exclusive)
     large = df.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > group_rows).drop("__n")
     if large.isEmpty():
         return _window_scan(df, order, aggs, keys, exclusive)
@@ -133,10 +137,18 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
 
 
-def quantile_of_counts(counts: DataFrame, keys: Sequence[str], value: str, at: float, out: str) -> DataFrame:
-    """Linear-interpolated quantile of a ``value_counts`` table, exact at any group size."""
-    scanned = ordered_scan(counts, [value], {"__cum": ("sum", "n")}, keys)
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("__total"))
+def quantile_of_counts(
+    counts: DataFrame, keys: Sequence[str], value: str, at: float, out: str,
+    totals: DataFrame | None = None, largest: int | None = None,
+) -> DataFrame:
+    """Linear-interpolated quantile of a ``value_counts`` table, exact at any group size.
+
+    ``totals`` (keys, __total) and ``largest`` (values of the largest group) save passes where
+    the caller has them.
+    """
+    scanned = ordered_scan(counts, [value], {"__cum": ("sum", "n")}, keys, largest=largest)
+    if totals is None:
+        totals = counts.groupBy(*keys).agg(F.sum("n").alias("__total"))
     placed = scanned.join(totals, list(keys)) if keys else scanned.crossJoin(totals)
     rank = F.lit(float(at)) * (F.col("__total") - 1)
     low, high = F.floor(rank), F.ceil(rank)
