@@ -12,7 +12,7 @@ from ..functions import text as X
 from ..functions.vector import distance
 from ..session import checkpointed
 from .pairs import contact_agreement
-from .scale import quantile_of_counts, row_numbers, value_counts
+from .scale import join_groups, quantile_of_counts, row_numbers, value_counts
 
 TRAINING_TOKENS = 2000.0
 SMOOTHING = 0.1
@@ -109,7 +109,7 @@ def counts_summary(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     largest = stats.agg(F.max("__values")).first()[0] or 0
     median = quantile_of_counts(
         counts, keys, "value", 0.5, "median", stats.select(*keys, F.col("count").alias("__total")), largest)
-    return stats.drop("__values").join(median, list(keys))
+    return join_groups(stats.drop("__values"), median, keys)
 
 
 def coarser(counts: DataFrame, keys: Sequence[str]) -> DataFrame:

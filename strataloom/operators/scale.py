@@ -23,6 +23,16 @@ def _merge(kind: str, column: str, window) -> Column:
     return _MERGE[kind](column).over(window)
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match each other, as they do in a grouping."""
+    names = {k: f"__j{i}" for i, k in enumerate(keys)}
+    other = right.select(*[F.col(k).alias(n) for k, n in names.items()], *[c for c in right.columns if c not in keys])
+    same = F.lit(True)
+    for k, n in names.items():
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    return left.join(other, same, how).drop(*names.values())
+
+
 def with_group_agg(
     df: DataFrame,
     keys: Sequence[str],
@@ -45,13 +55,10 @@ def with_group_agg(
     ])
     window = W.partitionBy(*keys)
     merged = partial.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__salt").alias("__s"),
+        *keys, "__salt",
         *[_merge(kind, out, window).alias(out) for out, (kind, _) in aggs.items()],
     )
-    same = F.col("__salt") == F.col("__s")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    return salted.join(merged, same).select(*df.columns, *aggs)
+    return join_groups(salted, merged, [*keys, "__salt"]).select(*df.columns, *aggs)
 
 
 #: Groups of at most this many rows are sorted by one task.
@@ -85,8 +92,8 @@ def ordered_scan(
         return _range_scan(df, order, aggs, keys, exclusive)
     # at most total / group_rows keys are large
     large = checkpointed(large)
-    small_part = _window_scan(df.join(large, list(keys), "left_anti"), order, aggs, keys, exclusive)
-    return small_part.unionByName(_range_scan(df.join(large, list(keys), "left_semi"), order, aggs, keys, exclusive))
+    small_part = _window_scan(join_groups(df, large, keys, "left_anti"), order, aggs, keys, exclusive)
+    return small_part.unionByName(_range_scan(join_groups(df, large, keys, "left_semi"), order, aggs, keys, exclusive))
 
 
 def _running(kind: str, column: str, out: str, window, exclusive: Sequence[str]) -> Column:
@@ -129,7 +136,7 @@ def _range_scan(df: DataFrame, order, aggs, keys, exclusive) -> DataFrame:
         else:
             value = (F.least if kind == "min" else F.greatest)(value, carry)
         columns.append(value.alias(out))
-    return ranged.join(carried, [*keys, "__range"]).select(*df.columns, *columns)
+    return join_groups(ranged, carried, [*keys, "__range"]).select(*df.columns, *columns)
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -149,7 +156,7 @@ def quantile_of_counts(
     scanned = ordered_scan(counts, [value], {"__cum": ("sum", "n")}, keys, largest=largest)
     if totals is None:
         totals = counts.groupBy(*keys).agg(F.sum("n").alias("__total"))
-    placed = scanned.join(totals, list(keys)) if keys else scanned.crossJoin(totals)
+    placed = join_groups(scanned, totals, keys) if keys else scanned.crossJoin(totals)
     rank = F.lit(float(at)) * (F.col("__total") - 1)
     low, high = F.floor(rank), F.ceil(rank)
     first, last = F.col("__cum") - F.col("n"), F.col("__cum") - 1

@@ -165,3 +165,16 @@ def test_neighbour_values_of_large_and_small_groups(spark):
     assert a[["id", "before", "after"]].equals(b[["id", "before", "after"]])
     want = pdf.sort_values("id").groupby("k")["v"].shift(1)
     assert b["before"].fillna(-1).tolist() == want.fillna(-1).tolist()
+
+
+def test_null_groups_are_kept(spark):
+    rows = [(None, i, i % 7) for i in range(40)] + [("a", 100 + i, i) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, id bigint, v bigint")
+    for n in (10, 10**6):
+        got = S.ordered_scan(df, ["id"], {"at": ("count", "v")}, ["k"], group_rows=n)
+        assert got.count() == 45 and got.where("k is null").agg(F.max("at")).first()[0] == 40
+    assert S.with_group_agg(df, ["k"], {"n": ("count", "v")}, ["id"]).where("n = 40").count() == 40
+    from strataloom.operators.metrics import metric_summary
+
+    summary = {r["scope"]: (r["count"], r["median"]) for r in metric_summary(df, ["v"], "k").collect()}
+    assert summary == {None: (40, 3.0), "a": (5, 2.0), "overall": (45, 3.0)}
