@@ -99,3 +99,18 @@ def shingle_sets(hashes: np.ndarray, doc: np.ndarray, n_docs: int, size: int = 5
         fresh[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
         values, owner = values[fresh], owner[fresh]
     return values, np.searchsorted(owner, np.arange(n_docs + 1))
+
+
+def affix_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lengths: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, word) of the first and the last ``k`` bytes of each word longer than that, for each of ``lengths``."""
+    n = len(data)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n), out=sums[1:])
+    undo = _powers(pow(_BASE, -1, 1 << 64), n + 1)
+    values, owners = [], []
+    for k in lengths:
+        word = np.flatnonzero(end - start > k)
+        for tail, low in ((0, start[word]), (1, end[word] - k)):
+            values.append(mix64((sums[low + k] - sums[low]) * undo[low] + np.uint64(2 * k + tail + 1)))
+            owners.append(word)
+    return np.concatenate(values), np.concatenate(owners)
