@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import jaccard_join, quality, token_counts, toxicity
+from . import jaccard_join, line_dedup, quality, token_counts, topk, toxicity
 from .queries import query
 
 
@@ -34,3 +34,28 @@ def op5_toxicity(table):
 def op10_jaccard_join(table):
     """Class and number of links of every document."""
     return jaccard_join.similar_classes(table("documents")).select("doc_id", "class_id", "n_links")
+
+
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_sum(list_transform(list_zip(q.v, d.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) WHERE rank <= 5"""
+
+
+@query("op6_top_k", TOP_K_SQL)
+def op6_top_k(table):
+    """The five best inner products of every fiftieth vector."""
+    vectors = table("embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query("op8_line_dedup")
+def op8_line_dedup(table):
+    """Every document with its later matching lines cut."""
+    cut = line_dedup.dedup_lines(table("documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", "text")
