@@ -105,13 +105,36 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", thresho
     fewer than ``least_tokens`` distinct tokens always stay. NULL texts have no line and stay
     NULL; an empty text is one empty line. Rows repeated as a whole count once and are cut alike.
     """
+    joined, cut, lines, gone = _cut(docs, id, text, threshold, least_tokens)
+    keep = [F.col(c) if c != text else cut.alias(text) for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return joined.select(*keep, lines.alias("n_lines"), gone.alias("n_removed"))
+
+
+def _cut(docs: DataFrame, id: str, text: str, threshold: float, least_tokens: int) -> tuple[DataFrame, Column, Column, Column]:
+    """Rows with their removed line numbers, and as columns the cut text, the lines and the removed ones."""
     rows = keyed(docs, id, text)
     gone = repeated_lines(rows.select(*ROW_KEY, text), text, threshold, least_tokens).groupBy(*ROW_KEY).agg(
         F.collect_set("line").alias("__gone"))
-    joined = rows.join(gone, ROW_KEY, "left").withColumn("__lines", F.split(F.col(text), "\n", -1))
+    joined = rows.join(gone, ROW_KEY, "left")
+    lines = F.split(F.col(text), "\n", -1)
     none = F.array().cast("array<int>")
     cut = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(
-        F.filter("__lines", lambda x, i: ~F.array_contains(F.coalesce("__gone", none), i)), "\n"))
-    keep = [F.col(c) if c != text else cut.alias(text) for c in docs.columns if c not in ("n_lines", "n_removed")]
-    return joined.select(*keep, F.coalesce(F.size("__lines"), F.lit(0)).cast("bigint").alias("n_lines"),
-                         F.size(F.coalesce("__gone", none)).cast("bigint").alias("n_removed"))
+        F.filter(lines, lambda x, i: ~F.array_contains(F.coalesce("__gone", none), i)), "\n"))
+    return (joined, cut, F.coalesce(F.size(F.when(F.col(text).isNotNull(), lines)), F.lit(0)).cast("bigint"),
+            F.size(F.coalesce("__gone", none)).cast("bigint"))
+
+
+def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
+                    least_tokens: int = LEAST_TOKENS, length: str = "n_chars") -> DataFrame:
+    """``docs`` with later matching lines cut, columns as given; see ``dedup_lines``.
+
+    A row that loses lines and has no word left is dropped; rows that lose none stay as they are.
+    The ``length`` column, if there, follows a text that was cut.
+    """
+    joined, cut, _, _ = _cut(docs, id, text, threshold, least_tokens)
+    out = joined.withColumn("__cut", cut).where(F.col("__gone").isNull() | F.coalesce(
+        F.col("__cut").rlike(r"[0-9A-Za-z\x{80}-\x{10FFFF}]"), F.lit(False)))
+    columns = {text: F.col("__cut")}
+    if length in docs.columns and length != text:
+        columns[length] = F.when(F.col("__gone").isNull(), F.col(length)).otherwise(F.char_length("__cut").cast(docs.schema[length].dataType))
+    return out.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])
