@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import rank_hash
 from ..session import checkpointed
@@ -25,50 +23,31 @@ def _edge_state(edges: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
-#: Graphs of at most this many edges (16 bytes each) are labelled in one task.
-LOCAL_EDGES = 200_000
+def _with_least(pairs: DataFrame) -> DataFrame:
+    """(u, v, low): each pair with the least ``v`` of its ``u``.
 
-
-def _label_small_graph(batches):
-    """Least-label propagation with pointer jumping over an edge list of checked size."""
-    edges = pd.concat(batches)
-    nodes, flat = np.unique(edges[["u", "v"]].to_numpy().ravel(), return_inverse=True)
-    u, v = flat.reshape(-1, 2).T
-    label = np.arange(len(nodes))
-    while True:
-        low = label.copy()
-        np.minimum.at(low, label[u], label[v])
-        np.minimum.at(low, label[v], label[u])
-        low = low[low]
-        if (low == label).all():
-            break
-        label = low
-    moved = label != np.arange(len(nodes))
-    yield pd.DataFrame({"node": nodes[moved], "label": nodes[label[moved]]})
+    The minimum is combined map-side, so a hub holding most pairs sends one row per task; in the
+    join that follows, adaptive execution splits the hub's partition.
+    """
+    return pairs.join(pairs.groupBy("u").agg(F.min("v").alias("low")), "u")
 
 
-def connected_labels(edges: DataFrame, max_rounds: int = 50, local_edges: int = LOCAL_EDGES) -> DataFrame:
+def connected_labels(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """(node, label) with the least node of each connected component as its label.
 
     ``edges`` has columns ``u`` and ``v`` of one orderable type. Large-star and small-star
     steps alternate until the edge set stops changing, which takes a logarithmic number of
-    rounds. A node's least neighbour is found in two salted levels, so a hub holding most
-    edges does not fill one task. A graph counted to have at most ``local_edges`` edges skips
-    the rounds. Only nodes with a label below their own id are returned.
+    rounds. Only nodes with a label below their own id are returned.
     """
     edges = checkpointed(
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = _edge_state(edges)
-    if 0 < state[0] <= local_edges:
-        schema = T.StructType([T.StructField("node", edges.schema["u"].dataType), T.StructField("label", edges.schema["u"].dataType)])
-        return edges.coalesce(1).mapInPandas(_label_small_graph, schema)
     for _ in range(max_rounds):
         if state[0] == 0:
             break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = with_group_agg(both, ["u"], {"low": ("min", "v")}, ["v"]).where("v > u").select(
-            F.col("v").alias("u"), F.least("low", "u").alias("v"))
-        small = with_group_agg(large.distinct(), ["u"], {"low": ("min", "v")}, ["v"])
+        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("low", "u").alias("v"))
+        small = _with_least(large.distinct())
         stars = small.select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("low").alias("v")),
             F.struct(F.col("u").alias("u"), F.col("low").alias("v")),

@@ -19,35 +19,14 @@ from .clusters import NotConverged
 from .scale import ordered_scan, row_numbers, with_group_agg
 
 
-#: Lists of at most this many distinct key pairs are walked in one task.
-LOCAL_PAIRS = 200_000
-
-
-def _walk_pairs(within: Sequence[str], keys: tuple[str, str]):
-    def walk(batches):
-        seen_a, seen_b = set(), set()
-        for pdf in batches:
-            groups = list(zip(*[pdf[c] for c in within])) if within else [()] * len(pdf)
-            keep = []
-            for g, a, b in zip(groups, pdf[keys[0]], pdf[keys[1]]):
-                fresh = (g, a) not in seen_a and (g, b) not in seen_b
-                if fresh:
-                    seen_a.add((g, a)), seen_b.add((g, b))
-                keep.append(fresh)
-            yield pdf[np.array(keep, dtype=bool)]
-    return walk
-
-
 def greedy_unique(
     df: DataFrame, rank: Sequence[Column], keys: tuple[str, str], within: Sequence[str] = (), max_rounds: int = 200,
-    local_pairs: int = LOCAL_PAIRS,
 ) -> DataFrame:
     """Rows a walk in ``rank`` order would keep when it skips rows with a used value of either key.
 
     Each round keeps the rows that come first for both their keys and drops the rows that share
     a key with them; the result equals the sequential walk. Copies of one key pair shrink to
     their first row before the rounds. ``rank`` must be total. ``within`` runs one walk per group.
-    A list counted to hold at most ``local_pairs`` key pairs is walked in one task instead.
     """
     a, b = keys
     pair = [*within, a, b]
@@ -57,10 +36,6 @@ def greedy_unique(
         .agg(F.min_by(F.struct(*rest), F.struct(*rank)).alias("__row"), F.min(F.struct(*rank)).alias("__rank"))
     )
     pool = checkpointed(pool)
-    if pool.count() <= local_pairs:
-        walked = pool.select(*pair, "__rank").coalesce(1).sortWithinPartitions(*within, "__rank").select(*pair)
-        winners = walked.mapInPandas(_walk_pairs(within, keys), walked.schema)
-        return pool.join(winners, pair).select(*pair, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*df.columns)
     kept: DataFrame | None = None
     for _ in range(max_rounds):
         scored = with_group_agg(pool, [*within, a], {"__first_a": ("min", "__rank")}, [b])

@@ -62,12 +62,11 @@ def union_find(pairs):
     return {x: find(x) for x in parent if find(x) != x}
 
 
-def test_components_by_rounds_and_in_one_task(spark):
+def test_components_by_rounds(spark):
     rng = random.Random(5)
     pairs = [(rng.randrange(120), rng.randrange(120)) for _ in range(80)] + [(i, i + 1) for i in range(200, 230)] + [(300, i) for i in range(301, 330)]
     edges = spark.createDataFrame(pairs, "u bigint, v bigint")
-    for local in (0, 10**6):
-        assert {r["node"]: r["label"] for r in C.connected_labels(edges, local_edges=local).collect()} == union_find(pairs)
+    assert {r["node"]: r["label"] for r in C.connected_labels(edges).collect()} == union_find(pairs)
 
 
 def test_union_of_clusters_with_shared_content(spark):
@@ -92,9 +91,7 @@ def test_greedy_unique_equals_the_walk(spark):
         rng = random.Random(seed)
         rows = [(i, rng.randrange(15), rng.randrange(15)) for i in range(60)]
         df = spark.createDataFrame(rows, "r bigint, a bigint, b bigint")
-        for local in (0, 10**6):
-            got = G.greedy_unique(df, [F.col("r")], ("a", "b"), local_pairs=local)
-            assert sorted(x["r"] for x in got.collect()) == greedy(rows)
+        assert sorted(x["r"] for x in G.greedy_unique(df, [F.col("r")], ("a", "b")).collect()) == greedy(rows)
 
 
 def batches(sizes, budget):
