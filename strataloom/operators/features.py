@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import text as X
 from ..functions import vector as V
 from .pairs import knn_edges
-from .scale import neighbour_values, row_numbers
+from .scale import neighbour_values
 
 MISSING_LOG_ODDS = 10000.0
 
@@ -44,32 +44,33 @@ def trace_frames(residues: DataFrame, group: Sequence[str], idx: str, ca: str =
 
     Steps outside 3.6-4.0 A count as breaks. Adds shifted neighbours, the three angle features
     and the frame rows (o, n, o x n); the first and the last two residues have none and get zeros.
+    The bend at a residue lies between its own and the next step, the torsion between the planes
+    before and after its own step; both enter as sines and cosines, straight from dot products.
     """
-    zero = V.vec(F.lit(0.0), F.lit(0.0), F.lit(0.0))
-    # the frame of residue i uses the steps i-1, i and i+1, so the points from i-1 to i+2
-    out = neighbour_values(residues, group, idx, {"__p": (ca, -1), "__q": (ca, 1), "__r": (ca, 2)})
-
-    def step(a, b):
-        d = V.sub(F.col(b), F.col(a))
-        return F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.when((V.norm(d) > 3.6) & (V.norm(d) < 4.0), V.unit(d)).otherwise(zero))
-
-    out = out.withColumn("ca_before", F.coalesce("__p", zero)).withColumn("ca_after", F.coalesce("__q", zero))
-    out = out.withColumn("__u2", step("__p", ca)).withColumn("__u", step(ca, "__q")).withColumn("__u0", step("__q", "__r"))
-    u2, u1, u0 = F.col("__u2"), F.col("__u"), F.col("__u0")
-    eps = 1e-6
-    clamp = lambda c: F.least(F.greatest(c, F.lit(-1 + eps)), F.lit(1 - eps))
-    out = out.withColumn("__n2", V.unit(V.cross(u2, u1))).withColumn("__n1", V.unit(V.cross(u1, u0)))
-    n2, n1 = F.col("__n2"), F.col("__n1")
-    out = out.withColumn("__a", F.acos(clamp(-V.dot(u1, u0)))).withColumn(
-        "__t", F.signum(V.dot(u2, n1)) * F.acos(clamp(V.dot(n2, n1))))
-    whole = u2.isNotNull() & u0.isNotNull()
-    a, t = F.col("__a"), F.col("__t")
-    angles = F.when(whole, F.array(F.cos(a), F.sin(a) * F.cos(t), F.sin(a) * F.sin(t))).otherwise(F.expr("array(0D,0D,0D)"))
-    o1 = V.unit(V.sub(u2, u1))
-    frame = F.when(whole, F.struct(o1.alias("r0"), n2.alias("r1"), V.cross(o1, n2).alias("r2"))).otherwise(
-        F.struct(zero.alias("r0"), zero.alias("r1"), zero.alias("r2")))
-    return out.withColumn("angles", angles).withColumn("frame", frame).drop(
-        "__p", "__q", "__r", "__u", "__u2", "__u0", "__n2", "__n1", "__a", "__t")
+    origin = V.vec(F.lit(0.0), F.lit(0.0), F.lit(0.0))
+    near = neighbour_values(residues, group, idx, {"__back": (ca, -1), "__next": (ca, 1), "__far": (ca, 2)})
+    links = {"__in": ("__back", ca), "__out": (ca, "__next"), "__on": ("__next", "__far")}
+    for name, (a, b) in links.items():
+        chord = V.sub(F.col(b), F.col(a))
+        bonded = (V.norm(chord) > 3.6) & (V.norm(chord) < 4.0)
+        near = near.withColumn(name, F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.when(bonded, V.unit(chord)).otherwise(origin)))
+    normal = lambda a, b: V.unit(V.cross(F.col(a), F.col(b)))
+    near = near.withColumns({"__plane": normal("__in", "__out"), "__after": normal("__out", "__on")})
+    inner = lambda c: F.greatest(F.lit(1e-6 - 1), F.least(c, F.lit(1 - 1e-6)))
+    bend = inner(-V.dot(F.col("__out"), F.col("__on")))
+    turn = inner(V.dot(F.col("__plane"), F.col("__after")))
+    side = F.signum(V.dot(F.col("__in"), F.col("__after")))
+    rest = F.sqrt(1 - bend * bend)
+    # without a side there is no torsion: its angle is zero
+    angles = F.array(bend, rest * F.when(side == 0, 1.0).otherwise(turn), rest * side * F.sqrt(1 - turn * turn))
+    first = V.unit(V.sub(F.col("__in"), F.col("__out")))
+    frame = lambda x, y, z: F.struct(x.alias("r0"), y.alias("r1"), z.alias("r2"))
+    inside = F.col("__in").isNotNull() & F.col("__on").isNotNull()
+    return near.withColumns({
+        "ca_before": F.coalesce("__back", origin), "ca_after": F.coalesce("__next", origin),
+        "angles": F.when(inside, angles).otherwise(F.array(*[F.lit(0.0)] * 3)),
+        "frame": F.when(inside, frame(first, F.col("__plane"), V.cross(first, F.col("__plane")))).otherwise(frame(origin, origin, origin)),
+    }).drop("__back", "__next", "__far", *links, "__plane", "__after")
 
 
 def frame_edges(frames: DataFrame, edges: DataFrame, group: Sequence[str], idx: str, ca: str = "ca") -> DataFrame:
@@ -86,7 +87,7 @@ def frame_edges(frames: DataFrame, edges: DataFrame, group: Sequence[str], idx:
 
 
 #: Shifted-trace pairs (before 0, own 1, after 2) whose distances follow the own one.
-TRACE_PAIRS = "0-0 2-2 0-1 0-2 1-0 1-2 2-0 2-1".split()
+TRACE_PAIRS = ((0, 0), (2, 2), (0, 1), (0, 2), (1, 0), (1, 2), (2, 0), (2, 1))
 
 
 def trace_edge_distances(frames: DataFrame, edges: DataFrame, group: Sequence[str], idx: str, ca: str = "ca") -> DataFrame:
@@ -94,7 +95,7 @@ def trace_edge_distances(frames: DataFrame, edges: DataFrame, group: Sequence[st
     shifts = F.struct(F.col("ca_before").alias("s0"), F.col(ca).alias("s1"), F.col("ca_after").alias("s2"))
     side = lambda s, key: frames.select(*group, F.col(idx).cast("bigint").alias(key), shifts.alias(s))
     joined = edges.join(side("a", "i"), [*group, "i"]).join(side("b", "j"), [*group, "j"])
-    far = [V.distance(F.col(f"a.s{p[0]}"), F.col(f"b.s{p[2]}"), 1e-6) for p in TRACE_PAIRS]
+    far = [V.distance(F.col(f"a.s{p}"), F.col(f"b.s{q}"), 1e-6) for p, q in TRACE_PAIRS]
     return joined.select(*group, "i", "j", "rank", F.array(F.col("dist"), *far).alias("distances"))
 
 
@@ -168,19 +169,11 @@ def tied_positions(ties: DataFrame, chains: DataFrame) -> DataFrame:
         "name", "tie", F.transform("r", lambda x: x["g"]).alias("positions"), F.transform("r", lambda x: x["w"]).alias("weights"))
 
 
-DISPLAY_CHAINS = 1024
-
-
 def chain_display(chains: DataFrame, structure: str, chain: str, seq: str, tiebreak: str | None = None) -> DataFrame:
-    """(structure, piece, display): sequences in chain-name order, joined by ``/``.
-
-    A structure of up to 1024 chains is one piece; the pieces of a larger one join by ``/`` too.
-    """
+    """(structure, display): the sequences of a structure in chain-name order, joined by ``/``."""
     order = [chain] + ([tiebreak] if tiebreak else [])
-    numbered = row_numbers(chains.select(structure, *order, *([seq] if seq not in order else [])), order, "__at", [structure])
-    rows = F.array_sort(F.collect_list(F.struct("__at", F.col(seq).alias("s"))))
-    return numbered.groupBy(structure, F.floor((F.col("__at") - 1) / DISPLAY_CHAINS).alias("piece")).agg(
-        F.array_join(F.transform(rows, lambda r: r["s"]), "/").alias("display"))
+    rows = F.array_sort(F.collect_list(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)], F.col(seq).alias("s"))))
+    return chains.groupBy(structure).agg(F.array_join(F.transform(rows, lambda r: r["s"]), "/").alias("display"))
 
 
 def context_example(residues: DataFrame, chains: DataFrame, target: DataFrame) -> DataFrame:

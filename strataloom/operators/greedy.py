@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.text import rank_hash
 from ..session import checkpointed
@@ -97,7 +97,9 @@ def stratified_pick(
 
     Bins get equal quotas (the remainder goes to the first bins) and are served from the one
     with the fewest candidates up; open places are filled in hash order from all bins. At most
-    ``MAX_PICKS`` records may be asked for, and only picked keys reach the driver.
+    ``MAX_PICKS`` records may be asked for. Each bin is one step that takes the first candidates,
+    by a limited sort, whose cluster and content no earlier step used; only counts per bin reach
+    the driver.
     """
     if not 1 <= count <= MAX_PICKS:
         raise ValueError(f"count must be between 1 and {MAX_PICKS}")
@@ -107,40 +109,32 @@ def stratified_pick(
                   bin_label(F.col(length), bins).alias("length_bin")))
     if not rows.where(F.col("length_bin").isNull()).isEmpty():
         raise ValueError("a record lies outside all length bins")
+    firsts = checkpointed(greedy_unique(rows, rank, (cluster, content), within=["length_bin"]))
+    sizes = {r["length_bin"]: r["n"] for r in firsts.groupBy("length_bin").agg(F.count("*").alias("n")).collect()}
     base, extra = divmod(count, len(bins))
     quota = {label: base + (i < extra) for i, (label, _, _) in enumerate(bins)}
-    # A picked record blocks at most two candidates of a bin, one by cluster and one by content,
-    # so the first quota + 2 * count of each bin are all the walk below can reach.
-    w = W.partitionBy("length_bin").orderBy(*rank)
-    firsts = greedy_unique(rows, rank, (cluster, content), within=["length_bin"]).select(
-        "*", F.row_number().over(w).alias("__rn"), F.count("*").over(W.partitionBy("length_bin")).alias("__size"))
-    candidates: dict[str, list] = {}
-    for r in firsts.where(F.col("__rn") <= base + 1 + 2 * count).orderBy("length_bin", "__rn").collect():
-        candidates.setdefault(r["length_bin"], []).append(r)
-    sizes = {label: found[0]["__size"] for label, found in candidates.items()}
-    picked: list = []
-    used_clusters, used_contents = set(), set()
+
+    def unused(candidates: DataFrame) -> DataFrame:
+        # picks are at most MAX_PICKS rows
+        for key in (cluster, content):
+            candidates = candidates.join(F.broadcast(picks.select(key)), key, "left_anti")
+        return candidates
+
+    picks = rows.where(F.lit(False))
     for label, _, _ in sorted(bins, key=lambda b: (sizes.get(b[0], 0), b[1])):
-        taken = 0
-        for r in candidates.get(label, ()):
-            if taken == quota[label]:
-                break
-            if r[cluster] not in used_clusters and r[content] not in used_contents:
-                picked.append(r)
-                used_clusters.add(r[cluster]), used_contents.add(r[content])
-                taken += 1
-    if len(picked) < count:
-        left = rows.where(~F.col(cluster).isin(list(used_clusters)) & ~F.col(content).isin(list(used_contents)))
-        rest = greedy_unique(left, rank, (cluster, content))
-        picked += rest.orderBy(*rank).limit(count - len(picked)).collect()
-    if len(picked) < count:
-        raise ValueError(f"only {len(picked)} of {count} records can be picked")
-    order = {label: i for i, (label, _, _) in enumerate(bins)}
-    picked.sort(key=lambda r: (order[r["length_bin"]], r[length], r[id]))
-    places = df.sparkSession.createDataFrame(
-        [(f"record-{i:04d}", r[id], r["length_bin"]) for i, r in enumerate(picked, 1)],
-        T.StructType([T.StructField("record_id", T.StringType()), df.schema[id], T.StructField("length_bin", T.StringType())]))
-    return df.join(F.broadcast(places), id)  # at most MAX_PICKS rows
+        if quota[label] and sizes.get(label):
+            served = unused(firsts.where(F.col("length_bin") == label)).orderBy(*rank).limit(quota[label])
+            picks = checkpointed(picks.unionByName(served.select(picks.columns)))
+    taken = picks.count()
+    if taken < count:
+        more = greedy_unique(unused(rows), rank, (cluster, content)).orderBy(*rank).limit(count - taken)
+        picks = checkpointed(picks.unionByName(more.select(picks.columns)))
+        taken = picks.count()
+    if taken < count:
+        raise ValueError(f"only {taken} of {count} records can be picked")
+    order = F.array_position(F.array(*[F.lit(label) for label, _, _ in bins]), F.col("length_bin"))
+    numbered = picks.select(F.format_string("record-%04d", F.row_number().over(W.orderBy(order, length, id))).alias("record_id"), id, "length_bin")
+    return df.join(F.broadcast(numbered), id)  # at most MAX_PICKS rows
 
 
 # ---------------------------------------------------------------- token batches

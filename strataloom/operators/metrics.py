@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as X
@@ -230,30 +232,42 @@ def kept_totals(rows: DataFrame, kept: DataFrame, key: str, totals: dict[str, st
 
 # ---------------------------------------------------------------- ordered-id fingerprint
 
-def fingerprint(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], id: str, chunk: int = 4096) -> DataFrame:
-    """(group, n_ids, ids_sha256) of the ids in order, one per line.
+def _streamed_digests(batches):
+    """(group row, count, digest) of rows that arrive sorted by group and order: each list is hashed as it passes."""
+    last, digest, n = None, None, 0
+    for batch in batches:
+        columns = batch.to_pydict()
+        for g, v in zip(columns["g"], columns["v"]):
+            if digest is not None and g == last:
+                digest.update(b"\n")
+            else:
+                if digest is not None:
+                    yield pa.RecordBatch.from_pylist([{"g": last, "n_ids": n, "ids_sha256": digest.hexdigest()}], schema=_DIGESTS)
+                last, digest, n = g, hashlib.sha256(), 0
+            digest.update((v or "").encode("utf-8"))
+            n += 1
+    if digest is not None:
+        yield pa.RecordBatch.from_pylist([{"g": last, "n_ids": n, "ids_sha256": digest.hexdigest()}], schema=_DIGESTS)
 
-    Up to ``chunk`` ids this is the SHA-256 of the newline-joined list. A longer list is hashed
-    in chunks, and the chunk digests are hashed the same way until one is left, so a list of any
-    length is spread over tasks and no row grows past ``chunk`` entries.
+
+_DIGESTS = pa.schema([("g", pa.string()), ("n_ids", pa.int64()), ("ids_sha256", pa.string())])
+
+
+def fingerprint(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], id: str) -> DataFrame:
+    """(group, n_ids, ids_sha256): SHA-256 of the newline-joined ids in order, one definition at every size.
+
+    The digest is sequential, so a group is read by one task, but as a stream: Spark sorts (and
+    spills) its ids and the task holds a batch of them at a time.
     """
-    level = row_numbers(df.select(*group, F.col(id).cast("string").alias("__v"), *[
-        (F.col(o) if isinstance(o, str) else o).alias(f"__o{i}") for i, o in enumerate(order)]),
-        [f"__o{i}" for i in range(len(order))], "__pos", group).select(*group, "__pos", "__v")
-    counts = level.groupBy(*group).agg(F.count("*").alias("n_ids"))
-    done = F.lit(False)
-    while True:
-        rows = F.array_sort(F.collect_list(F.struct("__pos", "__v")))
-        level = level.groupBy(*group, F.floor((F.col("__pos") - 1) / chunk).alias("__c")).agg(rows.alias("__r"))
-        digest = F.sha2(F.array_join(F.transform("__r", lambda r: r["__v"]), "\n"), 256)
-        # a group down to one digest is finished, whatever the other groups still need
-        level = level.select(*group, (F.col("__c") + 1).alias("__pos"), F.when(
-            done & (F.col("__c") == 0) & (F.size("__r") == 1), F.get("__r", F.lit(0))["__v"]).otherwise(digest).alias("__v"))
-        level, done = checkpointed(level), F.lit(True)
-        if level.agg(F.max("__pos")).first()[0] in (None, 1):
-            break
-    return counts.join(level.select(*group, F.col("__v").alias("ids_sha256")), list(group)) if group else \
-        counts.crossJoin(level.select(F.col("__v").alias("ids_sha256")))
+    rows = df.select(F.to_json(F.struct(*group) if group else F.struct(F.lit(0))).alias("g"), F.col(id).cast("string").alias("v"), *[
+        (F.col(o) if isinstance(o, str) else o).alias(f"__o{i}") for i, o in enumerate(order)])
+    keys = [f"__o{i}" for i in range(len(order))]
+    digests = rows.repartition("g").sortWithinPartitions("g", *keys).select("g", "v").mapInArrow(
+        _streamed_digests, "g string, n_ids bigint, ids_sha256 string")
+    if not group:
+        return digests.select("n_ids", "ids_sha256")
+    names = df.select(*group).distinct().withColumn("g", F.to_json(F.struct(*group)))
+    return names.join(digests, "g").select(*group, "n_ids", "ids_sha256")
 
 
 # ---------------------------------------------------------------- superposition

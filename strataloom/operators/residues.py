@@ -144,10 +144,11 @@ def context_size(chains: DataFrame, entry: str = "entry") -> DataFrame:
 
 
 def remap_chains(chains: DataFrame, entry: str = "entry", out: str = "chain_id") -> DataFrame:
-    """Letters for the sorted source ids of an entry: A-Z, a-z, 0-9; NULL past the 62nd chain."""
+    """Letters for the sorted source ids of an entry: A-Z, a-z, 0-9; a 63rd chain is an error."""
     letters = F.array(*[F.lit(x) for x in X.CHAIN_LETTERS])
     return row_numbers(chains, ["chain"], "__at", [entry]).withColumn(
-        out, F.get(letters, (F.col("__at") - 1).cast("int"))).drop("__at")
+        out, F.coalesce(F.get(letters, (F.col("__at") - 1).cast("int")), F.raise_error(F.concat(
+            F.lit("no chain letter is left in "), F.col(entry).cast("string"))).cast("string"))).drop("__at")
 
 
 def with_cluster(rows: DataFrame, cluster_map: DataFrame, keys: list[str], sequence: str, out: str = "cluster") -> DataFrame:

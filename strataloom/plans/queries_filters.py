@@ -157,7 +157,7 @@ def fasta_wrap(t):
 
 
 CDS = "translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ACGTACGTACGTACGTACGTACGTAC')"
-CODON_VALUES = ", ".join(f"('{c}', '{aa}')" for aa, cs in X.CODONS.items() for c in cs.split())
+CODON_VALUES = ", ".join(f"('{c}', '{aa}')" for c, aa in X.CODONS.items())
 
 
 @query("codon_translate", f"""
@@ -314,7 +314,7 @@ def assemble_examples(t):
 
 
 @query("chain_display", """
-SELECT l_orderkey, CAST(0 AS BIGINT) AS piece, string_agg(l_returnflag, '/' ORDER BY l_linenumber, l_returnflag) AS display FROM lineitem GROUP BY l_orderkey""")
+SELECT l_orderkey, string_agg(l_returnflag, '/' ORDER BY l_linenumber, l_returnflag) AS display FROM lineitem GROUP BY l_orderkey""")
 def chain_display(t):
     return E.chain_display(t.lineitem, "l_orderkey", "l_linenumber", "l_returnflag", tiebreak="l_returnflag")
 

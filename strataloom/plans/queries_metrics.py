@@ -179,16 +179,9 @@ def gate_select(t):
     return G.select_candidate(_gated(t), "crops").select("label", F.round("crops", 6).alias("crops"))
 
 
-FINGERPRINT_SQL = """
-WITH RECURSIVE f AS (
-  SELECT o_orderstatus AS g, 0 AS level, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) AS pos, o_orderkey::VARCHAR AS v FROM orders),
-l1 AS (SELECT g, (pos - 1) // 4096 + 1 AS pos, sha256(string_agg(v, chr(10) ORDER BY pos)) AS v FROM f GROUP BY g, (pos - 1) // 4096),
-l2 AS (SELECT g, sha256(string_agg(v, chr(10) ORDER BY pos)) AS v, count(*) AS n, min(v) AS lone FROM l1 GROUP BY g)
-"""
-
-
-@query("id_fingerprint", FINGERPRINT_SQL + """
-SELECT g AS o_orderstatus, (SELECT count(*) FROM f WHERE f.g = l2.g) AS n_ids, CASE WHEN n = 1 THEN lone ELSE v END AS ids_sha256 FROM l2""")
+@query("id_fingerprint", """
+SELECT o_orderstatus, count(*) AS n_ids, sha256(string_agg(o_orderkey::VARCHAR, chr(10) ORDER BY o_orderdate, o_orderkey)) AS ids_sha256
+FROM orders GROUP BY o_orderstatus""")
 def id_fingerprint(t):
     return M.fingerprint(t.orders.select("o_orderstatus", "o_orderdate", "o_orderkey"), ["o_orderstatus"], ["o_orderdate", "o_orderkey"], "o_orderkey")
 
