@@ -10,12 +10,18 @@ from .expect import close
 
 
 def delta_table(evaluations: DataFrame, baseline: str, datasets: Sequence[str], metric: str = "nll") -> DataFrame:
-    """(label, <dataset>, <dataset>_delta ...): each label against the baseline, datasets as columns."""
-    wide = evaluations.groupBy("label").pivot("dataset", list(datasets)).agg(F.first(metric))
-    base = wide.where(F.col("label") == baseline).select(*[F.col(d).alias(f"__{d}") for d in datasets])
-    # a single baseline row
-    return wide.crossJoin(base.limit(1)).select(
-        "label", *datasets, *[(F.col(d) - F.col(f"__{d}")).alias(f"{d}_delta") for d in datasets])
+    """(label, <dataset>, <dataset>_delta ...): each label against the baseline, datasets as columns.
+
+    Two evaluations of one label and dataset, or no evaluation of the baseline, are an error.
+    """
+    once = evaluations.groupBy("label", "dataset").agg(F.count("*").alias("__n"), F.max(metric).alias("__v")).select(
+        "label", "dataset", F.when(F.col("__n") > 1, F.raise_error(F.concat_ws(" ", F.lit("evaluated twice:"), "label", "dataset")).cast("double")).otherwise(F.col("__v")).alias("__v"))
+    wide = once.groupBy("label").pivot("dataset", list(datasets)).agg(F.max("__v"))
+    of_base = F.col("label") == baseline
+    base = wide.agg(F.count_if(of_base).alias("__n"), *[F.max(F.when(of_base, F.col(d))).alias(f"__{d}") for d in datasets])
+    # an aggregate without keys: exactly one row
+    known = lambda d: F.when(F.col("__n") == 1, F.col(f"__{d}")).otherwise(F.raise_error(F.lit(f"no evaluation of the baseline {baseline}")).cast("double"))
+    return wide.crossJoin(base).select("label", *datasets, *[(F.col(d) - known(d)).alias(f"{d}_delta") for d in datasets])
 
 
 def gate(evaluations: DataFrame, baseline: str, main: str, guard: str, max_regression: float = 0.001, metric: str = "nll") -> DataFrame:

@@ -68,12 +68,12 @@ def curate(spark: SparkSession, root: str, metadata: DataFrame, cluster_map: Dat
     entity_id, cluster."""
     inputs, skipped = select_inputs(spark, root, metadata, cfg)
     inputs = checkpointed(inputs)
-    parsed = checkpointed(T.read_mmcif(spark, inputs, root))
+    parsed = checkpointed(T.read_mmcif(spark, inputs))
     failed = T.parse_failures(parsed).drop("error")
     head = T.header_fields(parsed).select(
         "path", F.col("method").alias("header_method"), F.col("date").alias("header_date"),
         F.col("resolution").alias("header_resolution"), "atom_rows")
-    judged = L.reason_cascade(inputs.join(head, "path"), L.content_rules(cfg.methods, cfg.first_date, cfg.last_date, cfg.max_resolution))
+    judged = L.reason_cascade(inputs.join(failed.select("path"), "path", "left_anti").join(head, "path", "left"), L.content_rules(cfg.methods, cfg.first_date, cfg.last_date, cfg.max_resolution))
     skipped = skipped.unionByName(judged.where("reason is not null").select("path", "status", "reason"))
     entries = judged.where("reason is null").select(
         "path", F.col("entry_id").alias("entry"), "pdb_id",

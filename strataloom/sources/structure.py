@@ -18,17 +18,19 @@ FILE_NAME = r"(?:^|/)([0-9A-Za-z]{4})-assembly([^./]+)\.cif(?:\.gz)?$"
 BACKBONE = ("N", "CA", "C", "O")
 #: The columns read from each file category, in table order.
 CATEGORIES = {
-    "atom_site": "group_PDB label_atom_id label_comp_id label_asym_id label_entity_id label_seq_id label_alt_id "
-                 "Cartn_x Cartn_y Cartn_z occupancy B_iso_or_equiv pdbx_PDB_model_num",
-    "entity_poly": "entity_id type",
-    "entity_poly_seq": "entity_id num mon_id",
-    "pdbx_poly_seq_scheme": "asym_id entity_id seq_id mon_id",
-    "exptl": "method",
-    "pdbx_database_status": "recvd_initial_deposition_date",
-    "database_PDB_rev": "date_original date",
-    "refine": "ls_d_res_high",
-    "em_3d_reconstruction": "resolution",
-    "reflns": "d_resolution_high",
+    "atom_site": (
+        "group_PDB", "label_atom_id", "label_comp_id", "label_asym_id", "label_entity_id", "label_seq_id",
+        "label_alt_id", "Cartn_x", "Cartn_y", "Cartn_z", "occupancy", "B_iso_or_equiv", "pdbx_PDB_model_num",
+    ),
+    "entity_poly": ("entity_id", "type"),
+    "entity_poly_seq": ("entity_id", "num", "mon_id"),
+    "pdbx_poly_seq_scheme": ("asym_id", "entity_id", "seq_id", "mon_id"),
+    "exptl": ("method",),
+    "pdbx_database_status": ("recvd_initial_deposition_date",),
+    "database_PDB_rev": ("date_original", "date"),
+    "refine": ("ls_d_res_high",),
+    "em_3d_reconstruction": ("resolution",),
+    "reflns": ("d_resolution_high",),
 }
 
 
@@ -151,54 +153,56 @@ def _cif_rows(text: str):
         yield category, 0, row
 
 
-def _parse_files(chunk: int):
-    wanted = {category: items.split() for category, items in CATEGORIES.items()}
+def _needed_rows(path: str, content: bytes) -> list[tuple]:
+    """All needed rows of a file, and one ``parsed`` row that holds the number of its atom rows."""
+    raw = gzip.decompress(content) if path.endswith(".gz") else bytes(content)
+    out, atoms = [], 0
+    for category, row, items in _cif_rows(raw.decode("utf-8", errors="replace")):
+        if category not in CATEGORIES:
+            continue
+        values = [items.get(c) for c in CATEGORIES[category]]
+        if category == "atom_site":
+            atoms += 1
+            if (values[1] or "").strip().upper() not in BACKBONE:
+                continue
+        out.append((path, category, row, values, None))
+    return [*out, (path, "parsed", 0, [str(atoms)], None)]
+
 
+def _parse_files(chunk: int):
     def parse(batches):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                out, failed = [], None
+                # rows leave only when the whole file has parsed, so a failed file leaves none
                 try:
-                    raw = gzip.decompress(content) if path.endswith(".gz") else bytes(content)
-                    for category, row, items in _cif_rows(raw.decode("utf-8", errors="replace")):
-                        if category not in wanted:
-                            continue
-                        values = [items.get(c) for c in wanted[category]]
-                        if category == "atom_site" and (values[1] or "").strip().upper() not in BACKBONE:
-                            values = None if out or row else values
-                        if values is not None:
-                            out.append((path, category, row, values, None))
-                        if len(out) >= chunk:
-                            yield pd.DataFrame(out, columns=["path", "category", "row", "values", "error"])
-                            out = []
+                    out = _needed_rows(path, content)
                 except Exception as error:
-                    failed = (path, "error", 0, None, f"{type(error).__name__}: {error}")
-                if failed:
-                    out = [failed]
-                if out:
-                    yield pd.DataFrame(out, columns=["path", "category", "row", "values", "error"])
+                    out = [(path, "error", 0, None, f"{type(error).__name__}: {error}")]
+                for at in range(0, len(out), chunk):
+                    yield pd.DataFrame(out[at:at + chunk], columns=["path", "category", "row", "values", "error"])
     return parse
 
 
-def read_mmcif(spark: SparkSession, paths: DataFrame | Sequence[str], root: str | None = None, chunk: int = 50_000) -> DataFrame:
+def read_mmcif(spark: SparkSession, paths: DataFrame | Sequence[str], chunk: int = 50_000) -> DataFrame:
     """(path, category, row, values, error): the needed rows of every file.
 
-    ``paths`` is a list of files, or a DataFrame with ``path`` chosen below ``root``: contents
-    are read for those rows only. Only backbone atoms leave the parser, in chunks, so a file of
-    any size needs no more than its own text. A file that cannot be parsed gives one ``error`` row.
+    ``paths`` is a list of files, or a DataFrame with ``path``. Only those files are opened: their
+    names go to the reader, whose own file index holds them on the driver in any case. Of the
+    atoms only backbone ones leave the parser. A file that parses gives one ``parsed`` row with
+    its number of atom rows, a file that cannot be parsed one ``error`` row and nothing else.
     """
-    if isinstance(paths, DataFrame):
-        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "content")
-        found = found.join(paths.select("path"), "path", "left_semi")
-    else:
-        found = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
-    return found.mapInPandas(
-        _parse_files(chunk), "path string, category string, row bigint, values array<string>, error string")
+    names = [r["path"] for r in paths.select("path").toLocalIterator()] if isinstance(paths, DataFrame) else list(paths)
+    schema = "path string, category string, row bigint, values array<string>, error string"
+    if not names:
+        return spark.createDataFrame([], schema)
+    literal = [re.sub(r"([\\\[\]{}*?])", r"\\\1", name) for name in names]
+    found = spark.read.format("binaryFile").load(literal).select("path", "content")
+    return found.mapInPandas(_parse_files(chunk), schema)
 
 
 def category_table(parsed: DataFrame, category: str) -> DataFrame:
     """One file category as a table: path, row and its columns, lower-cased."""
-    columns = CATEGORIES[category].split()
+    columns = CATEGORIES[category]
     return parsed.where(F.col("category") == category).select(
         "path", "row", *[F.get("values", F.lit(i)).alias(c.lower()) for i, c in enumerate(columns)])
 
@@ -206,7 +210,7 @@ def category_table(parsed: DataFrame, category: str) -> DataFrame:
 def header_fields(parsed: DataFrame) -> DataFrame:
     """(path, method, date, resolution, atom_rows): first usable value of each header field."""
     def first(category: str, column: str, convert) -> Column:
-        at = CATEGORIES[category].split().index(column)
+        at = CATEGORIES[category].index(column)
         value = convert(F.get("values", F.lit(at)))
         usable = (F.col("category") == category) & value.isNotNull()
         return F.min_by(F.when(usable, value), F.when(usable, F.col("row")))
@@ -218,7 +222,7 @@ def header_fields(parsed: DataFrame) -> DataFrame:
                    first("database_PDB_rev", "date_original", text), first("database_PDB_rev", "date", text)).alias("date"),
         F.coalesce(first("refine", "ls_d_res_high", number), first("em_3d_reconstruction", "resolution", number),
                    first("reflns", "d_resolution_high", number)).alias("resolution"),
-        F.count_if(F.col("category") == "atom_site").alias("atom_rows"))
+        F.max(F.when(F.col("category") == "parsed", F.get("values", F.lit(0)).cast("bigint"))).alias("atom_rows"))
 
 
 def parse_failures(parsed: DataFrame) -> DataFrame:

@@ -72,7 +72,7 @@ def write_cif(folder):
 
 def tables(spark, folder):
     files = X.discover_assemblies(X.list_files(spark, str(folder)))
-    parsed = X.read_mmcif(spark, files, str(folder))
+    parsed = X.read_mmcif(spark, files)
     named = X.with_file_ids(parsed).withColumnRenamed("entry_id", "entry")
     table = lambda c: X.with_file_ids(X.category_table(parsed, c)).withColumnRenamed("entry_id", "entry")
     return parsed, table, named
@@ -103,6 +103,33 @@ def test_mmcif_keeps_missing_coordinates(spark, tmp_path):
     assert fallback.count() == 4
 
 
+def test_one_outcome_per_file_and_no_rows_of_failed_files(spark, tmp_path):
+    write_cif(tmp_path)
+    atoms = "".join(f"ATOM CA ALA A 1 {n} . 1.0 0.5 1.0 1.00 9.0 1\n" for n in range(20))
+    late = CIF + atoms + "data_second\n_exptl.method\n;never closed\n"
+    (tmp_path / "3lat-assembly1.cif").write_text(late)
+    (tmp_path / "4non-assembly1.cif").write_text("data_X\n_cell.length_a 1.0\n")
+    (tmp_path / "5sid-assembly1.cif").write_text(CIF + "ATOM CB ALA A 1 1 . 1.0 0.5 1.0 1.00 9.0 1\n")
+    (tmp_path / "6big-assembly1.cif").write_text("x" * 100_000)
+    files = X.discover_assemblies(X.list_files(spark, str(tmp_path)))
+    kept, skipped = X.size_bounded(files, 50_000)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 60_000)
+    try:
+        # the file that was not chosen would fail the job if it were opened
+        rows = X.read_mmcif(spark, kept, chunk=2).collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    by_file = {}
+    for r in rows:
+        by_file.setdefault(r["path"].rsplit("/", 1)[-1][:4], []).append(r["category"])
+    assert skipped.count() == 1 and set(by_file) == {"1abc", "2bad", "3lat", "4non", "5sid"}
+    assert by_file["2bad"] == by_file["3lat"] == ["error"] and by_file["4non"] == ["parsed"]
+    assert all(c.count("parsed") == 1 for f, c in by_file.items() if f not in ("2bad", "3lat"))
+    heads = {r["path"].rsplit("/", 1)[-1][:4]: r["atom_rows"] for r in X.header_fields(X.read_mmcif(spark, kept)).collect()}
+    # atoms beside the backbone count as atom rows
+    assert heads["4non"] == 0 and heads["5sid"] == 1 and heads["1abc"] > 8
+
+
 def test_file_discovery(spark, tmp_path):
     for n in ("5naf-assembly4", "5naf-assembly10", "5naf-assembly2", "5naf-assembly1", "1abc-assembly2"):
         (tmp_path / f"{n}.cif.gz").write_bytes(b"x" * 10)
