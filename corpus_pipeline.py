@@ -13,7 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strataloom.llm import decontamination, jaccard_join, line_dedup, mixing, toxicity
-from strataloom.session import checkpoint_dir, tune
+from strataloom.llm.common import prepare
+from strataloom.session import checkpoint_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,31 +23,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that score 0.7 or more; the model learns from the labels that are not held out."""
-    tune(spark)
+    prepare(spark)
     return toxicity.without_toxic(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts later matching lines; a document of which no word is left goes."""
-    tune(spark)
+    prepare(spark)
     return line_dedup.without_repeats(docs)
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each class of near duplicates."""
-    tune(spark)
+    prepare(spark)
     return jaccard_join.one_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark window."""
-    tune(spark)
+    prepare(spark)
     return decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Draws documents by the raked source, language and topic weights."""
-    tune(spark)
+    prepare(spark)
     return mixing.mix(docs, mixing.mixing_rates(docs)).where(F.col("copies") > 0)
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, tune
 
 #: Fixed value: what separates words; a word is a run of ASCII digits, small letters and non-ASCII characters.
 NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -16,6 +16,12 @@ CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ROW_KEY = ["__row_id", "__row_text"]
 
 
+def prepare(spark: SparkSession) -> None:
+    """Session settings of these operators: the library's, and shuffle files that go with the job that wrote them."""
+    tune(spark)
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, however often the body uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import ROW_KEY, keyed, let, maybe_broadcast, stored
+from .common import ROW_KEY, keyed, maybe_broadcast, stored
 
 THRESHOLD, LEAST_TOKENS = 0.8, 8
 #: Fixed value: what separates the tokens of a line.
 APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Buckets of the frequency table. Its size does not follow the data: one byte a bucket.
+#: Buckets of the frequency table. Its size does not follow the data.
 BUCKETS = 1 << 16
-#: Rows (about 40 bytes each) up to which a set of candidate documents is broadcast.
+#: Rows (about 40 bytes each) up to which a set of candidate lines is broadcast.
 BROADCAST_ROWS = 1_000_000
+#: Parts in which the token space is worked off.
+PASSES = 4
 LINE = [*ROW_KEY, "line"]
 
 
@@ -21,77 +23,116 @@ def line_tokens(line: Column) -> Column:
     return F.array_distinct(F.array_remove(F.split(F.lower(line), APART), ""))
 
 
-def rarity_table(docs: DataFrame, text: str) -> bytes:
-    """One byte per bucket of token hashes: how many documents hold its tokens, on a log scale.
+def rarity_table(docs: DataFrame, text: str) -> Column:
+    """Level of each bucket of token hashes: how often its tokens occur in all texts, on a log scale.
 
-    Counted over all documents. Tokens that share a bucket share a level, which only makes the
-    order coarser: any order gives exact results, a good one gives short lists.
+    Tokens that share a bucket share a level, which only makes the order coarser: any order gives
+    exact results, a good one gives short lists.
     """
-    counts = docs.select(F.explode(line_tokens(F.coalesce(F.col(text), F.lit("")))).alias("t")).groupBy(
-        F.pmod(F.xxhash64("t"), F.lit(BUCKETS)).alias("b")).agg(F.count("*").alias("n"))
-    levels = bytearray(BUCKETS)
-    for r in counts.select(F.col("b").cast("int"), F.least(F.lit(255), F.floor(F.log2("n") * 8)).cast("int").alias("l")).collect():  # at most BUCKETS rows
+    counts = docs.select(F.explode(F.split(F.lower(F.col(text)), APART)).alias("t")).groupBy(
+        F.pmod(F.xxhash64("t"), F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("n"))
+    levels = [0] * BUCKETS
+    for r in counts.select("b", F.least(F.lit(127), F.floor(F.log2("n") * 4)).cast("int").alias("l")).collect():  # at most BUCKETS rows
         levels[r[0]] = r[1]
-    return bytes(levels)
+    # a constant, folded once into an array
+    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
 
 
-def _ordered(line: Column, levels: bytes) -> Column:
-    """Token hashes of a line, rarest first."""
-    table = F.lit(bytearray(levels))
-    ranked = F.array_sort(F.transform(F.transform(line_tokens(line), lambda t: F.xxhash64(t)), lambda h: F.struct(
-        F.substring(table, (F.pmod(h, F.lit(BUCKETS)) + 1).cast("int"), F.lit(1)).alias("level"), h.alias("h"))))
-    return F.transform(ranked, lambda s: s["h"])
+def _ordered(line: Column, levels: Column) -> Column:
+    """The token set of a line as numbers, rarest first: level in the upper byte, hash below it."""
+    number = lambda h: F.shiftleft(F.get(levels, F.pmod(h, F.lit(BUCKETS)).cast("int")), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    tokens = F.array_remove(F.split(F.lower(line), APART), "")
+    return F.sort_array(F.array_distinct(F.transform(tokens, lambda t: number(F.xxhash64(t)))))
 
 
-def _least_overlap(a: Column, b: Column, threshold: float) -> Column:
-    """Common tokens that two sets of these sizes need for the threshold."""
-    return F.ceil(F.lit(threshold / (1 + threshold)) * (a + b) - F.lit(1e-9))
+def _lines(docs: DataFrame, text: str) -> DataFrame:
+    return docs.select(*ROW_KEY, F.posexplode(F.split(F.col(text), "\n", -1)).alias("line", "content"))
 
 
-def _lines(docs: DataFrame, text: str) -> DataFrame:
-    return docs.select(*ROW_KEY, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)).alias("line", "content"))
+def _place(of: str = "") -> Column:
+    return F.struct(*[F.col(f"{of}{c}").alias(c) for c in LINE])
+
+
+def _bitmap(tokens: Column) -> Column:
+    """64 bits, one set for each token: two sets differ in at least as many tokens as their bitmaps in bits."""
+    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda m, h: m.bitwiseOR(
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 40).bitwiseAND(F.lit(63)).cast("int"))))
+
+
+def _able(a: str, b: str, threshold: float) -> Column:
+    """Whether two sets can reach the threshold: their sizes, the places at which their lists meet, their bitmaps."""
+    n, m, at, bt = (F.col(f"{side}{c}") for c in ("n", "at") for side in (a, b))
+    need = F.ceil(F.lit(threshold / (1 + threshold)) * (n + m) - F.lit(1e-9))
+    return ((F.least(n, m) >= F.greatest(n, m) * threshold - 1e-9) & (F.least(n - at, m - bt) >= need)
+            & (F.bit_count(F.col(f"{a}bits").bitwiseXOR(F.col(f"{b}bits"))) <= n + m - 2 * need))
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, text: str, threshold: float) -> DataFrame:
+    """The distinct ``later`` places of the (later, earlier) pairs whose lines reach the threshold, compared token by token."""
+    places = stored(pairs.select("later").union(pairs.select("earlier")).distinct().select(F.col("later.*")))
+    n = places.count()
+    some = docs.join(maybe_broadcast(places.select(*ROW_KEY).distinct(), n, BROADCAST_ROWS), ROW_KEY, "left_semi")
+    # rows repeated as a whole hold the same line at one place
+    lines = stored(_lines(some, text).join(maybe_broadcast(places, n, BROADCAST_ROWS), LINE, "left_semi").select(
+        _place().alias("place"), "content").dropDuplicates(["place"]).select("place", line_tokens(F.col("content")).alias("tokens")))
+    both = pairs.join(lines.select(F.col("place").alias("later"), F.col("tokens").alias("x")), "later").join(
+        lines.select(F.col("place").alias("earlier"), F.col("tokens").alias("y")), "earlier")
+    sized = both.select("later", F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("all"))
+    return sized.where(F.col("common") / (F.col("all") - F.col("common")) >= threshold).select("later").distinct()
 
 
-def _place(columns=LINE) -> Column:
-    return F.struct(*columns)
+def _in_passes(find, *lists: DataFrame) -> DataFrame:
+    """Pairs that ``find`` makes of the lists, one part of the token space after the other, which bounds
+    the shuffle files on disk at one time."""
+    parts = [stored(find(*[x.where(F.pmod("token", F.lit(PASSES)) == k) for x in lists])) for k in range(PASSES)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return stored(out.distinct())
 
 
 def repeated_lines(docs: DataFrame, text: str, threshold: float = THRESHOLD, least_tokens: int = LEAST_TOKENS) -> DataFrame:
     """(row key, line): the lines of keyed ``docs`` that match an earlier line.
 
     Lines are ordered by row key and place. Lines of one token set become one representative, the
-    first; the prefix lists of representatives, rarest tokens first, are joined token by token.
-    Length and position filters apply inside the join, and what is left is verified on the whole
-    token sets of the two lines.
+    first. Representatives meet at the tokens of their prefix lists, rarest first, under length,
+    position and bitmap filters, and what is left is verified on the lines themselves. First, every
+    line is compared with the earliest line at each of its tokens: one pair a row, which settles
+    families of copies without pairing them all. Only lines not settled so go on to the join with
+    all earlier ones.
     """
     levels = rarity_table(docs, text)
     ordered = _lines(docs, text).select(*LINE, _ordered(F.col("content"), levels).alias("tokens"))
     size = F.size("tokens")
-    kept = ordered.where(size >= least_tokens).select(
-        *LINE, F.xxhash64("tokens").alias("set_a"), F.xxhash64(F.lit(7), "tokens").alias("set_b"), size.alias("n"),
-        F.slice("tokens", F.lit(1), (size - F.ceil(size * threshold - 1e-9) + 1).cast("int")).alias("prefix"))
-    lines = stored(kept)
+    lines = stored(ordered.where(size >= least_tokens).select(
+        *LINE, F.xxhash64("tokens").alias("set_a"), F.xxhash64(F.lit(7), "tokens").alias("set_b"), size.alias("n"), _bitmap(F.col("tokens")).alias("bits"),
+        F.slice("tokens", F.lit(1), (size - F.ceil(size * threshold - 1e-9) + 1).cast("int")).alias("prefix")))
     # equal sets: only the first line goes on, a line that fills a third of all rows costs one row a task
-    sets = stored(lines.groupBy("set_a", "set_b").agg(F.min(_place()).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
-    lists = sets.select("first", "n", F.posexplode("prefix").alias("at", "token"))
-    other = lists.select(F.col("first").alias("earlier"), F.col("n").alias("m"), F.col("at").alias("bt"), "token")
-    need = _least_overlap(F.col("n"), F.col("m"), threshold)
-    pairs = lists.join(other, "token").where(
-        (F.col("earlier") < F.col("first"))
-        & (F.least("n", "m") >= F.greatest("n", "m") * threshold - 1e-9)
-        & (F.lit(1) + F.least(F.col("n") - F.col("at"), F.col("m") - F.col("bt")) - 1 >= need)).select("first", "earlier").distinct()
-    pairs = stored(pairs)
-    places = pairs.select(F.col("first").alias("p")).union(pairs.select(F.col("earlier").alias("p"))).distinct().select("p.*")
-    places = stored(places)
-    wanted = places.select(*ROW_KEY).distinct()
-    some = docs.join(maybe_broadcast(wanted, places.count(), BROADCAST_ROWS), ROW_KEY, "left_semi")
-    tokens = stored(_lines(some, text).join(places, LINE, "left_semi").dropDuplicates(LINE).select(
-        _place().alias("p"), line_tokens(F.col("content")).alias("tokens")))
-    both = pairs.join(tokens.select(F.col("p").alias("first"), F.col("tokens").alias("x")), "first").join(
-        tokens.select(F.col("p").alias("earlier"), F.col("tokens").alias("y")), "earlier")
-    common = F.size(F.array_intersect("x", "y"))
-    later = both.where(common / (F.size("x") + F.size("y") - common) >= threshold).select("first").distinct().withColumn("late", F.lit(True))
-    judged = sets.select("set_a", "set_b", "first").join(later, "first", "left")
+    sets = stored(lines.groupBy("set_a", "set_b").agg(
+        F.min(_place()).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")))
+    listed = ["n", "at", "bits", *LINE]
+    unroll = lambda df: df.select("first.*", "n", "bits", F.posexplode("prefix").alias("at", "token"))
+    lists = unroll(sets)
+
+    def with_heads(part: DataFrame) -> DataFrame:
+        ranked = W.partitionBy("token").orderBy(*LINE)
+        met = part.select("token", *listed, *[F.first(c).over(ranked).alias(f"head_{c}") for c in listed])
+        return met.where((_place("head_") < _place()) & _able("", "head_", threshold)).select(
+            _place().alias("later"), _place("head_").alias("earlier")).distinct()
+
+    heads = _in_passes(with_heads, lists)
+    settled = stored(_verified(heads, docs, text, threshold))
+    # of the rest, each line looks at all earlier ones that share a token of its list
+    open_ = unroll(stored(sets.join(settled.withColumnRenamed("later", "first"), "first", "left_anti")))
+
+    def with_all(mine: DataFrame, part: DataFrame) -> DataFrame:
+        probe = mine.join(part.select("token", *[F.col(c).alias(f"e_{c}") for c in listed]), "token")
+        return probe.where((_place("e_") < _place()) & _able("", "e_", threshold)).select(
+            _place().alias("later"), _place("e_").alias("earlier")).distinct()
+
+    pairs = _in_passes(with_all, open_, lists)
+    late = settled.union(_verified(pairs.join(heads, ["later", "earlier"], "left_anti"), docs, text, threshold)).withColumn("late", F.lit(True))
+    judged = sets.select("set_a", "set_b", "first").join(late.withColumnRenamed("later", "first"), "first", "left")
     return lines.select(*LINE, "set_a", "set_b").join(judged, ["set_a", "set_b"]).where(
         F.coalesce("late", F.lit(False)) | (F.col("first") < _place())).select(*LINE).distinct()
 

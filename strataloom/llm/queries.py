@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import tune
+from .common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,7 +19,7 @@ def query(name: str, sql: str | None = None):
     """Register ``fn(table)``, where ``table(name)`` reads a whole table, under ``name``."""
     def wrap(fn):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            tune(spark)
+            prepare(spark)
             return fn(lambda table: spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet"))
 
         run.__name__, run.__doc__ = name, fn.__doc__
