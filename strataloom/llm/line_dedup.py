@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import ROW_KEY, keyed, maybe_broadcast, stored
+from .common import ROW_KEY, keyed, let, maybe_broadcast, stored
 
 THRESHOLD, LEAST_TOKENS = 0.8, 8
 #: Fixed value: what separates the tokens of a line.
@@ -74,21 +74,22 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, threshold: float) ->
     some = docs.join(maybe_broadcast(places.select(*ROW_KEY).distinct(), n, BROADCAST_ROWS), ROW_KEY, "left_semi")
     # rows repeated as a whole hold the same line at one place
     lines = stored(_lines(some, text).join(maybe_broadcast(places, n, BROADCAST_ROWS), LINE, "left_semi").select(
-        _place().alias("place"), "content").dropDuplicates(["place"]).select("place", line_tokens(F.col("content")).alias("tokens")))
-    both = pairs.join(lines.select(F.col("place").alias("later"), F.col("tokens").alias("x")), "later").join(
-        lines.select(F.col("place").alias("earlier"), F.col("tokens").alias("y")), "earlier")
-    sized = both.select("later", F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("all"))
-    return sized.where(F.col("common") / (F.col("all") - F.col("common")) >= threshold).select("later").distinct()
+        _place().alias("place"), "content").dropDuplicates(["place"]))
+    both = pairs.join(lines.select(F.col("place").alias("later"), F.col("content").alias("x")), "later").join(
+        lines.select(F.col("place").alias("earlier"), F.col("content").alias("y")), "earlier")
+    likeness = let(line_tokens(F.col("x")), lambda x: let(line_tokens(F.col("y")), lambda y: let(
+        F.size(F.array_intersect(x, y)), lambda common: common / (F.size(x) + F.size(y) - common))))
+    return both.where(likeness >= threshold).select("later").distinct()
 
 
 def _in_passes(find, *lists: DataFrame) -> DataFrame:
-    """Pairs that ``find`` makes of the lists, one part of the token space after the other, which bounds
+    """What ``find`` makes of the lists, one part of the token space after the other, which bounds
     the shuffle files on disk at one time."""
     parts = [stored(find(*[x.where(F.pmod("token", F.lit(PASSES)) == k) for x in lists])) for k in range(PASSES)]
     out = parts[0]
     for part in parts[1:]:
         out = out.union(part)
-    return stored(out.distinct())
+    return out
 
 
 def repeated_lines(docs: DataFrame, text: str, threshold: float = THRESHOLD, least_tokens: int = LEAST_TOKENS) -> DataFrame:
@@ -97,9 +98,9 @@ def repeated_lines(docs: DataFrame, text: str, threshold: float = THRESHOLD, lea
     Lines are ordered by row key and place. Lines of one token set become one representative, the
     first. Representatives meet at the tokens of their prefix lists, rarest first, under length,
     position and bitmap filters, and what is left is verified on the lines themselves. First, every
-    line is compared with the earliest line at each of its tokens: one pair a row, which settles
-    families of copies without pairing them all. Only lines not settled so go on to the join with
-    all earlier ones.
+    line is compared with one line only, the nearest of the earliest lines at its tokens, which
+    settles families of copies without pairing them all. Only lines not settled so go on to the
+    join with all earlier ones.
     """
     levels = rarity_table(docs, text)
     ordered = _lines(docs, text).select(*LINE, _ordered(F.col("content"), levels).alias("tokens"))
@@ -117,10 +118,12 @@ def repeated_lines(docs: DataFrame, text: str, threshold: float = THRESHOLD, lea
     def with_heads(part: DataFrame) -> DataFrame:
         ranked = W.partitionBy("token").orderBy(*LINE)
         met = part.select("token", *listed, *[F.first(c).over(ranked).alias(f"head_{c}") for c in listed])
-        return met.where((_place("head_") < _place()) & _able("", "head_", threshold)).select(
-            _place().alias("later"), _place("head_").alias("earlier")).distinct()
+        off = F.bit_count(F.col("bits").bitwiseXOR(F.col("head_bits")))
+        return met.where((_place("head_") < _place()) & _able("", "head_", threshold)).groupBy(_place().alias("later")).agg(
+            F.min(F.struct(off.alias("off"), _place("head_").alias("earlier"))).alias("best"))
 
-    heads = _in_passes(with_heads, lists)
+    # of the first lines at its tokens, a line is compared with the one whose bitmap is nearest
+    heads = stored(_in_passes(with_heads, lists).groupBy("later").agg(F.min("best").alias("best")).select("later", "best.earlier"))
     settled = stored(_verified(heads, docs, text, threshold))
     # of the rest, each line looks at all earlier ones that share a token of its list
     open_ = unroll(stored(sets.join(settled.withColumnRenamed("later", "first"), "first", "left_anti")))
@@ -130,8 +133,8 @@ def repeated_lines(docs: DataFrame, text: str, threshold: float = THRESHOLD, lea
         return probe.where((_place("e_") < _place()) & _able("", "e_", threshold)).select(
             _place().alias("later"), _place("e_").alias("earlier")).distinct()
 
-    pairs = _in_passes(with_all, open_, lists)
-    late = settled.union(_verified(pairs.join(heads, ["later", "earlier"], "left_anti"), docs, text, threshold)).withColumn("late", F.lit(True))
+    pairs = stored(_in_passes(with_all, open_, lists).distinct())
+    late = settled.union(_verified(pairs, docs, text, threshold)).withColumn("late", F.lit(True))
     judged = sets.select("set_a", "set_b", "first").join(late.withColumnRenamed("later", "first"), "first", "left")
     return lines.select(*LINE, "set_a", "set_b").join(judged, ["set_a", "set_b"]).where(
         F.coalesce("late", F.lit(False)) | (F.col("first") < _place())).select(*LINE).distinct()
