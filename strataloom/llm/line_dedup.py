@@ -11,7 +11,7 @@ THRESHOLD, LEAST_TOKENS = 0.8, 8
 APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Buckets of the frequency table. Its size does not follow the data.
 BUCKETS = 1 << 16
-#: Rows (about 40 bytes each) up to which a set of candidate lines is broadcast.
+#: Lines (about 40 bytes each) up to which a set of them is broadcast; larger sets are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Parts in which the token space is worked off.
 PASSES = 4
@@ -126,7 +126,8 @@ def repeated_lines(docs: DataFrame, text: str, threshold: float = THRESHOLD, lea
     heads = stored(_in_passes(with_heads, lists).groupBy("later").agg(F.min("best").alias("best")).select("later", "best.earlier"))
     settled = stored(_verified(heads, docs, text, threshold))
     # of the rest, each line looks at all earlier ones that share a token of its list
-    open_ = unroll(stored(sets.join(settled.withColumnRenamed("later", "first"), "first", "left_anti")))
+    done = maybe_broadcast(settled.withColumnRenamed("later", "first"), settled.count(), BROADCAST_ROWS)
+    open_ = unroll(sets.join(done, "first", "left_anti"))
 
     def with_all(mine: DataFrame, part: DataFrame) -> DataFrame:
         probe = mine.join(part.select("token", *[F.col(c).alias(f"e_{c}") for c in listed]), "token")
@@ -157,9 +158,9 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", thresho
 def _cut(docs: DataFrame, id: str, text: str, threshold: float, least_tokens: int) -> tuple[DataFrame, Column, Column, Column]:
     """Rows with their removed line numbers, and as columns the cut text, the lines and the removed ones."""
     rows = keyed(docs, id, text)
-    gone = repeated_lines(rows.select(*ROW_KEY, text), text, threshold, least_tokens).groupBy(*ROW_KEY).agg(
-        F.collect_set("line").alias("__gone"))
-    joined = rows.join(gone, ROW_KEY, "left")
+    gone = stored(repeated_lines(rows.select(*ROW_KEY, text), text, threshold, least_tokens).groupBy(*ROW_KEY).agg(
+        F.collect_set("line").alias("__gone")))
+    joined = rows.join(maybe_broadcast(gone, gone.agg(F.sum(F.size("__gone"))).first()[0] or 0, BROADCAST_ROWS), ROW_KEY, "left")
     lines = F.split(F.col(text), "\n", -1)
     none = F.array().cast("array<int>")
     cut = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(
