@@ -9,12 +9,12 @@ from .common import ROW_KEY, keyed, let, maybe_broadcast, stored
 THRESHOLD, LEAST_TOKENS = 0.8, 8
 #: Fixed value: what separates the tokens of a line.
 APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Buckets of the frequency table. Its size does not follow the data.
-BUCKETS = 1 << 16
+#: Buckets of the frequency table, one byte each. Its size does not follow the data.
+BUCKETS = 1 << 20
 #: Lines (about 40 bytes each) up to which a set of them is broadcast; larger sets are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Parts in which the token space is worked off.
-PASSES = 4
+PASSES = 8
 LINE = [*ROW_KEY, "line"]
 
 
@@ -35,12 +35,12 @@ def rarity_table(docs: DataFrame, text: str) -> Column:
     for r in counts.select("b", F.least(F.lit(127), F.floor(F.log2("n") * 4)).cast("int").alias("l")).collect():  # at most BUCKETS rows
         levels[r[0]] = r[1]
     # a constant, folded once into an array
-    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
+    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<tinyint>")
 
 
 def _ordered(line: Column, levels: Column) -> Column:
     """The token set of a line as numbers, rarest first: level in the upper byte, hash below it."""
-    number = lambda h: F.shiftleft(F.get(levels, F.pmod(h, F.lit(BUCKETS)).cast("int")), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    number = lambda h: F.shiftleft(F.get(levels, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
     tokens = F.array_remove(F.split(F.lower(line), APART), "")
     return F.sort_array(F.array_distinct(F.transform(tokens, lambda t: number(F.xxhash64(t)))))
 
@@ -53,10 +53,15 @@ def _place(of: str = "") -> Column:
     return F.struct(*[F.col(f"{of}{c}").alias(c) for c in LINE])
 
 
-def _bitmap(tokens: Column) -> Column:
-    """64 bits, one set for each token: two sets differ in at least as many tokens as their bitmaps in bits."""
-    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda m, h: m.bitwiseOR(
-        F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 40).bitwiseAND(F.lit(63)).cast("int"))))
+def _bitmap(tokens: Column, half: int) -> Column:
+    """Half of 128 bits, one set for each token: two sets differ in at least as many tokens as their bitmaps in bits."""
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 40).bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda m, h: F.when(
+        F.shiftrightunsigned(h, 46).bitwiseAND(F.lit(1)) == half, m.bitwiseOR(bit(h))).otherwise(m))
+
+
+def _bits_off(a: str, b: str) -> Column:
+    return F.bit_count(F.col(f"{a}low").bitwiseXOR(F.col(f"{b}low"))) + F.bit_count(F.col(f"{a}high").bitwiseXOR(F.col(f"{b}high")))
 
 
 def _able(a: str, b: str, threshold: float) -> Column:
@@ -64,7 +69,7 @@ def _able(a: str, b: str, threshold: float) -> Column:
     n, m, at, bt = (F.col(f"{side}{c}") for c in ("n", "at") for side in (a, b))
     need = F.ceil(F.lit(threshold / (1 + threshold)) * (n + m) - F.lit(1e-9))
     return ((F.least(n, m) >= F.greatest(n, m) * threshold - 1e-9) & (F.least(n - at, m - bt) >= need)
-            & (F.bit_count(F.col(f"{a}bits").bitwiseXOR(F.col(f"{b}bits"))) <= n + m - 2 * need))
+            & (_bits_off(a, b) <= n + m - 2 * need))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, text: str, threshold: float) -> DataFrame:
@@ -106,21 +111,20 @@ def repeated_lines(docs: DataFrame, text: str, threshold: float = THRESHOLD, lea
     ordered = _lines(docs, text).select(*LINE, _ordered(F.col("content"), levels).alias("tokens"))
     size = F.size("tokens")
     lines = stored(ordered.where(size >= least_tokens).select(
-        *LINE, F.xxhash64("tokens").alias("set_a"), F.xxhash64(F.lit(7), "tokens").alias("set_b"), size.alias("n"), _bitmap(F.col("tokens")).alias("bits"),
+        *LINE, F.xxhash64("tokens").alias("set_a"), F.xxhash64(F.lit(7), "tokens").alias("set_b"), size.alias("n"), _bitmap(F.col("tokens"), 0).alias("low"), _bitmap(F.col("tokens"), 1).alias("high"),
         F.slice("tokens", F.lit(1), (size - F.ceil(size * threshold - 1e-9) + 1).cast("int")).alias("prefix")))
     # equal sets: only the first line goes on, a line that fills a third of all rows costs one row a task
     sets = stored(lines.groupBy("set_a", "set_b").agg(
-        F.min(_place()).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")))
-    listed = ["n", "at", "bits", *LINE]
-    unroll = lambda df: df.select("first.*", "n", "bits", F.posexplode("prefix").alias("at", "token"))
+        F.min(_place()).alias("first"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("high").alias("high"), F.first("prefix").alias("prefix")))
+    listed = ["n", "at", "low", "high", *LINE]
+    unroll = lambda df: df.select("first.*", "n", "low", "high", F.posexplode("prefix").alias("at", "token"))
     lists = unroll(sets)
 
     def with_heads(part: DataFrame) -> DataFrame:
         ranked = W.partitionBy("token").orderBy(*LINE)
         met = part.select("token", *listed, *[F.first(c).over(ranked).alias(f"head_{c}") for c in listed])
-        off = F.bit_count(F.col("bits").bitwiseXOR(F.col("head_bits")))
         return met.where((_place("head_") < _place()) & _able("", "head_", threshold)).groupBy(_place().alias("later")).agg(
-            F.min(F.struct(off.alias("off"), _place("head_").alias("earlier"))).alias("best"))
+            F.min(F.struct(_bits_off("", "head_").alias("off"), _place("head_").alias("earlier"))).alias("best"))
 
     # of the first lines at its tokens, a line is compared with the one whose bitmap is nearest
     heads = stored(_in_passes(with_heads, lists).groupBy("later").agg(F.min("best").alias("best")).select("later", "best.earlier"))
