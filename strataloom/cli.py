@@ -55,8 +55,8 @@ def parser() -> argparse.ArgumentParser:
 
 
 def _report(df: DataFrame) -> None:
-    for row in df.limit(1000).toJSON().collect():
-        print(row)
+    for row in df.select(F.to_json(F.struct("*"))).toLocalIterator():
+        print(row[0])
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -20,8 +20,8 @@ def _walk(rows: Column, remaining: Column, kept: Column, min_length: int, max_ch
         size = F.least(chain["length"], state["remaining"])
         start = F.when(size == chain["length"], F.lit(0).cast("bigint")).otherwise(
             window_start(chain["length"], size, chain["center"]))
-        resolved = F.get(chain["prefix"], start + size) - F.get(chain["prefix"], start)
-        good = chain["prefix"].isNull() | (
+        resolved = F.char_length(F.replace(F.substring(chain["marks"], (start + 1).cast("int"), size.cast("int")), F.lit("0"), F.lit("")))
+        good = chain["marks"].isNull() | (
             (resolved >= min_resolved) & (resolved / F.greatest(size, F.lit(1)) >= F.lit(float(min_coverage))))
         take = ((state["remaining"] >= min_length) & (state["kept"] < max_chains)
                 & (size >= min_length) & chain["center"].isNotNull() & good)
@@ -59,16 +59,13 @@ def budget_crop(
     skipped = too_long.withColumn("reason", F.lit("target_too_long_for_complete_crop"))
     fits = target.where(F.col("target_length") <= budget)
     state = fits.select("entry", (F.lit(budget) - F.col("target_length")).cast("bigint").alias("remaining"), F.lit(1).cast("bigint").alias("kept"))
-    # resolved residues before each position, so that a window is two look-ups
-    prefix = F.when(F.col("resolved_mask").isNotNull(), F.aggregate(
-        "resolved_mask", F.array(F.lit(0)),
-        lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.coalesce(x.cast("int"), F.lit(0)))))) \
-        if gated else F.lit(None).cast("array<int>")
+    # one mark per residue: a window counts its marks, and only windows that are tried are counted
+    marks = F.array_join(F.transform("resolved_mask", lambda x: F.when(x, "1").otherwise("0")), "") if gated else F.lit(None).cast("string")
     context = chains.where("not is_target").withColumn(
         "__block", F.floor((F.col("spatial_rank") - 1) / block).cast("int"))
     context = context.select(
         "entry", "chain", F.col("length").cast("bigint").alias("length"), F.col("center").cast("bigint").alias("center"),
-        F.col("spatial_rank").cast("bigint").alias("spatial_rank"), prefix.alias("prefix"), "__block")
+        F.col("spatial_rank").cast("bigint").alias("spatial_rank"), marks.alias("marks"), "__block")
     blocks = context.agg(F.max("__block")).first()[0]
     chain_type = chains.schema["chain"].dataType.simpleString()
     pick_type = f"struct<chain:{chain_type},spatial_rank:bigint,start:bigint,end:bigint,kind:string>"
@@ -78,7 +75,7 @@ def budget_crop(
         F.lit("full_target").alias("kind"))
     for at in range(0 if blocks is None else blocks + 1):
         part = context.where(F.col("__block") == at).join(state, "entry").groupBy("entry").agg(
-            F.array_sort(F.collect_list(F.struct("spatial_rank", "chain", "length", "center", "prefix"))).alias("rows"),
+            F.array_sort(F.collect_list(F.struct("spatial_rank", "chain", "length", "center", "marks"))).alias("rows"),
             F.first("remaining").alias("remaining"), F.first("kept").alias("kept"))  # at most ``block`` rows each
         walked = part.select("entry", _walk(
             F.col("rows"), F.col("remaining"), F.col("kept"), min_length, max_chains,

@@ -35,8 +35,8 @@ def expect_empty(violations: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def enforce(report: DataFrame) -> DataFrame:
-    """Raise on the first broken rules of a report, else hand it back."""
-    broken = report.where("failed > 0").limit(20).collect()
+    """Raise with all broken rules of a report (it has a row per rule), else hand it back."""
+    broken = report.where("failed > 0").collect()
     if broken:
         raise ExpectationFailed("; ".join(f"{r['rule']}: {r['failed']}" for r in broken))
     return report

@@ -237,20 +237,20 @@ def _streamed_digests(batches):
     last, digest, n = None, None, 0
     for batch in batches:
         columns = batch.to_pydict()
-        for g, v in zip(columns["g"], columns["v"]):
+        for g, v in zip(columns["__group"], columns["__v"]):
             if digest is not None and g == last:
                 digest.update(b"\n")
             else:
                 if digest is not None:
-                    yield pa.RecordBatch.from_pylist([{"g": last, "n_ids": n, "ids_sha256": digest.hexdigest()}], schema=_DIGESTS)
+                    yield pa.RecordBatch.from_pylist([{"__group": last, "n_ids": n, "ids_sha256": digest.hexdigest()}], schema=_DIGESTS)
                 last, digest, n = g, hashlib.sha256(), 0
             digest.update((v or "").encode("utf-8"))
             n += 1
     if digest is not None:
-        yield pa.RecordBatch.from_pylist([{"g": last, "n_ids": n, "ids_sha256": digest.hexdigest()}], schema=_DIGESTS)
+        yield pa.RecordBatch.from_pylist([{"__group": last, "n_ids": n, "ids_sha256": digest.hexdigest()}], schema=_DIGESTS)
 
 
-_DIGESTS = pa.schema([("g", pa.string()), ("n_ids", pa.int64()), ("ids_sha256", pa.string())])
+_DIGESTS = pa.schema([("__group", pa.string()), ("n_ids", pa.int64()), ("ids_sha256", pa.string())])
 
 
 def fingerprint(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], id: str) -> DataFrame:
@@ -259,15 +259,15 @@ def fingerprint(df: DataFrame, group: Sequence[str], order: Sequence[str | Colum
     The digest is sequential, so a group is read by one task, but as a stream: Spark sorts (and
     spills) its ids and the task holds a batch of them at a time.
     """
-    rows = df.select(F.to_json(F.struct(*group) if group else F.struct(F.lit(0))).alias("g"), F.col(id).cast("string").alias("v"), *[
+    rows = df.select(F.to_json(F.struct(*group) if group else F.struct(F.lit(0))).alias("__group"), F.col(id).cast("string").alias("__v"), *[
         (F.col(o) if isinstance(o, str) else o).alias(f"__o{i}") for i, o in enumerate(order)])
     keys = [f"__o{i}" for i in range(len(order))]
-    digests = rows.repartition("g").sortWithinPartitions("g", *keys).select("g", "v").mapInArrow(
-        _streamed_digests, "g string, n_ids bigint, ids_sha256 string")
+    digests = rows.repartition("__group").sortWithinPartitions("__group", *keys).select("__group", "__v").mapInArrow(
+        _streamed_digests, "__group string, n_ids bigint, ids_sha256 string")
     if not group:
         return digests.select("n_ids", "ids_sha256")
-    names = df.select(*group).distinct().withColumn("g", F.to_json(F.struct(*group)))
-    return names.join(digests, "g").select(*group, "n_ids", "ids_sha256")
+    names = df.select(*group).distinct().withColumn("__group", F.to_json(F.struct(*group)))
+    return names.join(digests, "__group").select(*group, "n_ids", "ids_sha256")
 
 
 # ---------------------------------------------------------------- superposition
