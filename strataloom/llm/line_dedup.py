@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .common import ROW_KEY, keyed, let, maybe_broadcast, stored
@@ -31,11 +32,11 @@ def rarity_table(docs: DataFrame, text: str) -> Column:
     """
     counts = docs.select(F.explode(F.split(F.lower(F.col(text)), APART)).alias("t")).groupBy(
         F.pmod(F.xxhash64("t"), F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("n"))
-    levels = [0] * BUCKETS
-    for r in counts.select("b", F.least(F.lit(127), F.floor(F.log2("n") * 4)).cast("int").alias("l")).collect():  # at most BUCKETS rows
-        levels[r[0]] = r[1]
+    levels, names = np.zeros(BUCKETS, dtype=np.int64), [str(i) for i in range(128)]
+    table = counts.select("b", F.least(F.lit(127), F.floor(F.log2("n") * 4)).cast("int").alias("l")).toArrow()  # at most BUCKETS rows
+    levels[table["b"].to_numpy()] = table["l"].to_numpy()
     # a constant, folded once into an array
-    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<tinyint>")
+    return F.split(F.lit(",".join([names[i] for i in levels])), ",").cast("array<tinyint>")
 
 
 def _ordered(line: Column, levels: Column) -> Column:
