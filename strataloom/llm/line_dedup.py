@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .common import ROW_KEY, keyed, let, maybe_broadcast, stored
@@ -32,11 +31,12 @@ def rarity_table(docs: DataFrame, text: str) -> Column:
     """
     counts = docs.select(F.explode(F.split(F.lower(F.col(text)), APART)).alias("t")).groupBy(
         F.pmod(F.xxhash64("t"), F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("n"))
-    levels, names = np.zeros(BUCKETS, dtype=np.int64), [str(i) for i in range(128)]
-    table = counts.select("b", F.least(F.lit(127), F.floor(F.log2("n") * 4)).cast("int").alias("l")).toArrow()  # at most BUCKETS rows
-    levels[table["b"].to_numpy()] = table["l"].to_numpy()
+    level = F.coalesce(F.least(F.lit(127), F.floor(F.log2("n") * 4)).cast("int"), F.lit(0))
+    every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(counts, "b", "left").select("b", level.alias("l"))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "l"))), lambda x: x["l"].cast("string")), ",")
+    pages = every.groupBy(F.floor(F.col("b") / 4096).alias("page")).agg(listed.alias("levels")).orderBy("page").collect()  # BUCKETS / 4096 rows
     # a constant, folded once into an array
-    return F.split(F.lit(",".join([names[i] for i in levels])), ",").cast("array<tinyint>")
+    return F.split(F.lit(",".join(r["levels"] for r in pages)), ",").cast("array<tinyint>")
 
 
 def _ordered(line: Column, levels: Column) -> Column:
