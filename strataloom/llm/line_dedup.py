@@ -10,7 +10,7 @@ THRESHOLD, LEAST_TOKENS = 0.8, 8
 #: Fixed value: what separates the tokens of a line.
 APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Buckets of the frequency table, one byte each. Its size does not follow the data.
-BUCKETS = 1 << 20
+BUCKETS = 1 << 18
 #: Lines (about 40 bytes each) up to which a set of them is broadcast; larger sets are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Parts in which the token space is worked off.
