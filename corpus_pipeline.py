@@ -30,7 +30,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts later matching lines; a document of which no word is left goes."""
     prepare(spark)
-    return line_dedup.without_repeats(docs)
+    return line_dedup.without_repeats(docs, least_tokens=1)
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,7 +103,8 @@ def repeated_lines(docs: DataFrame, text: str, threshold: float = THRESHOLD, lea
 
     Lines are ordered by row key and place. Lines of one token set become one representative, the
     first. Representatives meet at the tokens of their prefix lists, rarest first, under length,
-    position and bitmap filters, and what is left is verified on the lines themselves. First, every
+    position and bitmap filters, and what is left is verified on the lines themselves. A set so small
+    that one more token takes it below the threshold matches equal sets only and needs no list. First, every
     line is compared with one line only, the nearest of the earliest lines at its tokens, which
     settles families of copies without pairing them all. Only lines not settled so go on to the
     join with all earlier ones.
@@ -113,7 +114,7 @@ def repeated_lines(docs: DataFrame, text: str, threshold: float = THRESHOLD, lea
     size = F.size("tokens")
     lines = stored(ordered.where(size >= least_tokens).select(
         *LINE, F.xxhash64("tokens").alias("set_a"), F.xxhash64(F.lit(7), "tokens").alias("set_b"), size.alias("n"), _bitmap(F.col("tokens"), 0).alias("low"), _bitmap(F.col("tokens"), 1).alias("high"),
-        F.slice("tokens", F.lit(1), (size - F.ceil(size * threshold - 1e-9) + 1).cast("int")).alias("prefix")))
+        F.when(size >= (size + 1) * threshold - 1e-9, F.slice("tokens", F.lit(1), (size - F.ceil(size * threshold - 1e-9) + 1).cast("int"))).alias("prefix")))
     # equal sets: only the first line goes on, a line that fills a third of all rows costs one row a task
     sets = stored(lines.groupBy("set_a", "set_b").agg(
         F.min(_place()).alias("first"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("high").alias("high"), F.first("prefix").alias("prefix")))

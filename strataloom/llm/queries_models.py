@@ -57,5 +57,5 @@ def op6_top_k(table):
 @query("op8_line_dedup")
 def op8_line_dedup(table):
     """Every document with its later matching lines cut."""
-    cut = line_dedup.dedup_lines(table("documents").select("doc_id", "text"))
+    cut = line_dedup.dedup_lines(table("documents").select("doc_id", "text"), least_tokens=1)
     return cut.select("doc_id", "n_lines", "n_removed", "text")

@@ -11,9 +11,12 @@ import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
+sys.path.insert(0, str(Path(__file__).parents[2]))
 from fixtures import AWKWARD, LOWER, WORD, documents, prose, words
 
+import corpus_pipeline
 from strataloom.llm import chat, decontamination, line_dedup, mixing, secrets
+from strataloom.llm.queries import QUERIES, load_queries
 
 
 def test_decontamination_equals_brute_force(spark):
@@ -90,6 +93,22 @@ def test_line_dedup_equals_brute_force(spark):
         assert (got[i]["text"], got[i]["n_lines"], got[i]["n_removed"]) == ("\n".join(kept), text.count("\n") + 1, text.count("\n") + 1 - len(kept))
 
 
+def test_op8_and_stage_compare_short_lines(spark, tmp_path):
+    rng = random.Random(3)
+    texts = [(i, "\n".join(prose(rng, rng.randrange(1, 9), 7) for _ in range(rng.randrange(1, 6)))) for i in range(40)]
+    # four of five tokens reach 0.8, in either order, three of four do not
+    texts += [(50, "k1 k2 k3 k4\nm1 m2 m3 m4 m5\nn1 n2 n3"), (51, "k1 k2 k3 k4 k5\nm5 m4 m3 m1\nn1 n2 n3 n4"), (52, "}\n\n中文一行\nend"), (53, "}\n\n中文一行"), (54, "END."), (55, None)]
+    gone = line_brute_force(texts, least=1)
+    assert {(51, 0), (51, 1), (53, 2), (54, 0)} <= gone and (51, 2) not in gone and (53, 0) not in gone
+    cut = {i: text and "\n".join(line for k, line in enumerate(text.split("\n")) if (i, k) not in gone) for i, text in texts}
+    docs = documents(spark, texts)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    load_queries()
+    assert {r["doc_id"]: r["text"] for r in QUERIES["op8_line_dedup"](spark, str(tmp_path)).collect()} == cut
+    staged = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup_stage(spark, docs, str(tmp_path)).collect()}
+    assert staged == {i: cut[i] for i, text in texts if cut[i] == text or words(cut[i])}
+
+
 def test_line_dedup_of_awkward_rows(spark):
     line = "alpha beta gamma delta epsilon zeta eta theta iota"
     docs = documents(spark, AWKWARD + [(1, line), (2, f"{line}\nunlike"), (3, line), (3, line), (None, line)])
