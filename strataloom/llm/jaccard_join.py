@@ -104,13 +104,13 @@ def _verifier(threshold: float):
         members = members.drop_duplicates("node").reset_index(drop=True)
         sets = [np.frombuffer(s, dtype=np.uint64) for s in members["shingles"]]
         keys = np.array(members["keys"].tolist(), dtype=np.int64)
-        side = members["side"].to_numpy()
+        side, paired = members["side"].to_numpy(), bool(members["paired"].iloc[0])
         near = np.zeros((len(sets), len(sets)), dtype=bool)
         for t in range(keys.shape[1]):
             near |= keys[:, t][:, None] == keys[:, t][None, :]
-        if side.any():
+        if paired:
             near &= side[:, None] < side[None, :]
-        left, right = np.nonzero(np.triu(near, 1) if not side.any() else near)
+        left, right = np.nonzero(near if paired else np.triu(near, 1))
         size = np.array([len(s) for s in sets], dtype=np.int64)
         # sets whose sizes differ too much cannot reach the threshold
         able = np.minimum(size[left], size[right]) >= threshold * np.maximum(size[left], size[right]) - 1e-9
@@ -136,10 +136,11 @@ def _verifier(threshold: float):
 
 
 def _cells(nodes: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(node, n_docs, keys, row key, cell, side): where each candidate is compared.
+    """(node, n_docs, keys, row key, cell, side, paired): where each candidate is compared.
 
     Small components share cells, about a block each. A component above a block is dealt over
     blocks by a hash, and each pair of its blocks is a cell, so no task holds more than two.
+    ``paired`` tells the cells of two blocks, of which one may have no member, from those of one.
     """
     members = nodes.join(candidates, "node")
     sizes = members.groupBy("comp").agg(F.count("*").alias("size"), F.sum("n").alias("weight")).select("comp", F.greatest(
@@ -149,12 +150,13 @@ def _cells(nodes: DataFrame, candidates: DataFrame) -> DataFrame:
     shared = 1 + max((alone[0] or 0) // BLOCK_NODES, (alone[1] or 0) // BLOCK_SHINGLES)
     placed = members.join(sizes.select("comp", "blocks"), "comp").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     single = placed.where("blocks = 1").withColumns({
-        "cell": F.concat(F.lit("s"), F.pmod(F.xxhash64("comp"), F.lit(shared)).cast("string")), "side": F.lit(0)})
+        "cell": F.concat(F.lit("s"), F.pmod(F.xxhash64("comp"), F.lit(shared)).cast("string")), "side": F.lit(0), "paired": F.lit(False)})
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     large = placed.where("blocks > 1").select("*", other.alias("other")).withColumns({
         "cell": F.concat_ws("-", F.hex("comp"), F.least("block", "other").cast("string"), F.greatest("block", "other").cast("string")),
-        "side": F.when(F.col("block") > F.col("other"), 1).otherwise(0)}).drop("other")
-    keep = ["node", "n_docs", "keys", *[F.col(f"first.{k}").alias(k) for k in ROW_KEY], "cell", "side"]
+        "side": F.when(F.col("block") > F.col("other"), 1).otherwise(0),
+        "paired": F.col("block") != F.col("other")}).drop("other")
+    keep = ["node", "n_docs", "keys", *[F.col(f"first.{k}").alias(k) for k in ROW_KEY], "cell", "side", "paired"]
     return single.select(keep).unionByName(large.select(keep))
 
 
@@ -185,8 +187,8 @@ def similar_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
     cells = stored(_cells(nodes, candidates))
     texts = rows.select(*ROW_KEY, text).join(maybe_broadcast(
         cells.select(*ROW_KEY).distinct(), candidates.count(), BROADCAST_ROWS), ROW_KEY, "left_semi")
-    read = cells.join(texts, ROW_KEY).select("node", "n_docs", "keys", "cell", "side", text)
-    sets = read.mapInArrow(_set_reader(shingle), "node binary, n_docs bigint, keys array<bigint>, cell string, side int, shingles binary")
+    read = cells.join(texts, ROW_KEY).select("node", "n_docs", "keys", "cell", "side", "paired", text)
+    sets = read.mapInArrow(_set_reader(shingle), "node binary, n_docs bigint, keys array<bigint>, cell string, side int, paired boolean, shingles binary")
     links = stored(sets.groupBy("cell").applyInPandas(_verifier(threshold), "node binary, root binary, links bigint"))
     joined = connected_labels(links.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))).select(
         "node", F.col("label").alias("class"))

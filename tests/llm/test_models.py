@@ -73,6 +73,14 @@ def test_components_above_a_block_are_dealt_over_cells(spark, monkeypatch):
     assert Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in out) == classes_brute_force(texts)
 
 
+def test_links_of_long_texts_are_counted_once(spark, monkeypatch):
+    # pairs of two to seven blocks: some blocks are empty
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 64)
+    texts = near_copies(random.Random(6), 20, 2)
+    out = jaccard_join.similar_classes(documents(spark, texts)).collect()
+    assert Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in out) == classes_brute_force(texts)
+
+
 def test_prefixes_shorten_until_the_target_recall():
     depth = jaccard_join.prefix_depth()
     assert jaccard_join.forest_recall(0.8, depth, jaccard_join.TREES) >= jaccard_join.RECALL > jaccard_join.forest_recall(0.8, depth + 1, jaccard_join.TREES)
