@@ -55,8 +55,8 @@ def stream_resume(t):
 
 @query("stream_enqueue", "SELECT DISTINCT user_id AS work_id FROM events")
 def stream_enqueue(t):
-    items = _stream(t, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias("work_id"))
-    return _finish(t, L.idempotent_enqueue(items, "60 days").select("work_id"), "append")
+    items = _stream(t, "events").select(F.col("user_id").alias("work_id"))
+    return _finish(t, L.idempotent_enqueue(items), "append")
 
 
 @query("stream_ledger")

@@ -74,13 +74,18 @@ def ledger_changes(events: DataFrame, lateness: str = "10 minutes", max_attempts
         _fold(max_attempts), CHANGE_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def idempotent_enqueue(items: DataFrame, lateness: str = "1 hour", ts: str = "ts") -> DataFrame:
-    """First arrival of every work id within the watermark; repeats are dropped."""
-    return items.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(["work_id"])
+def idempotent_enqueue(items: DataFrame) -> DataFrame:
+    """First arrival of every work id; repeats are dropped however late they come.
+
+    Ids are kept for good in the stream's state: a row per id. No watermark is set, as it would forget them.
+    """
+    return items.dropDuplicates(["work_id"])
 
 
-def enqueue_conflicts(items: DataFrame, window: str = "1 hour", lateness: str = "1 hour", ts: str = "ts") -> DataFrame:
-    """Work ids that arrive with more than one identity inside a window: an error to report."""
-    return (items.withWatermark(ts, lateness).groupBy(F.window(ts, window), "work_id")
-            .agg(F.min("identity").alias("low"), F.max("identity").alias("high")).where("low <> high")
-            .select("window", "work_id"))
+def enqueue_conflicts(items: DataFrame) -> DataFrame:
+    """Work ids that arrive with more than one identity, however far apart: an error to report.
+
+    For the output modes complete and update; the identities are kept for good, two per id.
+    """
+    return (items.groupBy("work_id").agg(F.min("identity").alias("low"), F.max("identity").alias("high"))
+            .where("low <> high").select("work_id"))

@@ -49,6 +49,16 @@ def test_enqueue_is_idempotent(spark, tmp_path):
     assert [r["work_id"] for r in run(spark, clash, "clash", "complete")] == ["w2"]
 
 
+def test_enqueue_keeps_ids_for_good(spark, tmp_path):
+    """A repeat and a second identity days after the first arrival, in later micro-batches."""
+    for day, work, identity in [(0, "w1", "i1"), (0, "w2", "i1"), (3, "w3", "i1"), (6, "w4", "i1"), (9, "w1", "i1"), (9, "w2", "i2")]:
+        spark.createDataFrame([(86400.0 * day, work, identity)], "t double, work_id string, identity string").select(
+            "work_id", "identity", F.timestamp_seconds("t").alias("ts")).coalesce(1).write.mode("append").parquet(str(tmp_path / "i"))
+    read = lambda: spark.readStream.schema("work_id string, identity string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "i"))
+    assert sorted(r["work_id"] for r in run(spark, L.idempotent_enqueue(read()), "enq_late")) == ["w1", "w2", "w3", "w4"]
+    assert [r["work_id"] for r in run(spark, L.enqueue_conflicts(read()), "clash_late", "complete")] == ["w2"]
+
+
 def test_resume_processes_only_what_is_open(spark, tmp_path):
     work = spark.createDataFrame([(i,) for i in range(6)], "id int")
     seen = []
