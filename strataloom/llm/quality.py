@@ -14,6 +14,8 @@ from .wordhash import text_slices, word_hashes
 BITS = 18
 #: Documents that the scorer is fitted on at most: a bounded sample, drawn by a hash of the row key.
 FIT_ROWS = 6000
+#: Words up to which distinct words are held against all words.
+FULL_WORDS = 2000
 #: Common words of the languages at hand.
 STOP_WORDS = ("the of and to in a is that it for was on as with be by he at from are this have not or "
               "de la le les des et en un une du que qui dans pour par sur au aux avec est pas "
@@ -33,7 +35,8 @@ def votes(data: np.ndarray, offsets: np.ndarray, stops: np.ndarray) -> np.ndarra
     """One row per text and one column per labeller: 1 good, 0 bad, -1 no opinion.
 
     The labellers look at length, mean word length, stop words, symbols, digits, repeated words and
-    repeated lines. All but the first are silent on texts of fewer than ten words.
+    repeated lines. All but the first are silent on texts of fewer than ten words. Repeated words are
+    judged at every length, by the distinct words over the words or, in long texts, over their scaled root.
     """
     n = len(offsets) - 1
     hashes, doc, start, end = word_hashes(data, offsets)
@@ -45,7 +48,9 @@ def votes(data: np.ndarray, offsets: np.ndarray, stops: np.ndarray) -> np.ndarra
     owner = np.repeat(np.arange(n), np.diff(offsets))
     kind = _KIND[data]
     symbols, digits = np.bincount(owner, kind == 2, n) / size, np.bincount(owner, kind == 1, n) / size
-    distinct = np.bincount(np.unique(np.stack([doc, hashes.view(np.int64)]), axis=1)[0], minlength=n) / some if len(doc) else np.zeros(n)
+    # distinct words grow about as the root of the length: past FULL_WORDS words the share is taken of that
+    scale = np.sqrt(some * np.minimum(some, FULL_WORDS))
+    distinct = np.bincount(np.unique(np.stack([doc, hashes.view(np.int64)]), axis=1)[0], minlength=n) / scale if len(doc) else np.zeros(n)
     # a line is named by the sum of its words' hashes
     line = np.cumsum(data == 10)[start] if len(start) else start
     opens = np.ones(len(doc), dtype=bool)
@@ -67,7 +72,7 @@ def votes(data: np.ndarray, offsets: np.ndarray, stops: np.ndarray) -> np.ndarra
         vote(stop >= 0.12, stop < 0.05, able),
         vote(symbols <= 0.06, symbols > 0.12, able),
         vote(digits <= 0.02, digits > 0.15, able),
-        vote(distinct >= 0.25, distinct < 0.15, able & (count <= 2000)),
+        vote(distinct >= 0.25, distinct < 0.15, able),
         vote(fresh >= 0.9, fresh < 0.6, able & (n_lines >= 3)),
     ], axis=1).astype(np.int8)
 

@@ -185,6 +185,15 @@ def test_quality_tells_prose_from_junk(spark):
     assert quality.quality(documents(spark, AWKWARD).limit(0)).count() == 0
 
 
+def test_repeated_words_are_judged_at_every_length():
+    rng = random.Random(14)
+    passage = " ".join(f"p{k}" for k in range(700))
+    texts = ["long " * 30000, (passage + " ") * 100, "few words again " * 700, "few words again " * 600, prose(rng, 20000, 9000), prose(rng, 2100, 1500), prose(rng, 1900, 1500)]
+    data = "".join(texts).encode()
+    cast = quality.votes(np.frombuffer(data, dtype=np.uint8), np.cumsum([0] + [len(t) for t in texts]), quality._stop_hashes())
+    assert cast[:, 5].tolist() == [0, 0, 0, 0, 1, 1, 1]
+
+
 def top_k_brute_force(vectors, queries, k):
     out = []
     for q, x in queries:
