@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_dedup, quality, token_counts, topk, toxicity
+from . import jaccard_join, line_dedup, quality, suffix_merge, token_counts, topk, toxicity
 from .queries import query
 
 
@@ -59,3 +59,27 @@ def op8_line_dedup(table):
     """Every document with its later matching lines cut."""
     cut = line_dedup.dedup_lines(table("documents").select("doc_id", "text"), least_tokens=1)
     return cut.select("doc_id", "n_lines", "n_removed", "text")
+
+
+REPEATS_SQL = """
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+w AS (SELECT r, i, substr(h, 2 * i + 1, 200) AS s FROM d, LATERAL unnest(range(0, len(h) // 2 - 99)) AS u(i)),
+hit AS (SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY s ORDER BY r, i) AS k FROM w) WHERE k > 1),
+run AS (SELECT r, i, i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 100 AS joins FROM hit),
+numbered AS (SELECT r, i, sum(CASE WHEN joins THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS k FROM run),
+span AS (SELECT r, k, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY r, k),
+part AS (SELECT r, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS x, a AS y FROM span
+  UNION ALL SELECT d.r, coalesce(max(b), 0), len(any_value(h)) // 2 FROM d LEFT JOIN span USING (r) GROUP BY d.r),
+kept AS (SELECT d.r, string_agg(substr(h, (2 * x + 1)::BIGINT, (2 * (y - x))::BIGINT), '' ORDER BY x, y) AS kept FROM part JOIN d USING (r) GROUP BY d.r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, ((len(h) - len(kept)) // 2)::BIGINT AS n_removed,
+  (SELECT count(*) FROM span WHERE span.r = d.r)::BIGINT AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN kept USING (r)"""
+
+
+@query("op11_suffix_dedup", REPEATS_SQL)
+def op11_suffix_dedup(table):
+    """Bytes of every document that are left without the strings of 100 bytes that occur earlier."""
+    cut = suffix_merge.remove_repeats(table("documents").select("doc_id", "text"))
+    n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint")
+    return cut.select("doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.octet_length("kept")).alias("n_removed"),
+                      F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
