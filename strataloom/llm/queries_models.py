@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_dedup, quality, suffix_merge, token_counts, topk, toxicity
+from . import jaccard_join, line_dedup, pair_bitmaps, quality, suffix_merge, token_counts, topk, toxicity
 from .queries import query
 
 
@@ -63,8 +63,9 @@ def op8_line_dedup(table):
 
 REPEATS_SQL = """
 WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
-w AS (SELECT r, i, substr(h, 2 * i + 1, 200) AS s FROM d, LATERAL unnest(range(0, len(h) // 2 - 99)) AS u(i)),
-hit AS (SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY s ORDER BY r, i) AS k FROM w) WHERE k > 1),
+block AS (SELECT r, b, substr(h, 1000 * b + 1, 1198) AS h FROM d, LATERAL unnest(range(0, len(h) // 1000 + 1)) AS u(b)),
+w AS MATERIALIZED (SELECT r, 500 * b + k AS i, substr(h, 2 * k + 1, 200) AS s FROM block, LATERAL unnest(range(0, least(500, len(h) // 2 - 99))) AS u(k)),
+hit AS (SELECT r, i FROM w JOIN (SELECT s, min((r, i)) AS f FROM w GROUP BY s HAVING count(*) > 1) USING (s) WHERE (r, i) > f),
 run AS (SELECT r, i, i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 100 AS joins FROM hit),
 numbered AS (SELECT r, i, sum(CASE WHEN joins THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS k FROM run),
 span AS (SELECT r, k, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY r, k),
@@ -83,3 +84,9 @@ def op11_suffix_dedup(table):
     n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint")
     return cut.select("doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.octet_length("kept")).alias("n_removed"),
                       F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(table):
+    """Alignment of two tokenizers on every document, scored by corpus-wide counts of linked pairs."""
+    return pair_bitmaps.align(table("documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))

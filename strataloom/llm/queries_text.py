@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, mixing, secrets
+from . import chat, decontamination, mixing, repair, secrets
 from .queries import query
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
@@ -100,3 +100,10 @@ def op9_secrets(table):
     """Secrets of every document; owner is the source, repository the source and language."""
     repo = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
     return secrets.summary(secrets.scan(table("documents"), owner="source", repo=repo))
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(table):
+    """Faults and the cheapest repair of every conversation, after a seeded damage."""
+    turns = table("conversations")
+    return repair.repair(turns, repair.damage(turns))
