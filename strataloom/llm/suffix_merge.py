@@ -93,39 +93,42 @@ class Shard:
     def __init__(self, data: np.ndarray, at: np.ndarray):
         n, m = len(data), len(at) - 1
         seg = np.repeat(np.arange(m), np.diff(at) + 1)
-        text = np.zeros(n + m + 8, np.int64)  # 0 ends a segment, bytes are 1 to 256
+        text = np.zeros(n + m + 8, np.int16)  # 0 ends a segment, bytes are 1 to 256
         ends = at[1:] + np.arange(m)
         inner = np.ones(n + m, bool)
         inner[ends] = False
-        text[:n + m][inner] = data.astype(np.int64) + 1
+        text[:n + m][inner] = data.astype(np.int16) + 1
         key = np.zeros(n + m, np.int64)
         alive = np.ones(n + m, bool)
-        for j in range(6):
-            key = key * 257 + np.where(alive, text[j:j + n + m], 0)
+        for j in range(7):
+            key *= 257
+            key += text[j:j + n + m] * alive
             alive &= text[j:j + n + m] > 0
         off = np.arange(n + m) - (at[:-1] + np.arange(m))[seg]
         size = np.diff(at)[seg] + 1
         # prefix doubling until every suffix has a place of its own; suffixes that are equal to their end go by segment
-        order = np.argsort(key, kind="stable")
-        rank, h = self._ranks(key[order], order), 6
+        order = np.argsort(key)
+        rank, h = self._ranks(key[order], order), 7
         while True:
             tied = np.flatnonzero(np.bincount(rank, minlength=n + m)[rank] > 1)
             if not len(tied):
                 break
             follows = np.where(off[tied] + h < size[tied], rank[np.minimum(tied + h, n + m - 1)] + m, seg[tied])
-            by = np.lexsort((follows, rank[tied]))
-            r, f = rank[tied][by], follows[by]
+            both = rank[tied] << 32 | follows
+            by = np.argsort(both)
+            both = both[by]
+            r = both >> 32
             group = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-            new = np.concatenate([[True], (r[1:] != r[:-1]) | (f[1:] != f[:-1])])
+            new = np.concatenate([[True], both[1:] != both[:-1]])
             base = np.repeat(group, np.diff(np.append(group, len(r))))
             rank[tied[by]] = r + np.maximum.accumulate(np.where(new, np.arange(len(r)), 0)) - base
             h *= 2
         order = np.empty(n + m, np.int64)
         order[rank] = np.arange(n + m)
-        before = np.zeros(n + m, np.int64)
-        before[2:] = np.maximum(text[:n + m - 2] - 1, 0) << 8 | np.maximum(text[1:n + m - 1] - 1, 0)
-        self.before = before[order].astype(np.uint16)
-        self.seg, self.off = seg[order].astype(np.int32), off[order].astype(np.int32)
+        before = np.zeros(n + m, np.uint16)
+        byte = np.maximum(text[:n + m] - 1, 0)
+        before[2:] = byte[:-2].astype(np.uint16) << 8 | byte[1:-1]
+        self.before, self.seg, self.off = before[order], seg[order].astype(np.int32), off[order].astype(np.int32)
 
     @staticmethod
     def _ranks(keys: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -135,8 +138,8 @@ class Shard:
         return rank
 
     def at_depth(self, windows: np.ndarray, left: int) -> np.ndarray:
-        """Which suffixes, in order, start ``left`` bytes after the start of a window."""
-        return (self.off >= left) & (self.off < windows[self.seg] + left)
+        """Which suffixes, in order, start ``left`` bytes after the start of a window; ``windows`` by suffix."""
+        return (self.off - left).view(np.uint32) < windows
 
 
 def merge(shards: list[tuple[Shard, np.ndarray]], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -149,16 +152,18 @@ def merge(shards: list[tuple[Shard, np.ndarray]], length: int = LENGTH) -> tuple
     the prefix that a window shares with the one before it is shorter than ``length``.
     """
     z = np.concatenate([np.full(int(w.sum()), k, np.uint8) for k, (_, w) in enumerate(shards)])
+    shards = [(shard, w.astype(np.uint32)[shard.seg]) for shard, w in shards]
     new = np.zeros(len(z), bool)
     new[:1] = True
     for left in range(length, 0, -2):
         read = np.empty(len(z), np.uint16)
         for k, (shard, windows) in enumerate(shards):
-            read[z == k] = shard.before[shard.at_depth(windows, left)]
+            read[np.flatnonzero(z == k)] = shard.before[np.flatnonzero(shard.at_depth(windows, left))]
         order = np.argsort(read, kind="stable")
-        block = np.cumsum(new, dtype=np.int32)[order]
-        read, z = read[order], z[order]
-        new[1:] = (read[1:] != read[:-1]) | (block[1:] != block[:-1])
+        block = np.cumsum(new, dtype=np.int32).take(order)
+        read, z = read.take(order), z.take(order)
+        np.not_equal(read[1:], read[:-1], out=new[1:])
+        new[1:] |= block[1:] != block[:-1]
     return z, new
 
 
@@ -173,7 +178,7 @@ def later_windows(contents: np.ndarray, at: np.ndarray, place: np.ndarray, lengt
     z, new = merge(shards, length)
     seg, off = np.empty(len(z), np.int64), np.empty(len(z), np.int64)
     for k, (shard, w) in enumerate(shards):
-        here, held = z == k, shard.at_depth(w, 0)
+        here, held = z == k, shard.at_depth(w.astype(np.uint32)[shard.seg], 0)
         seg[here], off[here] = shard.seg[held] + cuts[k], shard.off[held]
     where = place[seg] << 32 | off
     block = np.flatnonzero(new)
