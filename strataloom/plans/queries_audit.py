@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from ..functions import canonical as J, text as X
 from ..operators import audit as A, clusters as C, contracts as K, ledger as D, select as S
@@ -187,65 +187,101 @@ def document_identity(t):
 
 
 @query("enqueue_collisions", """
-WITH f AS (SELECT user_id, min(k) AS lo, max(k) AS hi FROM (SELECT user_id, event_type, json_extract(props, '$.k')::BIGINT // 50 AS k FROM events WHERE event_type = 'signup') GROUP BY 1)
-SELECT CAST(user_id AS VARCHAR) AS work_id FROM f WHERE lo <> hi""")
+WITH i AS (SELECT user_id, event_id, json_extract(props, '$.k')::BIGINT // 50 AS k, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+old AS (SELECT user_id, k FROM i WHERE n = 1 AND user_id % 3 > 0), new AS (SELECT user_id, min(k) AS lo, max(k) AS hi FROM i WHERE n > 1 AND n <= 3 OR n = 1 AND user_id % 3 = 0 GROUP BY 1)
+SELECT CAST(user_id AS VARCHAR) AS work_id, CASE WHEN lo <> hi OR k <> lo THEN 'collision' WHEN k IS NULL THEN 'new' ELSE 'known' END AS outcome FROM new LEFT JOIN old USING (user_id)""")
 def enqueue_collisions(t):
+    """The first event of two thirds of the users is stored work; what follows arrives."""
     k = F.floor(F.get_json_object("props", "$.k").cast("bigint") / 50).cast("string")
-    items = t.events.where("event_type = 'signup'").select(F.col("user_id").cast("string").alias("work_id"), F.concat(F.lit('{"k":'), k, F.lit("}")).alias("document"))
-    return K.enqueue(items.where(F.lit(False)), items)[1]
+    nth = F.row_number().over(W.partitionBy("user_id").orderBy("event_id"))
+    items = t.events.withColumn("n", nth).where("n <= 3").select("n", "user_id", F.col("user_id").cast("string").alias("work_id"), F.concat(F.lit('{"k":'), k, F.lit("}")).alias("document"))
+    stored = (F.col("n") == 1) & (F.col("user_id") % 3 > 0)
+    arriving = items.where(~stored).select("work_id", "document")
+    new, clash = K.enqueue(items.where(stored).select("work_id", "document"), arriving)
+    told = new.select("work_id", F.lit("new").alias("outcome")).union(clash.select("work_id", F.lit("collision").alias("outcome")))
+    return arriving.select("work_id").distinct().join(told, "work_id", "left").select("work_id", F.coalesce("outcome", F.lit("known")).alias("outcome"))
 
 
-# events as a ledger: signup claims, view renews, purchase and error finish
+# events as a ledger: signups and clicks claim, views renew, purchases and errors finish; two workers
 LEDGER_SQL = """
-WITH ev AS (SELECT event_id, user_id, CASE event_type WHEN 'signup' THEN 'claim' WHEN 'view' THEN 'renew' ELSE 'finish' END AS kind,
-  CASE event_type WHEN 'purchase' THEN CASE WHEN event_id % 7 = 0 THEN 'succeeded' ELSE 'retryable' END WHEN 'error' THEN 'retryable' END AS status,
-  epoch_us(ts) // 1000000 AS tm, CAST(floor(value * 60) AS BIGINT) AS lease, ts FROM events WHERE event_type <> 'click'),
-num AS (SELECT *, count(*) FILTER (kind = 'claim') OVER (PARTITION BY user_id ORDER BY tm, event_id) AS attempt FROM ev),
-att AS (SELECT user_id AS work_id, attempt, min(tm) FILTER (kind = 'claim') AS claimed_at, max(tm + lease) FILTER (kind IN ('claim', 'renew')) AS lease_expires_at,
-  min(tm) FILTER (kind = 'finish') AS finished_at, arg_min(status, tm * 1000000 + CASE status WHEN 'retryable' THEN 0 ELSE 1 END) FILTER (kind = 'finish') AS fs FROM num WHERE attempt > 0 GROUP BY 1, 2),
-st AS (SELECT work_id, attempt, claimed_at, lease_expires_at, finished_at, CASE WHEN fs IS NOT NULL THEN fs WHEN lead(attempt) OVER (PARTITION BY work_id ORDER BY attempt) IS NOT NULL THEN 'lease_expired' ELSE 'running' END AS status FROM att),
-ex AS (SELECT * REPLACE (CASE WHEN status = 'running' AND lease_expires_at <= 1706500000 THEN 'lease_expired' ELSE status END AS status) FROM st),
-items AS (SELECT user_id AS work_id, user_id % 20 + 1 AS max_attempts FROM (SELECT DISTINCT user_id FROM events)),
-la AS (SELECT work_id, max(attempt) AS attempts, arg_max(status, attempt) AS s, arg_max(lease_expires_at, attempt) AS l FROM ex GROUP BY 1),
-states AS (SELECT work_id, CASE WHEN s IS NULL THEN 'pending' WHEN s = 'succeeded' THEN 'completed' WHEN s = 'failed' THEN 'failed' WHEN s = 'running' THEN 'running'
-  WHEN attempts < max_attempts THEN 'pending' ELSE 'failed' END AS state, coalesce(attempts, 0) AS attempts, max_attempts FROM items LEFT JOIN la USING (work_id))
+WITH RECURSIVE ev AS (SELECT event_id AS seq, user_id AS work_id, CASE WHEN event_type IN ('signup', 'click') THEN 'claim' WHEN event_type = 'view' THEN 'renew' ELSE 'finish' END AS kind,
+  CASE event_type WHEN 'purchase' THEN CASE WHEN event_id % 7 = 0 THEN 'succeeded' ELSE 'retryable' END WHEN 'error' THEN CASE WHEN event_id % 11 = 0 THEN 'failed' ELSE 'retryable' END END AS status,
+  'w' || (event_id % 2) AS worker, (epoch_us(ts) // 1000000)::DOUBLE AS tm, floor(value * 3600) AS lease,
+  row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000000, event_id) AS k FROM events),
+items AS (SELECT user_id AS work_id, (user_id % 20 + 1)::INTEGER AS max_attempts FROM (SELECT DISTINCT user_id FROM events)),
+fold AS (
+  SELECT work_id, max_attempts, 0::BIGINT AS k, 'pending' AS state, 0 AS attempts, NULL::VARCHAR AS worker, NULL::DOUBLE AS lease_end,
+    NULL::DOUBLE AS tm, NULL::BIGINT AS seq, NULL::VARCHAR AS change, NULL::DOUBLE AS ended, 0 AS ended_attempt, '' AS ended_state FROM items
+  UNION ALL
+  SELECT work_id, max_attempts, k, CASE change WHEN 'claimed' THEN 'running' WHEN 'renewed' THEN 'running' WHEN 'succeeded' THEN 'completed' WHEN 'failed' THEN 'failed'
+      WHEN 'retryable' THEN CASE WHEN attempts < max_attempts THEN 'pending' ELSE 'failed' END ELSE s END,
+    attempts + (coalesce(change, '') = 'claimed')::INTEGER, CASE WHEN change = 'claimed' THEN doer WHEN change = 'renewed' OR (change IS NULL AND s = 'running') THEN worker END,
+    CASE WHEN change IN ('claimed', 'renewed') THEN tm + lease WHEN change IS NULL AND s = 'running' THEN lease_end END,
+    tm, seq, change, CASE WHEN gone THEN lease_end END, attempts, s
+  FROM (SELECT *, CASE WHEN kind = 'claim' AND s = 'pending' AND attempts < max_attempts THEN 'claimed' WHEN kind = 'renew' AND s = 'running' AND worker = doer THEN 'renewed'
+      WHEN kind = 'finish' AND s = 'running' AND worker = doer THEN status END AS change
+    FROM (SELECT f.work_id, f.max_attempts, e.k, e.kind, e.status, e.worker AS doer, e.tm, e.lease, e.seq, f.attempts, f.worker, f.lease_end, f.state = 'running' AND f.lease_end <= e.tm AS gone,
+        CASE WHEN f.state = 'running' AND f.lease_end <= e.tm THEN CASE WHEN f.attempts < f.max_attempts THEN 'pending' ELSE 'failed' END ELSE f.state END AS s
+      FROM fold f JOIN ev e ON e.work_id = f.work_id AND e.k = f.k + 1))),
+final AS (SELECT work_id, max_attempts, arg_max(state, k) AS state, arg_max(attempts, k) AS attempts, arg_max(lease_end, k) AS lease_end FROM (SELECT * REPLACE (coalesce(lease_end, 1e18) AS lease_end) FROM fold) GROUP BY 1, 2),
+lapsed AS (SELECT *, state = 'running' AND lease_end <= {now} AS gone FROM final),
+changes AS (SELECT work_id, attempts AS attempt, tm, seq, change, state, lease_end FROM fold WHERE change IS NOT NULL
+  UNION ALL SELECT work_id, ended_attempt, ended, -1, 'lease_expired', ended_state, NULL FROM fold WHERE ended IS NOT NULL
+  UNION ALL SELECT work_id, attempts, lease_end, -1, 'lease_expired', CASE WHEN attempts < max_attempts THEN 'pending' ELSE 'failed' END, NULL FROM lapsed WHERE gone),
+states AS (SELECT work_id, max_attempts, attempts, CASE WHEN gone THEN CASE WHEN attempts < max_attempts THEN 'pending' ELSE 'failed' END ELSE state END AS state FROM lapsed)
 """
+NOW = 1705500000.0
 
 
-def _attempts(t):
-    kind = F.when(F.col("event_type") == "signup", "claim").when(F.col("event_type") == "view", "renew").otherwise("finish")
-    status = F.when(F.col("event_type") == "purchase", F.when(F.col("event_id") % 7 == 0, "succeeded").otherwise("retryable")).when(F.col("event_type") == "error", "retryable")
-    events = t.events.where("event_type <> 'click'").select("event_id", F.col("user_id").alias("work_id"), kind.alias("kind"), status.alias("status"),
-        F.unix_seconds(F.col("ts").cast("timestamp")).alias("at"), F.floor(F.col("value") * 60).alias("lease_seconds"))
-    return D.attempt_table(D.number_attempts(events, ["at", "event_id"]))
+def ledger_events(events):
+    """The events table as ledger events."""
+    kind = F.when(F.col("event_type").isin("signup", "click"), "claim").when(F.col("event_type") == "view", "renew").otherwise("finish")
+    status = F.when(F.col("event_type") == "purchase", F.when(F.col("event_id") % 7 == 0, "succeeded").otherwise("retryable")).when(
+        F.col("event_type") == "error", F.when(F.col("event_id") % 11 == 0, "failed").otherwise("retryable"))
+    ts = F.col("ts").cast("timestamp")
+    return events.select(ts.alias("ts"), F.col("user_id").cast("string").alias("work_id"), F.col("event_id").alias("seq"), kind.alias("kind"), status.alias("status"),
+        F.concat(F.lit("w"), F.col("event_id") % 2).alias("worker_id"), F.unix_seconds(ts).cast("double").alias("at"), F.floor(F.col("value") * 3600).cast("double").alias("lease_seconds"))
 
 
-def _states(t):
-    items = t.events.select(F.col("user_id").alias("work_id")).distinct().withColumn("max_attempts", F.col("work_id") % 20 + 1)
-    return D.item_states(D.expire_leases(_attempts(t), 1706500000), items)
+def ledger_items(events):
+    return events.select(F.col("user_id").cast("string").alias("work_id"), (F.col("user_id") % 20 + 1).cast("int").alias("max_attempts")).distinct()
 
 
-@query("attempt_table", LEDGER_SQL + "SELECT work_id, attempt, claimed_at, lease_expires_at, finished_at, status FROM st")
+def _changes(t, now=NOW):
+    return D.ledger_changes(ledger_events(t.events), ledger_items(t.events), now)
+
+
+@query("attempt_table", LEDGER_SQL.format(now=NOW) + """
+SELECT work_id::VARCHAR AS work_id, attempt, min(tm) FILTER (change = 'claimed') AS claimed_at, arg_max(lease_end, tm * 1e6 + seq) FILTER (change IN ('claimed', 'renewed')) AS lease_expires_at,
+  max(tm) FILTER (change NOT IN ('claimed', 'renewed')) AS finished_at, coalesce(max(change) FILTER (change NOT IN ('claimed', 'renewed')), 'running') AS status FROM changes GROUP BY 1, 2""")
 def attempt_table(t):
-    return _attempts(t)
+    return D.attempt_table(_changes(t)).drop("worker_id")
 
 
-@query("lease_expiry", LEDGER_SQL + "SELECT work_id, state, attempts, max_attempts FROM states")
+@query("lease_expiry", LEDGER_SQL.format(now=NOW) + "SELECT work_id::VARCHAR AS work_id, state, attempts, max_attempts FROM states")
 def lease_expiry(t):
-    return _states(t).select("work_id", "state", "attempts", "max_attempts")
+    return D.item_states(_changes(t), ledger_items(t.events)).select("work_id", "state", "attempts", "max_attempts")
 
 
-@query("ledger_status", LEDGER_SQL + """
+@query("ledger_status", LEDGER_SQL.format(now=NOW) + """
 SELECT s.state, count(work_id) AS items, CAST(coalesce(sum(attempts), 0) AS BIGINT) AS attempts FROM (SELECT unnest(['pending', 'running', 'completed', 'failed']) AS state) s LEFT JOIN states USING (state) GROUP BY 1""")
 def ledger_status(t):
-    return D.ledger_status(_states(t))
+    return D.ledger_status(D.item_states(_changes(t), ledger_items(t.events)))
+
+
+# the state of the middle of the history: later events are still to come, running items may be past their lease
+NEXT_SQL = LEDGER_SQL.format(now=0).replace("FROM events),\nitems", f"FROM events WHERE epoch_us(ts) // 1000000 <= {NOW - 3600}),\nitems")
 
 
-@query("next_work_item", LEDGER_SQL + """
-SELECT work_id FROM states WHERE attempts < max_attempts AND state = 'pending' ORDER BY max_attempts DESC, work_id LIMIT 1""")
+@query("next_work_item", NEXT_SQL + f"""
+SELECT work_id::VARCHAR AS work_id, state, attempts FROM final JOIN (SELECT user_id AS work_id, min(epoch_us(ts)) AS created, max(epoch_us(ts)) % 3 AS priority FROM events GROUP BY 1) USING (work_id)
+WHERE attempts < max_attempts AND (state = 'pending' OR (state = 'running' AND lease_end <= {NOW})) ORDER BY priority DESC, created, work_id::VARCHAR LIMIT 1""")
 def next_work_item(t):
-    items = _states(t).select("work_id", "state", "attempts", "max_attempts", F.col("max_attempts").alias("priority"), F.lit(0).alias("created_at"), "lease_expires_at")
-    return S.next_work_item(items.where("state = 'pending'"), 0.0).select("work_id")
+    """What a claim would take, items past their lease included."""
+    past = D.ledger_changes(ledger_events(t.events).where(F.col("at") <= NOW - 3600), ledger_items(t.events))
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    made = t.events.groupBy(F.col("user_id").cast("string").alias("work_id")).agg(F.min(micros).alias("created_at"), (F.max(micros) % 3).alias("priority"))
+    return S.next_work_item(D.item_states(past, ledger_items(t.events)).join(made, "work_id"), NOW).select("work_id", "state", "attempts")
 
 
 @query("inheritance_audit", """

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import checkpoint_dir
 from ..streaming import incremental as I, ledger as L
+from .queries_audit import LEDGER_SQL, ledger_events, ledger_items
 from .registry import query
 
 
@@ -53,20 +55,42 @@ def stream_resume(t):
     return t.spark.read.parquet(f"{folder}/results").select("doc_id", "status")
 
 
-@query("stream_enqueue", "SELECT DISTINCT user_id AS work_id FROM events")
+@query("stream_enqueue", """
+WITH i AS (SELECT user_id::VARCHAR AS work_id, (json_extract(props, '$.k')::BIGINT % 2)::VARCHAR AS parity FROM events),
+g AS (SELECT work_id, min(parity) AS lo, max(parity) AS hi FROM i GROUP BY 1)
+SELECT work_id, CASE WHEN hi <> lo THEN 'conflict' ELSE lo END AS outcome FROM g WHERE work_id::BIGINT % 2 = 0
+UNION ALL SELECT work_id, CASE WHEN lo <> '0' OR hi <> '0' THEN 'conflict' ELSE 'stored' END FROM g WHERE work_id::BIGINT % 2 = 1""")
 def stream_enqueue(t):
-    items = _stream(t, "events").select(F.col("user_id").alias("work_id"))
-    return _finish(t, L.idempotent_enqueue(items), "append")
-
-
-@query("stream_ledger")
+    """Events enqueue their user as work; odd users are stored before, with identity 0, and keep it."""
+    folder = f"{checkpoint_dir(t.spark)}/enqueue-{uuid.uuid4().hex}"
+    work = lambda df: df.select(F.col("user_id").cast("string").alias("work_id"), F.concat(
+        F.lit('{"k":'), (F.get_json_object("props", "$.k").cast("bigint") % 2).cast("string"), F.lit("}")).alias("document"))
+    before = t.events.where("user_id % 2 = 1").select(F.col("user_id").cast("string").alias("work_id"), F.lit('{"k":0}').alias("document")).distinct()
+    before.write.parquet(f"{folder}/items/batch=-1")
+    L.enqueue_stream(work(_stream(t, "events")), folder, f"{folder}/progress").awaitTermination()
+    clash = t.spark.read.schema("work_id string").parquet(f"{folder}/conflicts").select("work_id", F.lit("conflict").alias("outcome")).distinct()
+    known = t.spark.read.schema("work_id string, document string, batch int").parquet(f"{folder}/items").select(
+        "work_id", F.when(F.col("batch") < 0, "stored").otherwise(F.get_json_object("document", "$.k")).alias("outcome"))
+    return known.join(clash, "work_id", "left_anti").union(clash)
+
+
+@query("stream_ledger", LEDGER_SQL.format(now="(SELECT epoch_us(max(ts)) // 1000 / 1000 - 3600 FROM events)") + """
+SELECT work_id::VARCHAR AS work_id, attempt, tm AS at, seq, change, state FROM changes""")
 def stream_ledger(t):
-    """State changes of events read as claims, renewals and results."""
-    kind = F.when(F.col("event_type") == "signup", "claim").when(F.col("event_type") == "view", "renew").otherwise("finish")
-    at = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
-    events = _stream(t, "events").where("event_type <> 'click'").select(
-        F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").cast("string").alias("work_id"), F.col("event_id").alias("seq"), kind.alias("kind"),
-        F.lit("worker").alias("worker_id"), at.alias("at"), (F.col("value") * 60).alias("lease_seconds"),
-        F.when(F.col("event_type") == "error", "retryable").otherwise("succeeded").alias("status"))
-    changes = _finish(t, L.ledger_changes(events, "1 hour", max_attempts=5), "append")
-    return changes.groupBy("change", "state").agg(F.count("*").alias("n"))
+    """Every change of state of the events read as a ledger; leases end as the watermark passes them."""
+    with _settings(t.spark, L.STATE_STORE):
+        changes = _finish(t, L.ledger_changes(ledger_events(_stream(t, "events")), "1 hour", items=ledger_items(t.events)), "append")
+    return changes.select("work_id", "attempt", "at", "seq", "change", "state")
+
+
+@contextmanager
+def _settings(spark, values: dict[str, str]):
+    """Session settings for as long as a query runs."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -3,75 +3,102 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from ..operators.contracts import enqueue
+from ..operators.ledger import CHANGES, Item, apply_event, expire
 
 STATE_SCHEMA = "state string, attempts int, worker_id string, lease_expires_at double, max_attempts int"
-CHANGE_SCHEMA = "work_id string, attempt int, at double, change string, state string, worker_id string, lease_expires_at double"
+#: The store that keeps the state of ``transformWithState`` queries.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
-def apply_event(state: tuple, event) -> tuple[tuple, str | None]:
-    """One ledger step: (state, attempts, worker, lease end, max attempts) and an event to the next
-    state and the change it made, or None when the event has no right to change anything.
+class _Ledger(StatefulProcessor):
+    """One item's state and one timer, at the end of its lease."""
 
-    A claim takes a pending item or one whose lease has passed, while attempts are left. Renew
-    and finish need the live lease of the same worker.
-    """
-    status, attempts, worker, lease, limit = state
-    expired = status == "running" and lease <= event.at
-    if expired and attempts >= limit:
-        status, worker, lease = "failed", None, None
-    if event.kind == "claim":
-        if attempts < limit and (status == "pending" or expired):
-            return ("running", attempts + 1, event.worker_id, event.at + event.lease_seconds, limit), "claimed"
-        return (status, attempts, worker, lease, limit), "lease_expired" if expired and status == "failed" else None
-    live = status == "running" and not expired and worker == event.worker_id
-    if not live:
-        return (status, attempts, worker, lease, limit), "lease_expired" if expired and status == "failed" else None
-    if event.kind == "renew":
-        return ("running", attempts, worker, event.at + event.lease_seconds, limit), "renewed"
-    after = {"succeeded": "completed", "failed": "failed"}.get(event.status, "pending" if attempts < limit else "failed")
-    return (after, attempts, None, None, limit), event.status
-
-
-def _fold(default_attempts: int):
-    def fold(key, batches, group):
-        held = tuple(group.get) if group.exists else ("pending", 0, None, None, default_attempts)
-        out = []
-        if group.hasTimedOut:
-            status, attempts, worker, lease, limit = held
-            if status == "running":
-                after = "pending" if attempts < limit else "failed"
-                out.append((key[0], attempts, lease, "lease_expired", after, None, None))
-                held = (after, attempts, None, None, limit)
-            group.update(held)
-        else:
-            for pdf in batches:
-                # a micro-batch holds few events of one item
-                for event in pdf.sort_values(["at", "seq"]).itertuples(index=False):
-                    held, change = apply_event(held, event)
-                    if change:
-                        out.append((key[0], held[1], event.at, change, held[0], held[2], held[3]))
-            group.update(held)
-            if held[0] == "running":
-                due = int(held[3] * 1000)
-                group.setTimeoutTimestamp(max(due, group.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["work_id", "attempt", "at", "change", "state", "worker_id", "lease_expires_at"])
-    return fold
-
-
-def ledger_changes(events: DataFrame, lateness: str = "10 minutes", max_attempts: int = 3) -> DataFrame:
-    """Stream of state changes per work item.
-
-    ``events``: ts, work_id, seq, kind, worker_id, at (epoch seconds), lease_seconds, status. State
-    is five values per item; a running item sets an event-time timer at its lease end, so a lease
-    expires once the watermark passes it, without any event of the item.
+    def __init__(self, max_attempts: int):
+        self.max_attempts = max_attempts
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.item = handle.getValueState("item", STATE_SCHEMA)
+
+    def _out(self, key, changes) -> pd.DataFrame:
+        return pd.DataFrame([(key[0], *c) for c in changes], columns=[c.split()[0] for c in CHANGES.split(", ")])
+
+    def _keep(self, item: Item) -> None:
+        for at in list(self.handle.listTimers()):
+            self.handle.deleteTimer(at)
+        if item.state == "running":
+            self.handle.registerTimer(int(item.lease_expires_at * 1000))
+        self.item.update(tuple(item))
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self._keep(Item("pending", 0, None, None, int(initialState["max_attempts"].iloc[0])))
+
+    def handleInputRows(self, key, rows, timerValues):
+        item = Item(*self.item.get()) if self.item.exists() else Item("pending", 0, None, None, self.max_attempts)
+        changes = []
+        # a micro-batch holds few events of one item
+        for event in pd.concat(list(rows)).sort_values(["at", "seq"]).itertuples(index=False):
+            item, more = apply_event(item, event)
+            changes += more
+        self._keep(item)
+        yield self._out(key, changes)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        item, changes = expire(Item(*self.item.get()), expiredTimerInfo.getExpiryTimeInMs() / 1000)
+        self.item.update(tuple(item))
+        yield self._out(key, changes)
+
+    def close(self) -> None:
+        pass
+
+
+def ledger_changes(events: DataFrame, lateness: str = "10 minutes", max_attempts: int = 3, items: DataFrame | None = None) -> DataFrame:
+    """Stream of state changes per work item, by the rule of ``operators.ledger``.
+
+    ``events``: ts, work_id, seq, kind, worker_id, at (epoch seconds), lease_seconds, status. State is
+    five values an item; a running item has a timer at its lease end, so a lease ends once the
+    watermark passes it, without any event of the item. ``items`` (work_id, max_attempts) is the
+    initial state, a batch table; other items may be claimed ``max_attempts`` times. The session needs
+    the settings of ``STATE_STORE``.
     """
     keyed = events.withWatermark("ts", lateness).select(
-        "ts", "work_id", "seq", "kind", "worker_id", F.col("at").cast("double").alias("at"),
-        F.col("lease_seconds").cast("double").alias("lease_seconds"), "status")
-    return keyed.groupBy("work_id").applyInPandasWithState(
-        _fold(max_attempts), CHANGE_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+        "ts", F.col("work_id").cast("string").alias("work_id"), "seq", "kind", "worker_id", F.col("at").cast("double").alias("at"),
+        F.col("lease_seconds").cast("double").alias("lease_seconds"), "status").groupBy("work_id")
+    first = None if items is None else items.select(F.col("work_id").cast("string").alias("work_id"), F.col("max_attempts").cast("int").alias("max_attempts")).groupBy("work_id")
+    return keyed.transformWithStateInPandas(_Ledger(max_attempts), CHANGES, "append", "eventtime", initialState=first)
+
+
+def enqueue_stream(items: DataFrame, folder: str, progress: str, doc: str = "document"):
+    """Adds each micro-batch of (``work_id``, ``doc``) to the stored items of ``folder``; starts and returns the query.
+
+    Known ids with the same identity are ignored, another identity is written to ``folder/conflicts``.
+    Ids live in the stored table, not in the stream's state. A batch writes folders of its own number
+    and reads those of lower numbers, so a batch that is repeated after a failure changes nothing.
+    """
+    schema = items.schema
+
+    def step(batch: DataFrame, number: int) -> None:
+        new, clash = enqueue(stored_items(batch.sparkSession, folder, schema, number), batch, doc)
+        new.write.mode("overwrite").parquet(f"{folder}/items/batch={number}")
+        clash.write.mode("overwrite").parquet(f"{folder}/conflicts/batch={number}")
+
+    return items.writeStream.foreachBatch(step).option("checkpointLocation", progress).trigger(availableNow=True).start()
+
+
+def stored_items(spark, folder: str, schema, before: int | None = None) -> DataFrame:
+    """The items stored in ``folder``, of batches before one, or all; a folder without any is empty."""
+    try:
+        found = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{folder}/items")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    return (found if before is None else found.where(F.col("batch") < before)).drop("batch")
 
 
 def idempotent_enqueue(items: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from strataloom.operators.ledger import ledger_changes
 from strataloom.streaming import incremental as I, ledger as L
 
 EVENTS = "ts timestamp, work_id string, seq bigint, kind string, worker_id string, at double, lease_seconds double, status string"
@@ -23,7 +24,16 @@ def event(at, work, seq, kind, worker, lease=None, status=None):
     return (1000.0 + at, work, seq, kind, worker, 1000.0 + at, lease, status)
 
 
-def test_ledger_stream(spark, tmp_path):
+@pytest.fixture
+def state_store(spark):
+    for k, v in L.STATE_STORE.items():
+        spark.conf.set(k, v)
+    yield
+    for k in L.STATE_STORE:
+        spark.conf.unset(k)
+
+
+def test_ledger_stream(spark, tmp_path, state_store):
     src = tmp_path / "ev"
     put(spark, src, [event(0, "w", 1, "claim", "a", 10.0), event(1, "v", 2, "claim", "a", 100.0), event(2, "v", 3, "renew", "b", 100.0),
                      event(3, "v", 4, "finish", "a", None, "retryable"), event(4, "v", 5, "claim", "b", 100.0), event(5, "v", 6, "finish", "b", None, "succeeded"),
@@ -39,6 +49,42 @@ def test_ledger_stream(spark, tmp_path):
     assert [(r["change"], r["state"], r["attempt"]) for r in rows if r["work_id"] == "w"] == [("claimed", "running", 1), ("lease_expired", "pending", 1)]
 
 
+def test_ledger_stream_equals_batch(spark, tmp_path, state_store):
+    """Random histories in several micro-batches, limits from a table: the same changes as the batch rule at the last watermark."""
+    import random
+
+    rng, rows = random.Random(9), []
+    for k in range(600):
+        kind = rng.choice(["claim", "claim", "renew", "finish"])
+        rows.append(event(7.0 * k, f"w{rng.randrange(12)}", k, kind, f"a{rng.randrange(2)}", rng.choice([0.0, 5.0, 200.0, 900.0]), rng.choice(["succeeded", "failed", "retryable", "retryable", "retryable"])))
+    for part in range(3):
+        put(spark, tmp_path / "ev", rows[200 * part:200 * part + 200], part)
+    items = spark.createDataFrame([(f"w{k}", 1 + k) for k in range(12)], "work_id string, max_attempts int")
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "ev"))
+    got = run(spark, L.ledger_changes(stream, "60 seconds", items=items), "ledger_equal")
+    batch = ledger_changes(spark.read.schema(EVENTS).parquet(str(tmp_path / "ev")), items, 1000.0 + 7.0 * 599 - 60)
+    plain = lambda rows: sorted((r["work_id"], r["attempt"], r["at"], r["seq"], r["change"], r["state"], str(r["worker_id"])) for r in rows)
+    assert plain(got) == plain(batch.collect())
+
+
+def test_enqueue_stream(spark, tmp_path):
+    """Stored ids, a stored identity that differs, a repeat in a later batch, and a batch that runs twice."""
+    schema = "work_id string, document string"
+    src, folder = tmp_path / "src", str(tmp_path / "work")
+    spark.createDataFrame([("old", '{"k": 1}'), ("known", '{"k": 1}')], schema).write.parquet(f"{folder}/items/batch=-1")
+    for rows in ([("old", '{"k": 2}'), ("known", '{"k": 1}'), ("n1", '{"k": 1, "z": 2}'), ("n1", '{"z": 2, "k": 1}')], [("n1", '{"k": 1, "z": 2}'), ("n2", '{"k": 5}')], [("n2", '{"k": 6}')]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(src))
+        L.enqueue_stream(spark.readStream.schema(schema).parquet(str(src)), folder, str(tmp_path / "progress")).awaitTermination()
+    stored = L.stored_items(spark, folder, spark.createDataFrame([], schema).schema)
+    assert sorted(r["work_id"] for r in stored.collect()) == ["known", "n1", "n2", "old"]
+    assert sorted(r["work_id"] for r in spark.read.parquet(f"{folder}/conflicts").collect()) == ["n2", "old"]
+    # a batch that is repeated reads only what came before it, and writes the same
+    L.enqueue_stream(spark.readStream.schema(schema).parquet(str(src)), folder, str(tmp_path / "again")).awaitTermination()
+    again = L.stored_items(spark, folder, stored.schema)
+    assert {r["work_id"]: r["document"] for r in again.collect()}["old"] == '{"k": 1}'
+    assert L.stored_items(spark, str(tmp_path / "none"), stored.schema).count() == 0
+
+
 def test_enqueue_is_idempotent(spark, tmp_path):
     df = spark.createDataFrame([(0.0, "w1", "i1"), (1.0, "w1", "i1"), (2.0, "w2", "i1"), (3.0, "w2", "i2")], "t double, work_id string, identity string")
     df.withColumn("ts", F.timestamp_seconds("t")).drop("t").write.parquet(str(tmp_path / "i"))

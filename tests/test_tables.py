@@ -285,15 +285,31 @@ def test_result_validity_completeness_and_companion(spark):
 
 
 def test_ledger_batch(spark):
-    ev = [("w", 1, "claim", 0.0, 10.0, None), ("w", 2, "claim", 20.0, 10.0, None), ("v", 3, "claim", 0.0, 10.0, None), ("v", 4, "finish", 5.0, None, "retryable"),
-          ("u", 5, "claim", 0.0, 5.0, None), ("u", 6, "renew", 4.0, 10.0, None)]
-    events = spark.createDataFrame(ev, "work_id string, seq int, kind string, at double, lease_seconds double, status string")
-    attempts = D.attempt_table(D.number_attempts(events, ["at", "seq"]))
-    got = {(r["work_id"], r["attempt"]): r["status"] for r in attempts.collect()}
-    assert got == {("w", 1): "lease_expired", ("w", 2): "running", ("v", 1): "retryable", ("u", 1): "running"}
-    items = spark.createDataFrame([("w", 2), ("v", 1), ("u", 3), ("t", 1)], "work_id string, max_attempts int")
-    states = D.item_states(D.expire_leases(attempts, 13.0), items)
-    assert {r["work_id"]: r["state"] for r in states.collect()} == {"w": "running", "v": "failed", "u": "running", "t": "pending"}
-    late = D.item_states(D.expire_leases(attempts, 40.0), items)
-    assert {r["work_id"]: r["state"] for r in late.collect()} == {"w": "failed", "v": "failed", "u": "pending", "t": "pending"}
-    assert {r["state"]: r["items"] for r in D.ledger_status(states).collect()} == {"pending": 1, "running": 2, "completed": 0, "failed": 1}
+    schema = "work_id string, kind string, worker_id string, at double, seq bigint, lease_seconds double, status string"
+    rows = [("w", "claim", "a", 0.0, 1, 10.0, None), ("w", "claim", "b", 5.0, 2, 10.0, None),      # a live lease: nothing
+            ("w", "renew", "b", 6.0, 3, 99.0, None), ("w", "renew", "a", 8.0, 4, 4.0, None),       # only the holder renews
+            ("w", "claim", "b", 12.0, 5, 10.0, None),                                             # the lease has passed at 12
+            ("w", "finish", "a", 13.0, 6, None, "succeeded"), ("w", "finish", "b", 14.0, 7, None, "retryable"),
+            ("w", "claim", "c", 15.0, 8, 10.0, None),                                             # both attempts are used up
+            ("v", "claim", "a", 1.0, 9, 10.0, None), ("v", "finish", "a", 2.0, 10, None, "succeeded"), ("v", "claim", "a", 3.0, 11, 10.0, None),
+            ("u", "claim", "a", 1.0, 12, 0.0, None), ("x", "claim", "a", 1.0, 13, 10.0, None), (None, "claim", "a", 1.0, 14, 10.0, None)]
+    events = spark.createDataFrame(rows, schema)
+    items = spark.createDataFrame([("w", 2), ("v", 3), ("u", 1), ("t", 1)], "work_id string, max_attempts int")
+    changes = D.ledger_changes(events, items)
+    told = [(r["attempt"], r["at"], r["change"], r["state"]) for r in changes.where("work_id = 'w'").orderBy("attempt", "at", "seq").collect()]
+    assert told == [(1, 0.0, "claimed", "running"), (1, 8.0, "renewed", "running"), (1, 12.0, "lease_expired", "pending"),
+                    (2, 12.0, "claimed", "running"), (2, 14.0, "retryable", "failed")]
+    table = {(r["work_id"], r["attempt"]): (r["worker_id"], r["lease_expires_at"], r["finished_at"], r["status"]) for r in D.attempt_table(changes).collect()}
+    assert table == {("w", 1): ("a", 12.0, 12.0, "lease_expired"), ("w", 2): ("b", 22.0, 14.0, "retryable"), ("v", 1): ("a", 11.0, 2.0, "succeeded"), ("u", 1): ("a", 1.0, None, "running")}
+    states = lambda now: {r["work_id"]: (r["state"], r["attempts"]) for r in D.item_states(D.ledger_changes(events, items, now), items).collect()}
+    assert states(None) == {"w": ("failed", 2), "v": ("completed", 1), "u": ("running", 1), "t": ("pending", 0)}
+    assert states(1.0)["u"] == ("failed", 1)
+    late = D.item_states(D.ledger_changes(events, items, 40.0), items)
+    assert {r["state"]: r["items"] for r in D.ledger_status(late).collect()} == {"pending": 1, "running": 0, "completed": 1, "failed": 2}
+    assert D.ledger_changes(events.limit(0), items.limit(0), 1.0).count() == 0
+    # what a claim at 1.0 would take: a lease that has passed counts, an item without attempts left does not
+    made = D.item_states(D.ledger_changes(events.where("at < 1 or work_id = 'u'"), items), items).withColumns({"priority": F.lit(1), "created_at": F.lit(0)})
+    assert [r["work_id"] for r in S.next_work_item(made, 10.0).collect()] == ["t"]
+    assert [r["work_id"] for r in S.next_work_item(made.where("work_id <> 't'"), 10.0).collect()] == ["v"]
+    assert [r["work_id"] for r in S.next_work_item(made.where("work_id = 'w'"), 9.0).collect()] == []
+    assert [r["work_id"] for r in S.next_work_item(made.where("work_id = 'w'"), 10.0).collect()] == ["w"]
