@@ -264,7 +264,40 @@ def contact_agreement(t):
     return agree(p, ["record"], "pos", "n", "m").withColumn("lddt", r9("lddt"))
 
 
-@query("structure_metrics")
+def _superposition_sql() -> str:
+    """The fit by sums, a squared quaternion matrix and its first direction; then distances of the moved points."""
+    sums = ", ".join(f"sum({m} * {n}) - sum({m}) * sum({n}) / count(*) AS {m}{n}" for m in "uvw" for n in "xyz")
+    spread = " + ".join(f"sum({c} * {c}) - sum({c}) * sum({c}) / count(*)" for c in "xyzuvw")
+    k = ("ux + vy + wz, vz - wy, wx - uz, uy - vx, vz - wy, ux - vy - wz, uy + vx, wx + uz, "
+         "wx - uz, uy + vx, vy - ux - wz, vz + wy, uy - vx, wx + uz, vz + wy, wz - ux - vy")
+    square = " + ".join(f"m[4 * (i // 4) + {j + 1}] * m[{4 * j} + i % 4 + 1]" for j in range(4))
+    moved = {"x": "(w * w + a * a - b * b - c * c) * (u - mu) + 2 * (a * b - w * c) * (v - mv) + 2 * (a * c + w * b) * (o - mw)",
+             "y": "2 * (a * b + w * c) * (u - mu) + (w * w - a * a + b * b - c * c) * (v - mv) + 2 * (b * c - w * a) * (o - mw)",
+             "z": "2 * (a * c - w * b) * (u - mu) + 2 * (b * c + w * a) * (v - mv) + (w * w - a * a - b * b + c * c) * (o - mw)"}
+    off = " + ".join(f"({m} - ({n} - m{n})) ** 2" for n, m in moved.items())
+    scale = lambda size: f"greatest(0.5, 1.24 * cbrt(greatest({size} - 15, 0)) - 1.8)"
+    local = METRICS_SQL.replace("FROM embeddings)", "FROM embeddings WHERE vec_id % 9 <> 0)").replace(", 9) AS lddt", ", 6) AS ca_lddt").removeprefix("\nWITH ")
+    points, local = local.split("),\n", 1)
+    return f"""
+WITH {points}),
+total AS (SELECT label AS record, count(*) AS length FROM embeddings GROUP BY 1),
+s AS (SELECT record, count(*)::DOUBLE AS n, {", ".join(f"avg({c}) AS m{c}" for c in "xyzuvw")}, {spread} AS g, {sums} FROM p GROUP BY 1),
+k AS (SELECT *, [{k}] AS k FROM s),
+f AS (SELECT *, list_reduce(list_prepend(list_transform(range(16), lambda i: k[i + 1] + CASE WHEN i % 5 = 0 THEN g / 2 ELSE 0 END), list_transform(range(40), lambda i: [0::DOUBLE])),
+  lambda m, t: list_transform(range(16), lambda i: ({square}) / list_sum(list_transform(m, lambda e: e * e)))) AS m FROM k),
+t AS (SELECT *, list_position([m[1], m[6], m[11], m[16]], greatest(m[1], m[6], m[11], m[16])) AS top FROM f),
+r AS (SELECT *, m[4 * top - 3:4 * top] AS v FROM t),
+q AS (SELECT *, list_transform(v, lambda e: e / sqrt(list_sum(list_transform(v, lambda d: d * d)))) AS q FROM r),
+d AS (SELECT record, n, length, {off} AS d2 FROM (
+  SELECT p.record, n, length, x, y, z, u, v, w AS o, mx, my, mz, mu, mv, mw, q[1] AS w, q[2] AS a, q[3] AS b, q[4] AS c
+  FROM (SELECT record, x, y, z, u, v, w FROM p) p JOIN (SELECT record, n, mx, my, mz, mu, mv, mw, q FROM q) USING (record) JOIN total USING (record))),
+whole AS (SELECT record, max(n)::BIGINT AS resolved, max(length) AS length, round(sqrt(avg(d2)), 6) AS ca_rmsd,
+  round(sum(1 / (1 + d2 / {scale("n")} ** 2)) / max(n), 6) AS tm_resolved, round(sum(1 / (1 + d2 / {scale("length")} ** 2)) / max(length), 6) AS tm_full FROM d GROUP BY 1),
+{local.replace("\nSELECT record, count(*)", ",\nlddt AS (SELECT record, count(*)")})
+SELECT record, resolved, length, ca_rmsd, tm_resolved, tm_full, ca_lddt FROM whole LEFT JOIN lddt USING (record)"""
+
+
+@query("structure_metrics", _superposition_sql())
 def structure_metrics(t):
     """Superposition metrics of points against a disturbed copy, one record per label."""
     out = M.structure_metrics(_points(t), ["record"], "pos", "native", "model", "mask")
