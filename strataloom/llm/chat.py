@@ -22,7 +22,7 @@ def neighbour_pairs(convs: DataFrame) -> DataFrame:
 
     A conversation whose partner is missing keeps its row, with NULL on the other side.
     """
-    half = convs.withColumn("pair_id", F.floor(F.col("conv") / 2).cast("bigint"))
+    half = convs.withColumn("pair_id", F.shiftright(F.col("conv").cast("bigint"), 1))  # halved downwards, exact at any size
     side = lambda odd: half.where(F.pmod("conv", F.lit(2)) == odd)
     chosen = side(0).select("pair_id", F.col("conv").alias("chosen_id"), F.col("turns").alias("chosen"))
     rejected = side(1).select("pair_id", F.col("conv").alias("rejected_id"), F.col("turns").alias("rejected"))

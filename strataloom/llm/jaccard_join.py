@@ -186,7 +186,7 @@ def similar_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
     candidates = stored(labels.unionByName(labels.select(F.col("comp").alias("node"), "comp").distinct()))
     cells = stored(_cells(nodes, candidates))
     texts = rows.select(*ROW_KEY, text).join(maybe_broadcast(
-        cells.select(*ROW_KEY).distinct(), candidates.count(), BROADCAST_ROWS), ROW_KEY, "left_semi")
+        cells.select(*ROW_KEY).distinct(), candidates.count(), BROADCAST_ROWS), ROW_KEY, "left_semi").dropDuplicates(ROW_KEY)
     read = cells.join(texts, ROW_KEY).select("node", "n_docs", "keys", "cell", "side", "paired", text)
     sets = read.mapInArrow(_set_reader(shingle), "node binary, n_docs bigint, keys array<bigint>, cell string, side int, paired boolean, shingles binary")
     links = stored(sets.groupBy("cell").applyInPandas(_verifier(threshold), "node binary, root binary, links bigint"))

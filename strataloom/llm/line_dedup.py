@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .common import ROW_KEY, keyed, let, maybe_broadcast, stored
 
-THRESHOLD, LEAST_TOKENS = 0.8, 8
+THRESHOLD, LEAST_TOKENS = 0.8, 1
 #: Fixed value: what separates the tokens of a line.
 APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Buckets of the frequency table, one byte each. Its size does not follow the data.
@@ -23,8 +23,8 @@ def line_tokens(line: Column) -> Column:
     return F.array_distinct(F.array_remove(F.split(F.lower(line), APART), ""))
 
 
-def rarity_table(docs: DataFrame, text: str) -> Column:
-    """Level of each bucket of token hashes: how often its tokens occur in all texts, on a log scale.
+def rarity_table(docs: DataFrame, text: str) -> DataFrame:
+    """One row, ``__levels``: the level of each bucket of token hashes: how often its tokens occur in all texts, on a log scale.
 
     Tokens that share a bucket share a level, which only makes the order coarser: any order gives
     exact results, a good one gives short lists.
@@ -33,10 +33,8 @@ def rarity_table(docs: DataFrame, text: str) -> Column:
         F.pmod(F.xxhash64("t"), F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("n"))
     level = F.coalesce(F.least(F.lit(127), F.floor(F.log2("n") * 4)).cast("int"), F.lit(0))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(counts, "b", "left").select("b", level.alias("l"))
-    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "l"))), lambda x: x["l"].cast("string")), ",")
-    pages = every.groupBy(F.floor(F.col("b") / 4096).alias("page")).agg(listed.alias("levels")).orderBy("page").collect()  # BUCKETS / 4096 rows
-    # a constant, folded once into an array
-    return F.split(F.lit(",".join(r["levels"] for r in pages)), ",").cast("array<tinyint>")
+    # BUCKETS numbers, one byte each
+    return stored(every.agg(F.transform(F.array_sort(F.collect_list(F.struct("b", "l"))), lambda x: x["l"].cast("tinyint")).alias("__levels")))
 
 
 def _ordered(line: Column, levels: Column) -> Column:
@@ -109,8 +107,8 @@ def repeated_lines(docs: DataFrame, text: str, threshold: float = THRESHOLD, lea
     settles families of copies without pairing them all. Only lines not settled so go on to the
     join with all earlier ones.
     """
-    levels = rarity_table(docs, text)
-    ordered = _lines(docs, text).select(*LINE, _ordered(F.col("content"), levels).alias("tokens"))
+    # one row of a fixed size beside every line
+    ordered = _lines(docs, text).join(F.broadcast(rarity_table(docs, text))).select(*LINE, _ordered(F.col("content"), F.col("__levels")).alias("tokens"))
     size = F.size("tokens")
     lines = stored(ordered.where(size >= least_tokens).select(
         *LINE, F.xxhash64("tokens").alias("set_a"), F.xxhash64(F.lit(7), "tokens").alias("set_b"), size.alias("n"), _bitmap(F.col("tokens"), 0).alias("low"), _bitmap(F.col("tokens"), 1).alias("high"),
@@ -119,7 +117,8 @@ def repeated_lines(docs: DataFrame, text: str, threshold: float = THRESHOLD, lea
     sets = stored(lines.groupBy("set_a", "set_b").agg(
         F.min(_place()).alias("first"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("high").alias("high"), F.first("prefix").alias("prefix")))
     listed = ["n", "at", "low", "high", *LINE]
-    unroll = lambda df: df.select("first.*", "n", "low", "high", F.posexplode("prefix").alias("at", "token"))
+    unroll = lambda df: df.select("first.*", "n", "low", "high", "prefix", F.posexplode("prefix").alias("at", "token")).withColumn(
+        "before", F.coalesce(F.get("prefix", F.col("at") - 1), F.lit(0))).drop("prefix")
     lists = unroll(sets)
 
     def with_heads(part: DataFrame) -> DataFrame:
@@ -136,8 +135,10 @@ def repeated_lines(docs: DataFrame, text: str, threshold: float = THRESHOLD, lea
     open_ = unroll(sets.join(done, "first", "left_anti"))
 
     def with_all(mine: DataFrame, part: DataFrame) -> DataFrame:
-        probe = mine.join(part.select("token", *[F.col(c).alias(f"e_{c}") for c in listed]), "token")
-        return probe.where((_place("e_") < _place()) & _able("", "e_", threshold)).select(
+        probe = mine.join(part.select("token", *[F.col(c).alias(f"e_{c}") for c in (*listed, "before")]), "token")
+        # lists that agree in the token before have met there, with more tokens left
+        anew = (F.col("at") == 0) | (F.col("e_at") == 0) | (F.col("before") != F.col("e_before"))
+        return probe.where((_place("e_") < _place()) & anew & _able("", "e_", threshold)).select(
             _place().alias("later"), _place("e_").alias("earlier")).distinct()
 
     pairs = stored(_in_passes(with_all, open_, lists).distinct())

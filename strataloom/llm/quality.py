@@ -162,7 +162,7 @@ def quality(docs: DataFrame, id: str = "doc_id", text: str = "text", fit_rows: i
         return rows.select(id, F.array().cast("array<int>").alias("votes"), F.lit(0.0).alias("posterior"), F.lit(0.0).alias("score"), F.lit(False).alias("good"))
     model = fit_votes(np.array([r["votes"] for r in counted]), np.array([r["n"] for r in counted], dtype=np.float64))
     drawn = cast.select(*ROW_KEY, "votes").orderBy(unit_hash(*[F.col(k) for k in ROW_KEY]), *ROW_KEY).limit(fit_rows)
-    chosen = rows.select(*ROW_KEY, text).join(F.broadcast(drawn.dropDuplicates(ROW_KEY)), ROW_KEY).select("votes", text)
+    chosen = rows.select(*ROW_KEY, text).join(F.broadcast(drawn.dropDuplicates(ROW_KEY)), ROW_KEY).dropDuplicates(ROW_KEY).select("votes", text)
 
     def features(batches):
         for batch in batches:

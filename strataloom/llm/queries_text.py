@@ -71,7 +71,7 @@ CHAT_SQL = r"""
 WITH t AS (
   SELECT DISTINCT conv_id, coalesce(turn, -1)::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text
   FROM conversations WHERE conv_id IS NOT NULL),
-n AS (SELECT *, conv_id // 2 AS pair_id, conv_id % 2 AS odd, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i,
+n AS (SELECT *, (conv_id - (conv_id % 2 + 2) % 2) // 2 AS pair_id, (conv_id % 2 + 2) % 2 AS odd, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i,
   '<|' || role || '|>' || chr(10) AS head, text || '<|end|>' || chr(10) AS body FROM t),
 pair AS (SELECT pair_id, max(CASE WHEN odd = 0 THEN conv_id END) AS chosen_id, max(CASE WHEN odd = 1 THEN conv_id END) AS rejected_id,
   coalesce(max(i) FILTER (odd = 0), 0) AS nc, coalesce(max(i) FILTER (odd = 1), 0) AS nr FROM n GROUP BY pair_id),

@@ -155,8 +155,8 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
         return SentenceModel(np.zeros(1 << BITS), 6.0 if share.get(1) else -6.0)
     picks = [known.where(F.col("label") == c).orderBy(unit_hash(F.col(id)), id).limit(per_class) for c in (0, 1)]
     sample = picks[0].unionByName(picks[1])
-    # at most two times per_class ids
-    drawn = stored(docs.select(F.col(id), F.col(text)).join(F.broadcast(sample), id).select("label", F.col(text).alias("text")))
+    # at most two times per_class rows: of rows with one id, the least text counts
+    drawn = stored(docs.select(F.col(id), F.col(text)).join(F.broadcast(sample), id).groupBy(id, "label").agg(F.min(text).alias("text")).select("label", "text"))
     size = {r["label"]: r["n"] for r in drawn.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(size) < 2:
         return SentenceModel(np.zeros(1 << BITS), -6.0)

@@ -197,7 +197,10 @@ def test_repeated_words_are_judged_at_every_length():
 def top_k_brute_force(vectors, queries, k):
     out = []
     for q, x in queries:
-        scored = sorted(((-sum(a * b for a, b in zip(x, y)), i) for i, y in vectors if i != q))[:k]
+        others = list(vectors)
+        others.remove((q, x))  # its own row, once
+        most = 2 ** 63 - 1
+        scored = sorted(((-max(-most - 1, min(most, sum(a * b for a, b in zip(x, y)))), i) for i, y in others if len(x) == len(y)))[:k]
         out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored, 1)]
     return sorted(out)
 
@@ -209,22 +212,47 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     df = spark.createDataFrame([(*v, "x") for v in vectors + [vectors[7], (None, [1] * 6), (5000, None)]], "vec_id bigint, vector array<bigint>, rank string")
     got = topk.top_k(df, df.where("vec_id % 30 = 0"), k=5)
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
-    assert sorted(tuple(r) for r in got.collect()) == top_k_brute_force(vectors, [v for v in vectors if v[0] % 30 == 0], 5)
+    assert sorted(tuple(r) for r in got.collect()) == top_k_brute_force(vectors + [vectors[7]], [v for v in vectors if v[0] % 30 == 0], 5)
     few = df.where("vec_id < 9")
     assert topk.top_k(few, few, k=5).count() == 6
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_of_repeated_ids_lengths_and_large_numbers(spark):
+    rows = [(0, [1, 1]), (1, [1, 1]), (1, [3, 3]), (1, [3, 3]), (2, [2]), (2, [5]), (3, [5]), (50, [2, -1]), (50, [2, -1])]
+    rows += [(60, [2 ** 40, 1]), (61, [2 ** 40, -3]), (62, [2 ** 61, 2 ** 61]), (70, [])] + [(71, [])] * 9
+    df = spark.createDataFrame(rows, "vec_id bigint, vector array<bigint>")
+    expected = top_k_brute_force(rows, rows, 3)
+    assert sorted(tuple(r) for r in topk.top_k(df, df, k=3).collect()) == expected
+    asked = spark.createDataFrame([(1, [9, 9])], df.schema)  # a query that is no row leaves none out
+    assert [tuple(r) for r in topk.top_k(df.where("vec_id < 2"), asked, k=2).orderBy("rank").collect()] == [(1, 1, 1, 54), (1, 2, 1, 54)]
+
+
+def test_fit_bounds_hold_for_repeated_rows(spark, monkeypatch):
+    """A row that is there 5000 times is one row of the fit."""
+    rng = random.Random(14)
+    texts = [(k, prose(rng, 30) + (" vile filth" if k % 2 else "")) for k in range(60)] + [(3, prose(rng, 30) + " vile filth")] * 5000
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id bigint, toxic int")
+    sizes = []
+    fit, scorer = toxicity.fit, quality.fit_scorer
+    monkeypatch.setattr(toxicity, "fit", lambda feature, sentence, owner, y, weight: sizes.append(len(y)) or fit(feature, sentence, owner, y, weight))
+    toxicity.train(docs, labels, per_class=10)
+    monkeypatch.setattr(quality, "fit_scorer", lambda owner, bucket, value, target, *more: sizes.append(len(target)) or scorer(owner, bucket, value, target, *more))
+    quality.quality(docs, fit_rows=40)
+    assert sizes[0] <= 20 and sizes[1] <= 40
+
+
 def test_pruning_skips_blocks_and_bounds_hold():
     rng = np.random.default_rng(13)
     # sparse, clustered vectors: most blocks cannot matter
     vectors = np.zeros((2048, 16))
     vectors[np.arange(2048), np.arange(2048) // 128] = rng.integers(50, 100, 2048)
-    index = topk._Blocks(np.arange(2048), vectors)
+    index = topk._Blocks(np.arange(2048), np.arange(2048), vectors)
     assert (index.bounds(vectors[:50])[:, :, None] >= np.stack([vectors[:50] @ index.vectors[a:e].T for a, e in zip(index.edges, index.edges[1:])], axis=1) - 1e-9).all()
 
 
 def test_quantised_vectors(spark):
-    df = spark.createDataFrame([(1, [0.5, -0.001]), (2, None), (3, [float("nan"), 1.0]), (4, [None, 1.0]), (5, [float("inf"), 0.0]), (6, [])], "vec_id bigint, embedding array<float>")
+    df = spark.createDataFrame([(1, [0.5, -0.001]), (2, None), (3, [float("nan"), 1.0]), (4, [None, 1.0]), (5, [float("inf"), 0.0]), (6, []), (7, [1e17, 1e30])], "vec_id bigint, embedding array<float>")
     from pyspark.sql import functions as F
-    assert {r[0]: r[1] for r in df.select("vec_id", topk.quantised(F.col("embedding"))).collect()} == {1: [128, -1], 2: None, 3: None, 4: None, 5: None, 6: []}
+    assert {r[0]: r[1] for r in df.select("vec_id", topk.quantised(F.col("embedding"))).collect()} == {1: [128, -1], 2: None, 3: None, 4: None, 5: None, 6: [], 7: None}

@@ -62,7 +62,7 @@ def test_decontamination_of_empty_tables(spark):
     assert decontamination.contamination(docs.limit(0), bench).count() == 0
 
 
-def line_brute_force(texts, threshold=0.8, least=8):
+def line_brute_force(texts, threshold=0.8, least=1):
     tokens = lambda line: frozenset(t for t in re.split(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", line.lower()) if t)
     lines = [(i, k, tokens(line)) for i, text in texts if text is not None for k, line in enumerate(text.split("\n"))]
     out = set()
@@ -228,3 +228,20 @@ def test_preference_pairs(spark):
     assert out[1]["n_common"] == 1 and out[1]["chosen"] == out[1]["rejected"] == ""
     assert out[2]["rejected_id"] is None and out[3]["chosen_id"] is None and out[3]["prompt"] == ""
     assert chat.format_pairs(chat.neighbour_pairs(chat.conversations(df.limit(0)))).count() == 0
+
+
+def test_pairs_of_large_and_negative_ids(spark):
+    ids = [2 ** 60 + k for k in range(2, 6)] + [-4, -3, -1]
+    df = spark.createDataFrame([(i, 0, "user", "hello") for i in ids], "conv_id bigint, turn bigint, role string, text string")
+    got = sorted((r["chosen_id"], r["rejected_id"]) for r in chat.neighbour_pairs(chat.conversations(df)).where("chosen_id is not null").collect())
+    assert got == [(-4, -3), (2 ** 60 + 2, 2 ** 60 + 3), (2 ** 60 + 4, 2 ** 60 + 5)]
+
+
+def test_queries_without_the_tokenizer_library():
+    import subprocess
+    import sys
+
+    code = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; q = e.queries(); print(len(q), any(k.startswith('op') for k in q), len(e.oracle_sql()))"
+    root = str(__import__("pathlib").Path(__file__).parents[2])
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[0]) > 100 and out[1] == "False" and int(out[2]) > 100
