@@ -308,7 +308,7 @@ def superpose(df: DataFrame, record: Sequence[str], native: str, model: str, mas
     rows = points.groupBy(*record).agg(F.count("*").alias("n"), *[F.expr(e) for e in (*sums, f"struct({', '.join(products)}) AS __p", f"{spread} AS __g")]).where("n >= 3")
     rows = rows.withColumn("__k", F.expr(re.sub(r"\b([xyz]{2})\b", r"__p.\1", _QUATERNION_MATRIX)))
     # no eigenvalue is below minus half the spread, so none of the shifted ones is negative
-    rows = rows.withColumn("__m", F.expr(f"aggregate(sequence(1, {SQUARINGS}), transform(__k, (v, i) -> v + IF(i % 5 = 0, greatest(__g / 2, 1e-300D), 0D)), (m, t) -> {_SQUARED})"))
+    rows = rows.withColumn("__m", F.expr(f"aggregate(sequence(1, {SQUARINGS}), transform(__k, (v, i) -> v + IF(i % 5 = 0, greatest(__g / 2, 1e-100D), 0D)), (m, t) -> {_SQUARED})"))
     rows = rows.withColumn("__top", F.expr("array_position(array(__m[0], __m[5], __m[10], __m[15]), greatest(__m[0], __m[5], __m[10], __m[15]))"))
     rows = rows.withColumn("__q", F.expr("slice(__m, CAST(4 * __top - 3 AS INT), 4)"))
     rows = rows.withColumn("__q", F.expr("transform(__q, v -> v / sqrt(aggregate(__q, 0D, (t, u) -> t + u * u)))"))

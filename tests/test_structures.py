@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strataloom.functions.align import sequence_identity
 from strataloom.operators import audit, crop as K, features, filters as L, pairs as P, residues as R, sampling, select as S
-from strataloom.operators.metrics import structure_metrics
+from strataloom.operators.metrics import structure_metrics, superpose
 from strataloom.sources import sinks, structure as X
 
 CIF = """data_X
@@ -260,6 +260,33 @@ def test_rigid_motion_leaves_agreement_perfect(spark):
     assert abs(got["tm_resolved"] - 1) < 1e-6 and abs(got["tm_full"] - 0.9) < 1e-6
 
 
+def test_superposition_equals_singular_values(spark):
+    """Random, flat, straight and single-point records against the textbook fit; fewer than three points have none."""
+    rng = np.random.default_rng(5)
+    records = {"any": rng.normal(size=(40, 3)) * 7, "flat": rng.normal(size=(20, 3)) * [5, 5, 0], "line": rng.normal(size=(12, 1)) * [[1.0, 2.0, -1.0]],
+               "spot": np.ones((4, 3)), "pair": rng.normal(size=(2, 3)), "far": rng.normal(size=(30, 3)) + 1000, "mirror": rng.normal(size=(25, 3))}
+    rows, expected = [], {}
+    for name, a in records.items():
+        turn = np.linalg.qr(rng.normal(size=(3, 3)))[0]
+        turn *= np.sign(np.linalg.det(turn)) * (-1 if name == "mirror" else 1)
+        b = a @ turn.T + rng.normal(size=3) + (rng.normal(size=a.shape) * 0.3 if name in ("any", "far") else 0)
+        rows += [(name, k, dict(zip("xyz", p)), dict(zip("xyz", q)), True) for k, (p, q) in enumerate(zip(a.tolist(), b.tolist()))]
+        x, y = a - a.mean(0), b - b.mean(0)
+        u, s, vt = np.linalg.svd(y.T @ x)
+        s[-1] *= np.sign(np.linalg.det(u @ vt)) if np.linalg.det(u @ vt) else 1
+        expected[name] = np.sqrt(max((x ** 2).sum() + (y ** 2).sum() - 2 * s.sum(), 0) / len(a))
+    point = "struct<x:double,y:double,z:double>"
+    df = spark.createDataFrame(rows, f"record string, pos int, native {point}, model {point}, mask boolean")
+    fits = {r["record"]: r for r in superpose(df, ["record"], "native", "model", F.col("mask")).collect()}
+    assert set(fits) == set(records) - {"pair"}
+    for name, fit in fits.items():
+        r, a = np.array(fit["rotation"]), records[name]
+        b = np.array([[q[3][c] for c in "xyz"] for q in rows if q[0] == name])
+        assert np.allclose(r @ r.T, np.eye(3), atol=1e-9) and np.linalg.det(r) > 0
+        moved = b @ r.T + np.array(fit["shift"])
+        assert abs(fit["rmsd"] - expected[name]) < 1e-4 and abs(np.sqrt(((moved - a) ** 2).sum(1).mean()) - expected[name]) < 1e-4
+
+
 def test_superposition_does_not_mirror(spark):
     rng = random.Random(1)
     native = [tuple(rng.gauss(0, 5) for _ in range(3)) for _ in range(30)]
