@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -13,11 +14,14 @@ from ..operators.clusters import connected_labels
 from .common import ROW_KEY, keyed, maybe_broadcast, stored
 from .wordhash import mix64, shingle_sets, text_slices, word_hashes
 
-THRESHOLD, SHINGLE, TREES, LONGEST, RECALL = 0.8, 5, 24, 8, 0.9999
+THRESHOLD, SHINGLE, TREES, LONGEST, RECALL = 0.8, 5, 24, 8, 0.99999
 #: Members and shingles of a verification block; a task holds at most two blocks.
 BLOCK_NODES, BLOCK_SHINGLES = 512, 1 << 19
 #: Row keys (24 bytes each) up to which the candidates are broadcast to the documents.
 BROADCAST_ROWS = 1_000_000
+#: Similarities of found links are counted in this many steps.
+STEPS = 1000
+LINKS = "node binary, root binary, links bigint, step bigint"
 
 
 def forest_recall(similarity: float, depth: int, trees: int) -> float:
@@ -25,44 +29,46 @@ def forest_recall(similarity: float, depth: int, trees: int) -> float:
     return 1.0 - (1.0 - similarity ** depth) ** trees
 
 
-def prefix_depth(threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL, longest: int = LONGEST) -> int:
-    """Shortens the prefix, level by level, until pairs at the threshold reach the target recall."""
-    depth = longest
-    while depth > 1 and forest_recall(threshold, depth, trees) < recall:
-        depth -= 1
-    return depth
+def reached_recall(found: dict[float, int], depth: int, threshold: float = THRESHOLD, trees: int = TREES) -> float:
+    """Estimated share of the links that prefixes of ``depth`` bring together.
+
+    ``found`` counts the links found so far by similarity. Each stands for the links as similar that
+    stayed apart, by its chance to be found; one more link at the threshold stands for those of
+    which no example was found.
+    """
+    missed = sum(n * (1 / forest_recall(s, depth, trees) - 1) for s, n in [*found.items(), (threshold, 1)])
+    total = sum(found.values()) + 1
+    return total / (total + missed)
 
 
-def _signer(size: int, trees: int, depth: int):
-    """Arrow batches of (row key, none, text) to (row key, none, node, n, keys): node names the shingle set,
-    keys are the prefixes of its signature in each trie."""
+def _signer(size: int, trees: int):
+    """Arrow batches of (row key, none, text) to (row key, none, node, n, tries): node names the shingle set,
+    tries holds its signature in each trie, LONGEST values of two bytes, so that a prefix of the bytes is one of values."""
     def sign(batches):
-        odd = mix64(np.arange(1, trees * depth + 1, dtype=np.uint64)) | np.uint64(1)
-        flip = mix64(np.arange(10_001, trees * depth + 10_001, dtype=np.uint64))
+        odd = mix64(np.arange(1, trees * LONGEST + 1, dtype=np.uint64)) | np.uint64(1)
+        flip = mix64(np.arange(10_001, trees * LONGEST + 10_001, dtype=np.uint64))
         for batch in batches:
             for first, data, offsets in text_slices(batch.column(3)):
                 n = len(offsets) - 1
                 hashes, doc, _, _ = word_hashes(data, offsets)
                 values, starts = shingle_sets(hashes, doc, n, size)
                 full = np.flatnonzero(starts[1:] > starts[:-1])
-                keys = np.zeros((len(full), trees), dtype=np.uint64)
-                for t in range(trees if len(full) else 0):
-                    for k in range(t * depth, (t + 1) * depth):
-                        least = np.minimum.reduceat((values ^ flip[k]) * odd[k], starts[full])
-                        keys[:, t] = mix64(keys[:, t] * np.uint64(0x9E3779B97F4A7C15) + least + np.uint64(t + 1))
+                least = np.zeros((len(full), trees * LONGEST), dtype=np.uint16)
+                for k in range(trees * LONGEST if len(full) else 0):
+                    least[:, k] = mix64(np.minimum.reduceat((values ^ flip[k]) * odd[k], starts[full])) >> np.uint64(48)
                 nodes, lists = [None] * n, [None] * n
                 for i, d in enumerate(full):
                     nodes[d] = hashlib.md5(values[starts[d]:starts[d + 1]].tobytes()).digest()
-                    lists[d] = keys[i].view(np.int64)
+                    lists[d] = [row.tobytes() for row in least[i].reshape(trees, LONGEST)]
                 yield pa.RecordBatch.from_arrays([
                     *[batch.column(i).slice(first, n) for i in range(3)], pa.array(nodes, pa.binary()),
-                    pa.array(np.diff(starts), pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
-                    names=[*ROW_KEY, "none", "node", "n", "keys"])
+                    pa.array(np.diff(starts), pa.int64()), pa.array(lists, pa.list_(pa.binary()))],
+                    names=[*ROW_KEY, "none", "node", "n", "tries"])
     return sign
 
 
 def _set_reader(size: int):
-    """Arrow batches of (node, n_docs, keys, block columns..., text) with the text replaced by its shingles."""
+    """Arrow batches of (node, n_docs, tries, block columns..., text) with the text replaced by its shingles."""
     def read(batches):
         for batch in batches:
             last = batch.num_columns - 1
@@ -98,16 +104,25 @@ def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray)
     return total[left, right].astype(np.int64)
 
 
-def _verifier(threshold: float):
+def _verifier(threshold: float, depth: int):
     def verify(members: pd.DataFrame) -> pd.DataFrame:
-        """Links between the members of one block, or across the two blocks of a cell."""
+        """Links that are new at this depth, between the members of one block or across the two blocks of a cell:
+        rows of linked nodes, and rows without a node that count the links by similarity."""
         members = members.drop_duplicates("node").reset_index(drop=True)
         sets = [np.frombuffer(s, dtype=np.uint64) for s in members["shingles"]]
-        keys = np.array(members["keys"].tolist(), dtype=np.int64)
+        tries = np.frombuffer(b"".join(b"".join(t) for t in members["tries"]), dtype=np.uint16).reshape(len(sets), -1, LONGEST)
         side, paired = members["side"].to_numpy(), bool(members["paired"].iloc[0])
         near = np.zeros((len(sets), len(sets)), dtype=bool)
-        for t in range(keys.shape[1]):
-            near |= keys[:, t][:, None] == keys[:, t][None, :]
+        known = np.zeros_like(near)
+        for t in range(tries.shape[1]):
+            same = np.ones_like(near)
+            for k in range(depth):
+                same &= tries[:, t, k][:, None] == tries[:, t, k][None, :]
+            near |= same
+            if depth < LONGEST:
+                known |= same & (tries[:, t, depth][:, None] == tries[:, t, depth][None, :])
+        # pairs that share a longer prefix were compared at an earlier depth
+        near &= ~known
         if paired:
             near &= side[:, None] < side[None, :]
         left, right = np.nonzero(near if paired else np.triu(near, 1))
@@ -116,8 +131,9 @@ def _verifier(threshold: float):
         able = np.minimum(size[left], size[right]) >= threshold * np.maximum(size[left], size[right]) - 1e-9
         left, right = left[able], right[able]
         common = _intersections(sets, left, right)
-        linked = common / np.maximum(size[left] + size[right] - common, 1) >= threshold
-        left, right = left[linked], right[linked]
+        alike = common / np.maximum(size[left] + size[right] - common, 1)
+        linked = alike >= threshold
+        left, right, alike = left[linked], right[linked], alike[linked]
         weight = members["n_docs"].to_numpy().astype(np.float64)
         links = np.bincount(left, weight[right], len(sets)) + np.bincount(right, weight[left], len(sets))
         root = np.arange(len(sets))
@@ -130,34 +146,68 @@ def _verifier(threshold: float):
                 break
             root = low
         hit = np.flatnonzero(links > 0)
-        return pd.DataFrame({"node": members["node"].to_numpy()[hit], "root": members["node"].to_numpy()[root[hit]],
-                             "links": links[hit].astype(np.int64)})
+        step, times = np.unique((alike * STEPS).astype(np.int64), return_counts=True)
+        node = members["node"].to_numpy()
+        return pd.DataFrame({"node": [*node[hit], *[None] * len(step)], "root": [*node[root[hit]], *[None] * len(step)],
+                             "links": [*links[hit].astype(np.int64), *times], "step": [*[-1] * len(hit), *step]})
     return verify
 
 
-def _cells(nodes: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(node, n_docs, keys, row key, cell, side, paired): where each candidate is compared.
+def _meetings(tries: DataFrame, depth: int) -> DataFrame:
+    """(node, key): the nodes of each trie node of this depth that joins several of the next depth."""
+    key = F.concat(F.col("tree"), F.substring("path", 1, 2 * depth)).alias("key")
+    longer = F.substring("path", 1, 2 * depth + 2)
+    if depth == LONGEST:
+        longer = F.col("node")
+    joins = tries.groupBy(key).agg(F.min(longer).alias("low"), F.max(longer).alias("high")).where("low < high").select("key")
+    return tries.select("node", key).join(joins, "key")
+
 
-    Small components share cells, about a block each. A component above a block is dealt over
-    blocks by a hash, and each pair of its blocks is a cell, so no task holds more than two.
-    ``paired`` tells the cells of two blocks, of which one may have no member, from those of one.
+def _cells(nodes: DataFrame, meetings: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, n_docs, tries, row key, cell, side, paired): where each candidate is compared.
+
+    ``labels`` gives the component of the nodes that meet. Small components share cells, about a
+    block each. A component above a block is dealt over blocks by a hash; two blocks have a cell
+    with those of their members that meet one of the other block in a trie node, so the cells
+    follow what meets and no task holds more than two blocks. ``paired`` tells them from the cells of one block.
     """
-    members = nodes.join(candidates, "node")
-    sizes = members.groupBy("comp").agg(F.count("*").alias("size"), F.sum("n").alias("weight")).select("comp", F.greatest(
-        F.ceil(F.col("size") / BLOCK_NODES), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int").alias("blocks"), "size", "weight")
-    sizes = stored(sizes)
+    members = nodes.join(labels, "node")
+    sizes = stored(members.groupBy("comp").agg(F.count("*").alias("size"), F.sum("n").alias("weight")).select("comp", F.greatest(
+        F.ceil(F.col("size") / BLOCK_NODES), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int").alias("blocks"), "size", "weight"))
     alone = sizes.where("blocks = 1").agg(F.sum("size"), F.sum("weight")).first()
     shared = 1 + max((alone[0] or 0) // BLOCK_NODES, (alone[1] or 0) // BLOCK_SHINGLES)
     placed = members.join(sizes.select("comp", "blocks"), "comp").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     single = placed.where("blocks = 1").withColumns({
         "cell": F.concat(F.lit("s"), F.pmod(F.xxhash64("comp"), F.lit(shared)).cast("string")), "side": F.lit(0), "paired": F.lit(False)})
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    large = placed.where("blocks > 1").select("*", other.alias("other")).withColumns({
+    large = placed.where("blocks > 1")
+    at = meetings.join(large.select("node", "block"), "node")
+    # a trie node's blocks are few numbers, whatever the number of its members
+    met = at.join(at.groupBy("key").agg(F.collect_set("block").alias("others")), "key").select(
+        "node", F.explode("others").alias("other")).distinct()
+    dealt = large.join(met, "node").withColumns({
         "cell": F.concat_ws("-", F.hex("comp"), F.least("block", "other").cast("string"), F.greatest("block", "other").cast("string")),
         "side": F.when(F.col("block") > F.col("other"), 1).otherwise(0),
-        "paired": F.col("block") != F.col("other")}).drop("other")
-    keep = ["node", "n_docs", "keys", *[F.col(f"first.{k}").alias(k) for k in ROW_KEY], "cell", "side", "paired"]
-    return single.select(keep).unionByName(large.select(keep))
+        "paired": F.col("block") != F.col("other")})
+    keep = ["node", "n_docs", "tries", *[F.col(f"first.{k}").alias(k) for k in ROW_KEY], "cell", "side", "paired"]
+    return single.select(keep).unionByName(dealt.select(keep))
+
+
+def _level(rows: DataFrame, text: str, nodes: DataFrame, tries: DataFrame, depth: int, threshold: float, shingle: int) -> DataFrame | None:
+    """(node, root, links, step): what is found at one depth of the tries, see ``_verifier``; None where nothing meets anew."""
+    meetings = stored(_meetings(tries, depth))
+    if meetings.isEmpty():
+        return None
+    low = meetings.groupBy("key").agg(F.min("node").alias("low"))
+    stars = meetings.join(low, "key").where("node <> low").select(F.col("node").alias("u"), F.col("low").alias("v"))
+    labels = connected_labels(stars).select("node", F.col("label").alias("comp"))
+    labels = stored(labels.unionByName(labels.select(F.col("comp").alias("node"), "comp").distinct()))
+    cells = stored(_cells(nodes, meetings, labels))
+    # one row of each key: its text goes to a cell once, however often the row is repeated
+    texts = rows.select(*ROW_KEY, text).join(maybe_broadcast(
+        cells.select(*ROW_KEY).distinct(), labels.count(), BROADCAST_ROWS), ROW_KEY, "left_semi").dropDuplicates(ROW_KEY)
+    read = cells.join(texts, ROW_KEY).select("node", "n_docs", "tries", "cell", "side", "paired", text)
+    sets = read.mapInArrow(_set_reader(shingle), "node binary, n_docs bigint, tries array<binary>, cell string, side int, paired boolean, shingles binary")
+    return stored(sets.groupBy("cell").applyInPandas(_verifier(threshold, depth), LINKS))
 
 
 def similar_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
@@ -166,30 +216,35 @@ def similar_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
 
     Two rows are linked when the Jaccard similarity of their sets of ``shingle``-word runs is at
     least ``threshold``; ``n_links`` counts the other rows linked to one, copies included.
+    Candidates share a signature prefix in one of the tries. Prefixes begin at their whole length and
+    are shortened by one value until the links found let ``recall`` be expected (``reached_recall``).
     Classes are what links connect; ``class_id`` is the least id in one. ``keeper`` marks the row
     of the least id and, among equals, text hash (repeated rows are all marked).
     Texts of fewer words have one shingle of all of them. NULL and empty texts have no shingles:
     no links, a class of their own with their own id. NULL ids sort last.
     """
-    depth = prefix_depth(threshold, trees, recall)
     rows = keyed(docs.select(id, text), id, text).select(*ROW_KEY, F.col(id).isNull().alias("none"), text)
     kind = rows.schema[ROW_KEY[0]].dataType.simpleString()
-    signed = stored(rows.mapInArrow(_signer(shingle, trees, depth), (
-        f"{ROW_KEY[0]} {kind}, {ROW_KEY[1]} bigint, none boolean, node binary, n bigint, keys array<bigint>")))
+    signed = stored(rows.mapInArrow(_signer(shingle, trees), (
+        f"{ROW_KEY[0]} {kind}, {ROW_KEY[1]} bigint, none boolean, node binary, n bigint, tries array<binary>")))
     # equal sets become one node; a group of copies costs one row per task from here on
     nodes = stored(signed.where("node IS NOT NULL").groupBy("node").agg(
-        F.count("*").alias("n_docs"), F.min(F.struct("none", *ROW_KEY)).alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys")))
-    spread = nodes.select("node", F.explode("keys").alias("key"))
-    shared = spread.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("low")).where("size > 1").select("key", "low")
-    stars = stored(spread.join(shared, "key").where("node <> low").select(F.col("node").alias("u"), F.col("low").alias("v")).distinct())
-    labels = connected_labels(stars).select("node", F.col("label").alias("comp"))
-    candidates = stored(labels.unionByName(labels.select(F.col("comp").alias("node"), "comp").distinct()))
-    cells = stored(_cells(nodes, candidates))
-    texts = rows.select(*ROW_KEY, text).join(maybe_broadcast(
-        cells.select(*ROW_KEY).distinct(), candidates.count(), BROADCAST_ROWS), ROW_KEY, "left_semi").dropDuplicates(ROW_KEY)
-    read = cells.join(texts, ROW_KEY).select("node", "n_docs", "keys", "cell", "side", "paired", text)
-    sets = read.mapInArrow(_set_reader(shingle), "node binary, n_docs bigint, keys array<bigint>, cell string, side int, paired boolean, shingles binary")
-    links = stored(sets.groupBy("cell").applyInPandas(_verifier(threshold), "node binary, root binary, links bigint"))
+        F.count("*").alias("n_docs"), F.min(F.struct("none", *ROW_KEY)).alias("first"), F.first("n").alias("n"), F.first("tries").alias("tries")))
+    branch = F.posexplode("tries").alias("tree", "path")
+    sorted_tries = stored(nodes.select("node", branch).select(F.char("tree").cast("binary").alias("tree"), "path", "node").repartitionByRange(
+        "tree", "path", "node").sortWithinPartitions("tree", "path"))
+    levels, found = [], {}
+    for depth in range(LONGEST, 0, -1):
+        level = _level(rows, text, nodes, sorted_tries, depth, threshold, shingle)
+        if level:
+            levels.append(level)
+            # at most STEPS rows
+            for step, n in level.where("node IS NULL").groupBy("step").agg(F.sum("links")).collect():
+                found[step / STEPS] = found.get(step / STEPS, 0) + n
+        if reached_recall(found, depth, threshold, trees) >= recall:
+            break
+    none = docs.sparkSession.createDataFrame([], LINKS)
+    links = reduce(DataFrame.unionByName, levels, none).where("node IS NOT NULL")
     joined = connected_labels(links.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))).select(
         "node", F.col("label").alias("class"))
     totals = links.groupBy("node").agg(F.sum("links").alias("links"))
@@ -197,7 +252,7 @@ def similar_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
         "node", "first", F.coalesce("class", "node").alias("class"), (F.col("n_docs") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
     table = known.drop("first").join(known.groupBy("class").agg(F.min("first").alias("first")), "class").select("node", "n_links", "first")
     own = F.when(~F.col("none"), F.col(ROW_KEY[0]))
-    return signed.drop("n", "keys").join(table, "node", "left").select(
+    return signed.drop("n", "tries").join(table, "node", "left").select(
         *ROW_KEY, own.alias(id),
         F.when(F.col("node").isNull(), own).when(~F.col("first.none"), F.col(f"first.{ROW_KEY[0]}")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),

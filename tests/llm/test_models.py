@@ -8,6 +8,7 @@ from pathlib import Path
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -82,8 +83,25 @@ def test_links_of_long_texts_are_counted_once(spark, monkeypatch):
 
 
 def test_prefixes_shorten_until_the_target_recall():
-    depth = jaccard_join.prefix_depth()
-    assert jaccard_join.forest_recall(0.8, depth, jaccard_join.TREES) >= jaccard_join.RECALL > jaccard_join.forest_recall(0.8, depth + 1, jaccard_join.TREES)
+    # links far above the threshold need no short prefixes, links at it do
+    depths = [next(d for d in range(jaccard_join.LONGEST, 0, -1) if jaccard_join.reached_recall(found, d) >= jaccard_join.RECALL)
+              for found in ({0.95: 10 ** 6}, {0.9: 1000}, {0.8: 1000})]
+    assert depths == sorted(depths, reverse=True) and depths[0] == jaccard_join.LONGEST and depths[-1] == 4
+    assert jaccard_join.reached_recall({}, 4) >= jaccard_join.RECALL > jaccard_join.reached_recall({}, 5)
+
+
+def test_rows_repeated_often_reach_a_cell_once(spark):
+    texts = near_copies(random.Random(9), 2, 4)
+    docs = documents(spark, texts)
+    many = docs.unionByName(docs.where(F.col("doc_id") == texts[0][0]).select(F.explode(F.array_repeat(F.struct("*"), 2000)).alias("r")).select("r.*"))
+    out = jaccard_join.similar_classes(many).collect()
+    expected = {i: (c, n) for i, c, n in classes_brute_force(texts)}
+    assert len(out) == len(texts) + 2000 and {(r["doc_id"], r["class_id"]) for r in out} == {(i, c) for i, (c, _) in expected.items()}
+    links = {r["doc_id"]: r["n_links"] for r in out}
+    hot = shingles(texts[0][1])
+    for i, t in texts:
+        near = len(hot & shingles(t)) / len(hot | shingles(t)) >= 0.8
+        assert links[i] == expected[i][1] + 2000 * near
 
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -254,5 +272,4 @@ def test_pruning_skips_blocks_and_bounds_hold():
 
 def test_quantised_vectors(spark):
     df = spark.createDataFrame([(1, [0.5, -0.001]), (2, None), (3, [float("nan"), 1.0]), (4, [None, 1.0]), (5, [float("inf"), 0.0]), (6, []), (7, [1e17, 1e30])], "vec_id bigint, embedding array<float>")
-    from pyspark.sql import functions as F
     assert {r[0]: r[1] for r in df.select("vec_id", topk.quantised(F.col("embedding"))).collect()} == {1: [128, -1], 2: None, 3: None, 4: None, 5: None, 6: [], 7: None}
