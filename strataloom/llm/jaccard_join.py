@@ -104,7 +104,7 @@ def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray)
     return total[left, right].astype(np.int64)
 
 
-def _verifier(threshold: float, depth: int):
+def _verifier(threshold: float, depth: int, before: int | None):
     def verify(members: pd.DataFrame) -> pd.DataFrame:
         """Links that are new at this depth, between the members of one block or across the two blocks of a cell:
         rows of linked nodes, and rows without a node that count the links by similarity."""
@@ -116,12 +116,15 @@ def _verifier(threshold: float, depth: int):
         known = np.zeros_like(near)
         for t in range(tries.shape[1]):
             same = np.ones_like(near)
-            for k in range(depth):
+            for k in range(before or depth):
+                if k == depth:
+                    near |= same
                 same &= tries[:, t, k][:, None] == tries[:, t, k][None, :]
-            near |= same
-            if depth < LONGEST:
-                known |= same & (tries[:, t, depth][:, None] == tries[:, t, depth][None, :])
-        # pairs that share a longer prefix were compared at an earlier depth
+            if before:
+                known |= same
+            else:
+                near |= same
+        # pairs that share a prefix of the depth before were compared then
         near &= ~known
         if paired:
             near &= side[:, None] < side[None, :]
@@ -153,12 +156,10 @@ def _verifier(threshold: float, depth: int):
     return verify
 
 
-def _meetings(tries: DataFrame, depth: int) -> DataFrame:
-    """(node, key): the nodes of each trie node of this depth that joins several of the next depth."""
+def _meetings(tries: DataFrame, depth: int, before: int | None) -> DataFrame:
+    """(node, key): the nodes of each trie node of this depth that joins several of the depth before."""
     key = F.concat(F.col("tree"), F.substring("path", 1, 2 * depth)).alias("key")
-    longer = F.substring("path", 1, 2 * depth + 2)
-    if depth == LONGEST:
-        longer = F.col("node")
+    longer = F.substring("path", 1, 2 * before) if before else F.col("node")
     joins = tries.groupBy(key).agg(F.min(longer).alias("low"), F.max(longer).alias("high")).where("low < high").select("key")
     return tries.select("node", key).join(joins, "key")
 
@@ -192,9 +193,10 @@ def _cells(nodes: DataFrame, meetings: DataFrame, labels: DataFrame) -> DataFram
     return single.select(keep).unionByName(dealt.select(keep))
 
 
-def _level(rows: DataFrame, text: str, nodes: DataFrame, tries: DataFrame, depth: int, threshold: float, shingle: int) -> DataFrame | None:
+def _level(rows: DataFrame, text: str, nodes: DataFrame, tries: DataFrame, depth: int, before: int | None,
+           threshold: float, shingle: int) -> DataFrame | None:
     """(node, root, links, step): what is found at one depth of the tries, see ``_verifier``; None where nothing meets anew."""
-    meetings = stored(_meetings(tries, depth))
+    meetings = stored(_meetings(tries, depth, before))
     if meetings.isEmpty():
         return None
     low = meetings.groupBy("key").agg(F.min("node").alias("low"))
@@ -207,7 +209,7 @@ def _level(rows: DataFrame, text: str, nodes: DataFrame, tries: DataFrame, depth
         cells.select(*ROW_KEY).distinct(), labels.count(), BROADCAST_ROWS), ROW_KEY, "left_semi").dropDuplicates(ROW_KEY)
     read = cells.join(texts, ROW_KEY).select("node", "n_docs", "tries", "cell", "side", "paired", text)
     sets = read.mapInArrow(_set_reader(shingle), "node binary, n_docs bigint, tries array<binary>, cell string, side int, paired boolean, shingles binary")
-    return stored(sets.groupBy("cell").applyInPandas(_verifier(threshold, depth), LINKS))
+    return stored(sets.groupBy("cell").applyInPandas(_verifier(threshold, depth, before), LINKS))
 
 
 def similar_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
@@ -217,7 +219,8 @@ def similar_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
     Two rows are linked when the Jaccard similarity of their sets of ``shingle``-word runs is at
     least ``threshold``; ``n_links`` counts the other rows linked to one, copies included.
     Candidates share a signature prefix in one of the tries. Prefixes begin at their whole length and
-    are shortened by one value until the links found let ``recall`` be expected (``reached_recall``).
+    are shortened until the links found let ``recall`` be expected (``reached_recall``), each time
+    to the longest ones that would do for the links known by then.
     Classes are what links connect; ``class_id`` is the least id in one. ``keeper`` marks the row
     of the least id and, among equals, text hash (repeated rows are all marked).
     Texts of fewer words have one shingle of all of them. NULL and empty texts have no shingles:
@@ -233,16 +236,18 @@ def similar_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
     branch = F.posexplode("tries").alias("tree", "path")
     sorted_tries = stored(nodes.select("node", branch).select(F.char("tree").cast("binary").alias("tree"), "path", "node").repartitionByRange(
         "tree", "path", "node").sortWithinPartitions("tree", "path"))
-    levels, found = [], {}
-    for depth in range(LONGEST, 0, -1):
-        level = _level(rows, text, nodes, sorted_tries, depth, threshold, shingle)
+    levels, found, before, depth = [], {}, None, LONGEST
+    while True:
+        level = _level(rows, text, nodes, sorted_tries, depth, before, threshold, shingle)
         if level:
             levels.append(level)
             # at most STEPS rows
             for step, n in level.where("node IS NULL").groupBy("step").agg(F.sum("links")).collect():
                 found[step / STEPS] = found.get(step / STEPS, 0) + n
-        if reached_recall(found, depth, threshold, trees) >= recall:
+        enough = next((d for d in range(depth, 0, -1) if reached_recall(found, d, threshold, trees) >= recall), 1)
+        if enough == depth:
             break
+        before, depth = depth, enough
     none = docs.sparkSession.createDataFrame([], LINKS)
     links = reduce(DataFrame.unionByName, levels, none).where("node IS NOT NULL")
     joined = connected_labels(links.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))).select(
