@@ -1,8 +1,8 @@
-"""Rules on contract documents: regions, orders, linkers, candidates, results, schemas."""
+"""Rules on contract documents: regions, orders, linkers, candidates, results."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -10,6 +10,7 @@ from ..functions import text as X
 from ..functions.canonical import WORK_DROPPED, document_identity, work_id
 from .expect import duplicates, expect, expect_empty
 from .scale import ordered_scan
+from .schemas import schema_report, schema_rules  # noqa: F401  document rules belong to the contracts
 
 
 def overlapping_regions(regions: DataFrame, domain: Sequence[str], start: str, end: str, protected: str, id: str) -> DataFrame:
@@ -204,95 +205,7 @@ def job_audit(records: DataFrame, selection: DataFrame, model_id: str, revision:
         "selection_position": off}))
 
 
-# ---------------------------------------------------------------- schema conformance
-
-def schema_rules(doc: str, schema: Mapping, prefix: str = "$") -> dict[str, Column]:
-    """Rule columns of a JSON schema for the objects in text column ``doc``.
-
-    Covers type, const, enum, pattern, minimum, maximum, minLength, minItems, uniqueItems,
-    required, additionalProperties false and nested objects and arrays of scalars. A rule on an absent optional
-    value holds. Conditions (``if`` a property is in a list ``then`` properties are required) too.
-    """
-    rules: dict[str, Column] = {}
-    path = lambda name: f"$['{name}']"
-    raw = lambda name: F.get_json_object(doc, path(name))
-    keys = F.json_object_keys(doc)
-    properties = schema.get("properties", {})
-    for name in schema.get("required", []):
-        rules[f"{prefix}.{name}:required"] = F.array_contains(keys, name)
-    if schema.get("additionalProperties") is False:
-        rules[f"{prefix}:extra"] = F.size(F.array_except(keys, F.array(*[F.lit(p) for p in properties]))) == 0
-    for name, spec in properties.items():
-        value, where = raw(name), f"{prefix}.{name}"
-        absent = ~F.array_contains(keys, name)
-        number = value.try_cast("double")
-        kind = spec.get("type")
-        checks: dict[str, Column] = {}
-        if kind in ("number", "integer"):
-            checks["type"] = value.rlike(r"^-?[0-9]+$" if kind == "integer" else r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$")
-        elif kind == "boolean":
-            checks["type"] = value.isin("true", "false")
-        elif kind == "array":
-            checks["type"] = F.startswith(value, F.lit("["))
-        elif kind == "object":
-            checks["type"] = F.startswith(value, F.lit("{"))
-        elif kind == "string":
-            checks["type"] = value.isNotNull()
-        if "const" in spec:
-            checks["const"] = value == str(spec["const"])
-        if "enum" in spec:
-            checks["enum"] = value.isin([str(e) for e in spec["enum"]])
-        if "pattern" in spec:
-            checks["pattern"] = value.rlike(spec["pattern"])
-        if "minimum" in spec:
-            checks["minimum"] = number >= spec["minimum"]
-        if "maximum" in spec:
-            checks["maximum"] = number <= spec["maximum"]
-        if "minLength" in spec:
-            checks["minLength"] = F.length(value) >= spec["minLength"]
-        if kind == "array":
-            items = F.from_json(value, "array<string>")
-            if "minItems" in spec:
-                checks["minItems"] = F.size(items) >= spec["minItems"]
-            if spec.get("uniqueItems"):
-                checks["uniqueItems"] = F.size(F.array_distinct(items)) == F.size(items)
-            if "pattern" in spec.get("items", {}):
-                pattern = spec["items"]["pattern"]
-                checks["items"] = F.forall(items, lambda x, p=pattern: x.rlike(p))
-        for check, ok in checks.items():
-            rules[f"{where}:{check}"] = absent | F.coalesce(ok, F.lit(False))
-        if kind == "object" and ("properties" in spec or "required" in spec):
-            rules.update(_nested(doc, name, spec, where, absent))
-    for condition in schema.get("allOf", []):
-        tests = condition["if"]["properties"]
-        hit = F.lit(True)
-        for name, spec in tests.items():
-            hit = hit & raw(name).isin([str(e) for e in spec.get("enum", [spec.get("const")])])
-        for name in condition["then"].get("required", []):
-            rules[f"{prefix}.{name}:conditional"] = ~F.coalesce(hit, F.lit(False)) | F.array_contains(keys, name)
-    return rules
-
-
-def _nested(doc: str, name: str, spec: Mapping, where: str, absent: Column) -> dict[str, Column]:
-    inner = F.json_object_keys(F.get_json_object(doc, f"$['{name}']"))
-    rules = {f"{where}.{r}:required": absent | F.coalesce(F.array_contains(inner, r), F.lit(False)) for r in spec.get("required", [])}
-    if spec.get("additionalProperties") is False:
-        allowed = F.array(*[F.lit(p) for p in spec.get("properties", {})])
-        rules[f"{where}:extra"] = absent | F.coalesce(F.size(F.array_except(inner, allowed)) == 0, F.lit(False))
-    for child, child_spec in spec.get("properties", {}).items():
-        value = F.get_json_object(doc, f"$['{name}']['{child}']")
-        missing = absent | ~F.coalesce(F.array_contains(inner, child), F.lit(False))
-        for key, test in (("enum", lambda s: value.isin([str(e) for e in s])), ("pattern", lambda s: value.rlike(s)),
-                          ("const", lambda s: value == str(s)), ("minimum", lambda s: value.try_cast("double") >= s),
-                          ("maximum", lambda s: value.try_cast("double") <= s)):
-            if key in child_spec:
-                rules[f"{where}.{child}:{key}"] = missing | F.coalesce(test(child_spec[key]), F.lit(False))
-    return rules
-
-
-def schema_report(docs: DataFrame, doc: str, schema: Mapping, id: str | None = None) -> DataFrame:
-    return expect(docs, schema_rules(doc, schema), id)
-
+# ---------------------------------------------------------------- open documents
 
 def unknown_fields(docs: DataFrame, doc: str, known: Sequence[str], out: str = "extra") -> DataFrame:
     """Open documents: keys outside the known ones as a map of text, kept instead of dropped."""

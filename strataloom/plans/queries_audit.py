@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W, functions as F
 
 from ..functions import canonical as J, text as X
-from ..operators import audit as A, clusters as C, contracts as K, ledger as D, select as S
+from ..operators import audit as A, clusters as C, contracts as K, ledger as D, schemas as Y, select as S
 from ..operators.expect import duplicates, expect
 from .queries_splits import COMPONENTS_SQL, SPLIT_SQL, _split_docs
 from .registry import query
@@ -180,6 +180,79 @@ def schema_report(t):
     return K.schema_report(t.events, "props", schema).drop("example")
 
 
+#: An order with its lines: references, objects in arrays, conditions.
+ORDER_SCHEMA = {
+    "type": "object", "additionalProperties": False, "required": ["key", "status", "total", "date", "lines"],
+    "$defs": {"line": {
+        "type": "object", "additionalProperties": False, "required": ["number", "quantity"], "properties": {
+            "number": {"type": "integer", "minimum": 1, "maximum": 6}, "quantity": {"type": "number", "exclusiveMinimum": 1, "maximum": 49},
+            "flag": {"enum": ["N", "R"]}, "shipped": {"type": "string", "format": "date"}}}},
+    "properties": {
+        "key": {"type": "integer"}, "status": {"enum": ["O", "F"]}, "total": {"type": "number", "minimum": 2000},
+        "date": {"type": "string", "format": "date", "pattern": "^199[3-7]-"}, "priority": {"type": "string", "maxLength": 8},
+        "lines": {"type": "array", "minItems": 2, "maxItems": 6, "uniqueItems": True, "items": {"$ref": "#/$defs/line"}}},
+    "if": {"properties": {"status": {"const": "F"}}}, "then": {"required": ["priority"]},
+    "else": {"properties": {"total": {"maximum": 450000}}},
+}
+
+
+@query("schema_orders", """
+WITH l AS (SELECT l_orderkey AS k, count(*) AS n, count(DISTINCT (l_linenumber, l_quantity, l_returnflag, CAST(l_shipdate AS DATE))) AS d, max(l_linenumber) AS top,
+    min(l_linenumber) AS low, min(l_quantity) AS least, max(l_quantity) AS most, count(*) FILTER (l_returnflag NOT IN ('N', 'R')) AS other FROM lineitem GROUP BY 1),
+o AS (SELECT *, o_orderpriority = '5-LOW' AS bare FROM orders LEFT JOIN l ON k = o_orderkey),
+f AS (SELECT count(*) AS checked, 0::BIGINT AS "$:type", 0::BIGINT AS "$:extra", 0::BIGINT AS "$.key:required", 0::BIGINT AS "$.status:required", 0::BIGINT AS "$.total:required",
+    0::BIGINT AS "$.date:required", count(*) FILTER (n IS NULL) AS "$.lines:required", 0::BIGINT AS "$.key:type", count(*) FILTER (o_orderstatus NOT IN ('O', 'F')) AS "$.status:enum",
+    0::BIGINT AS "$.total:type", count(*) FILTER (o_totalprice < 2000) AS "$.total:minimum", 0::BIGINT AS "$.date:type", 0::BIGINT AS "$.date:format",
+    count(*) FILTER (year(o_orderdate) NOT BETWEEN 1993 AND 1997) AS "$.date:pattern", 0::BIGINT AS "$.priority:type",
+    count(*) FILTER (NOT bare AND length(o_orderpriority) > 8) AS "$.priority:maxLength", 0::BIGINT AS "$.lines:type", count(*) FILTER (n < 2) AS "$.lines:minItems",
+    count(*) FILTER (n > 6) AS "$.lines:maxItems", count(*) FILTER (d < n) AS "$.lines:uniqueItems", 0::BIGINT AS "$.lines[]:type", 0::BIGINT AS "$.lines[]:extra",
+    0::BIGINT AS "$.lines[].number:required", 0::BIGINT AS "$.lines[].quantity:required", 0::BIGINT AS "$.lines[].number:type", count(*) FILTER (low < 1) AS "$.lines[].number:minimum",
+    count(*) FILTER (top > 6) AS "$.lines[].number:maximum", 0::BIGINT AS "$.lines[].quantity:type", count(*) FILTER (least <= 1) AS "$.lines[].quantity:exclusiveMinimum",
+    count(*) FILTER (most > 49) AS "$.lines[].quantity:maximum", count(*) FILTER (other > 0) AS "$.lines[].flag:enum", 0::BIGINT AS "$.lines[].shipped:type",
+    0::BIGINT AS "$.lines[].shipped:format", count(*) FILTER (o_orderstatus = 'F' AND bare) AS "$.priority:conditional",
+    count(*) FILTER (o_orderstatus <> 'F' AND o_totalprice > 450000) AS "$.total:conditional-maximum" FROM o)
+SELECT rule, checked, failed FROM (UNPIVOT f ON COLUMNS(* EXCLUDE checked) INTO NAME rule VALUE failed)""")
+def schema_orders(t):
+    """Every order with its lines as one document under a schema of references, arrays of objects and conditions."""
+    line = F.struct(F.col("l_linenumber").alias("number"), F.col("l_quantity").alias("quantity"), F.col("l_returnflag").alias("flag"),
+                    F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"))
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(line).alias("lines"))
+    order = F.struct(
+        F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("total"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"), "lines")
+    docs = t.orders.join(lines, "o_orderkey", "left").select("o_orderkey", F.to_json(order).alias("doc"))
+    return Y.schema_report(docs, "doc", ORDER_SCHEMA).drop("example")
+
+
+#: A text with its lines and labels: alternatives, negation, rules on elements.
+TEXT_SCHEMA = {
+    "properties": {
+        "lang": {"not": {"enum": ["de"]}}, "source": {"anyOf": [{"const": "src19"}, {"maxLength": 4}]},
+        "n_chars": {"type": ["integer", "null"], "multipleOf": 2, "exclusiveMaximum": 3000},
+        "lines": {"items": {"minLength": 1}, "maxItems": 10, "uniqueItems": True, "contains": {"minLength": 200}},
+        "labels": {"oneOf": [{"required": ["toxic"], "properties": {"toxic": {"const": 1}}},
+                             {"required": ["quality"], "properties": {"quality": {"const": 0}}}]}},
+    "dependentRequired": {"lang": ["labels"]},
+}
+
+
+@query("schema_documents", """
+WITH d AS (SELECT *, string_split(text, chr(10)) AS lines, l.doc_id IS NOT NULL AS told FROM documents LEFT JOIN labels l USING (doc_id))
+SELECT doc_id, concat_ws(',', CASE WHEN lang IS NOT NULL AND NOT told THEN '$.labels:dependent' END,
+    CASE WHEN told AND (coalesce(toxic = 1, false) = coalesce(quality = 0, false)) THEN '$.labels:oneOf' END,
+    CASE WHEN lang = 'de' THEN '$.lang:not' END, CASE WHEN NOT list_bool_or([length(x) >= 200 FOR x IN lines]) THEN '$.lines:contains' END,
+    CASE WHEN len(lines) > 10 THEN '$.lines:maxItems' END, CASE WHEN len(list_distinct(lines)) < len(lines) THEN '$.lines:uniqueItems' END,
+    CASE WHEN list_bool_or([length(x) < 1 FOR x IN lines]) THEN '$.lines[]:minLength' END,
+    CASE WHEN n_chars >= 3000 THEN '$.n_chars:exclusiveMaximum' END, CASE WHEN n_chars % 2 <> 0 THEN '$.n_chars:multipleOf' END,
+    CASE WHEN source <> 'src19' AND length(source) > 4 THEN '$.source:anyOf' END) AS broken FROM d""")
+def schema_documents(t):
+    """The rules that each whole text breaks as a document of lines and labels."""
+    doc = F.struct("lang", "source", "n_chars", F.split("text", "\n", -1).alias("lines"), F.when(F.col("told"), F.struct("quality", "toxic")).alias("labels"))
+    docs = t.documents.join(t.labels.withColumn("told", F.lit(True)), "doc_id", "left").select("doc_id", F.to_json(doc).alias("doc"))
+    return Y.with_broken_rules(docs, "doc", TEXT_SCHEMA).select("doc_id", F.array_join("broken", ",").alias("broken"))
+
+
 @query("document_identity", """
 SELECT event_id, sha256('{"k":' || CAST(json_extract(props, '$.k') AS VARCHAR) || '}') AS identity FROM events""")
 def document_identity(t):
