@@ -52,7 +52,12 @@ class Release:
 
 def select_inputs(spark: SparkSession, root: str, metadata: DataFrame, cfg: CurateConfig) -> tuple[DataFrame, DataFrame]:
     """(files to read with their metadata, outcomes of the rest); no file is opened."""
-    files = T.discover_assemblies(T.list_files(spark, root), cfg.assembly_id, cfg.assembly_policy, cfg.limit)
+    return choose_inputs(T.list_files(spark, root), metadata, cfg)
+
+
+def choose_inputs(listing: DataFrame, metadata: DataFrame, cfg: CurateConfig) -> tuple[DataFrame, DataFrame]:
+    """``select_inputs`` over a listing (path, length)."""
+    files = T.discover_assemblies(listing, cfg.assembly_id, cfg.assembly_policy, cfg.limit)
     fitting, too_big = T.size_bounded(files, cfg.max_raw_bytes)
     joined = fitting.withColumn("__id", F.upper("pdb_id")).join(
         metadata.select(F.col("pdb_id").alias("__id"), "date", "resolution", "method"), "__id", "left").drop("__id")
@@ -63,17 +68,23 @@ def select_inputs(spark: SparkSession, root: str, metadata: DataFrame, cfg: Cura
     return judged.where("reason is null").drop("status", "reason"), skipped
 
 
+def judge_contents(inputs: DataFrame, parsed: DataFrame, cfg: CurateConfig) -> tuple[DataFrame, DataFrame]:
+    """(files that parsed, with their header fields, status and reason; outcomes of those that did not)."""
+    failed = T.parse_failures(parsed).drop("error")
+    head = T.header_fields(parsed).select(
+        "path", F.col("method").alias("header_method"), F.col("date").alias("header_date"),
+        F.col("resolution").alias("header_resolution"), "atom_rows")
+    rules = L.content_rules(cfg.methods, cfg.first_date, cfg.last_date, cfg.max_resolution)
+    return L.reason_cascade(inputs.join(failed.select("path"), "path", "left_anti").join(head, "path", "left"), rules), failed
+
+
 def curate(spark: SparkSession, root: str, metadata: DataFrame, cluster_map: DataFrame, cfg: CurateConfig) -> Release:
     """Run the whole build. ``metadata``: pdb_id, date, resolution, method; ``cluster_map``: pdb_id,
     entity_id, cluster."""
     inputs, skipped = select_inputs(spark, root, metadata, cfg)
     inputs = checkpointed(inputs)
     parsed = checkpointed(T.read_mmcif(spark, inputs))
-    failed = T.parse_failures(parsed).drop("error")
-    head = T.header_fields(parsed).select(
-        "path", F.col("method").alias("header_method"), F.col("date").alias("header_date"),
-        F.col("resolution").alias("header_resolution"), "atom_rows")
-    judged = L.reason_cascade(inputs.join(failed.select("path"), "path", "left_anti").join(head, "path", "left"), L.content_rules(cfg.methods, cfg.first_date, cfg.last_date, cfg.max_resolution))
+    judged, failed = judge_contents(inputs, parsed, cfg)
     skipped = skipped.unionByName(judged.where("reason is not null").select("path", "status", "reason"))
     entries = judged.where("reason is null").select(
         "path", F.col("entry_id").alias("entry"), "pdb_id",

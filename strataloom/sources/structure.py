@@ -183,6 +183,15 @@ def _parse_files(chunk: int):
     return parse
 
 
+#: Columns of parsed files.
+PARSED = "path string, category string, row bigint, values array<string>, error string"
+
+
+def parse_contents(files: DataFrame, chunk: int = 50_000) -> DataFrame:
+    """The needed rows of files whose ``content`` (bytes, gzip where the ``path`` ends in .gz) is a column; see ``read_mmcif``."""
+    return files.select("path", "content").mapInPandas(_parse_files(chunk), PARSED)
+
+
 def read_mmcif(spark: SparkSession, paths: DataFrame | Sequence[str], chunk: int = 50_000) -> DataFrame:
     """(path, category, row, values, error): the needed rows of every file.
 
@@ -192,12 +201,10 @@ def read_mmcif(spark: SparkSession, paths: DataFrame | Sequence[str], chunk: int
     its number of atom rows, a file that cannot be parsed one ``error`` row and nothing else.
     """
     names = [r["path"] for r in paths.select("path").toLocalIterator()] if isinstance(paths, DataFrame) else list(paths)
-    schema = "path string, category string, row bigint, values array<string>, error string"
     if not names:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], PARSED)
     literal = [re.sub(r"([\\\[\]{}*?])", r"\\\1", name) for name in names]
-    found = spark.read.format("binaryFile").load(literal).select("path", "content")
-    return found.mapInPandas(_parse_files(chunk), schema)
+    return parse_contents(spark.read.format("binaryFile").load(literal), chunk)
 
 
 def category_table(parsed: DataFrame, category: str) -> DataFrame:
