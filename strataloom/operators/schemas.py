@@ -260,7 +260,10 @@ def schema_rules(doc: str, schema: Schema, prefix: str = "$") -> dict[str, Colum
     reports count as failed, where the text is NULL or no JSON, repeated member names and more than a variant
     can hold included.
     """
-    value = F.try_parse_json(F.col(doc))
+    return _rules(F.try_parse_json(F.col(doc)), schema, prefix)
+
+
+def _rules(value: Column, schema: Schema, prefix: str = "$") -> dict[str, Column]:
     rules: dict[str, Column] = {}
     for at, key, fn in _Compiler(schema).checks(schema, prefix):
         name, ok = f"{at}:{key}", F.when(value.isNotNull(), fn(value))
@@ -268,12 +271,22 @@ def schema_rules(doc: str, schema: Schema, prefix: str = "$") -> dict[str, Colum
     return rules
 
 
+def _judged(docs: DataFrame, doc: str, schema: Schema) -> tuple[DataFrame, list[str]]:
+    """(documents with ``__ok``, one verdict a rule, rule names): each text is parsed once, each rule judged once."""
+    rules = _rules(F.col("__value"), schema)
+    verdicts = [F.coalesce(ok, F.lit(False)) for ok in rules.values()]
+    ok = F.array(*verdicts) if verdicts else F.array().cast("array<boolean>")
+    return docs.withColumn("__value", F.try_parse_json(F.col(doc))).withColumn("__ok", ok).drop("__value"), list(rules)
+
+
 def schema_report(docs: DataFrame, doc: str, schema: Schema, id: str | None = None) -> DataFrame:
     """(rule, checked, failed, example) of all documents, in one pass."""
-    return expect(docs, schema_rules(doc, schema), id)
+    judged, names = _judged(docs, doc, schema)
+    return expect(judged, {name: F.get("__ok", F.lit(i)) for i, name in enumerate(names)}, id)
 
 
 def with_broken_rules(docs: DataFrame, doc: str, schema: Schema, out: str = "broken") -> DataFrame:
     """Documents with the sorted names of the rules they break; all rules for text that is no JSON."""
-    broken = [F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in sorted(schema_rules(doc, schema).items())]
-    return docs.withColumn(out, F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>"))
+    judged, names = _judged(docs, doc, schema)
+    broken = [F.when(~F.get("__ok", F.lit(names.index(name))), F.lit(name)) for name in sorted(names)]
+    return judged.withColumn(out, F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")).drop("__ok")

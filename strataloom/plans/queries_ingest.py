@@ -44,7 +44,8 @@ def _files(t) -> DataFrame:
     pdb = F.lpad((key % 10000).cast("string"), 4, "0")
     path = F.when(key % 97 == 5, F.concat(F.lit("raw/"), key.cast("string"), F.lit(".cif"))).otherwise(
         F.concat(F.lit("raw/"), pdb, F.lit("-assembly"), F.floor(key / 10000).cast("string"), F.lit(".cif")))
-    return t.orders.join(rows, "o_orderkey", "left").select(path.alias("path"), F.octet_length(text).cast("bigint").alias("length"), text.cast("binary").alias("content"))
+    written = t.orders.join(rows, "o_orderkey", "left").select(path.alias("path"), text.cast("binary").alias("content"))
+    return checkpointed(written).select("path", F.octet_length("content").cast("bigint").alias("length"), "content")
 
 
 def _parsed(files: DataFrame, chosen: DataFrame) -> DataFrame:
