@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import residues as R
-from ..session import checkpointed
+from ..session import checkpointed, shuffle_width
 from ..sources import structure as T
 from .curate import CurateConfig, choose_inputs, judge_contents
 from .registry import query
@@ -49,7 +49,9 @@ def _files(t) -> DataFrame:
 
 
 def _parsed(files: DataFrame, chosen: DataFrame) -> DataFrame:
-    return checkpointed(T.parse_contents(files.join(chosen.select("path"), "path", "left_semi")))
+    # parsing takes far longer than reading: a partition count that adaptive execution does not lower for small bytes
+    wide = files.join(chosen.select("path"), "path", "left_semi").repartition(shuffle_width(files.sparkSession), "path")
+    return checkpointed(T.parse_contents(wide))
 
 
 FILES_SQL = f"""
