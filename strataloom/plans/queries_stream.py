@@ -14,8 +14,11 @@ from .registry import query
 
 
 def _stream(t, table: str) -> DataFrame:
-    schema = getattr(t, table).schema
-    return t.spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(t.folder)
+    """The table as a stream: a folder of files, or one file, which a stream finds by its name beside others."""
+    path, stream = f"{t.folder}/{table}.parquet", t.spark.readStream.schema(getattr(t, table).schema)
+    if I.is_folder(t.spark, path):
+        return stream.parquet(path)
+    return stream.option("pathGlobFilter", f"{table}.parquet").parquet(t.folder)
 
 
 def _finish(t, stream: DataFrame, mode: str) -> DataFrame:

@@ -22,6 +22,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(target).isDirectory()
+
+
 def bind_run(spark: SparkSession, folder: str, identity: str) -> None:
     """Allow appends to ``folder`` only under the identity it was started with."""
     path = f"{folder}/run"

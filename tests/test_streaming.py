@@ -148,3 +148,13 @@ def test_running_summary_and_best_epoch(spark, tmp_path):
     spark.createDataFrame([("r", 1, 0.5), ("r", 2, 0.4), ("r", 3, 0.4)], "run string, epoch int, valid_loss double").write.json(str(tmp_path / "e"))
     e = spark.readStream.schema("run string, epoch int, valid_loss double").json(str(tmp_path / "e"))
     assert [(r["best_epoch"], r["best_loss"], r["latest_epoch"]) for r in run(spark, I.best_epoch_stream(e), "best", "complete")] == [(2, 0.4, 3)]
+
+
+def test_stream_of_a_table_in_parts(spark, tmp_path):
+    """A table is one file or a folder of part files."""
+    from strataloom.plans import load_queries
+    from strataloom.plans.registry import QUERIES
+
+    load_queries()
+    spark.createDataFrame([(k,) for k in range(9)], "doc_id bigint").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    assert sorted(r["doc_id"] for r in QUERIES["stream_resume"](spark, str(tmp_path)).collect()) == list(range(9))
