@@ -142,11 +142,15 @@ def model_summary(df: DataFrame, model: str, record: str, metrics: Sequence[str]
 
 
 def safe_corr(x: Column, y: Column) -> Column:
-    """Pearson correlation as an aggregate; NULL below two rows or without variance."""
+    """Pearson correlation as an aggregate; NULL below two rows or without variance.
+
+    Merged partial variances of equal values can come out above zero by rounding, so whether values vary is told by their range.
+    """
     both = x.isNotNull() & y.isNotNull()
     x, y = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
     spread = F.var_pop(x) * F.var_pop(y)
-    return F.when((F.count(x) >= 2) & (spread > 0), F.covar_pop(x, y) / F.sqrt(F.when(spread > 0, spread)))
+    vary = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+    return F.when((F.count(x) >= 2) & vary & (spread > 0), F.covar_pop(x, y) / F.sqrt(F.when(spread > 0, spread)))
 
 
 def flatten_metrics(df: DataFrame, fields: dict[str, str], keys: Sequence[str], complement: dict[str, str] | None = None) -> DataFrame:

@@ -175,3 +175,12 @@ def test_null_groups_are_kept(spark):
 
     summary = {r["scope"]: (r["count"], r["median"]) for r in metric_summary(df, ["v"], "k").collect()}
     assert summary == {None: (40, 3.0), "a": (5, 2.0), "overall": (45, 3.0)}
+
+
+def test_correlation_of_equal_values(spark):
+    """Partial aggregates of 49 equal values each, whose merged variance is not exactly zero."""
+    from strataloom.operators.metrics import safe_corr
+
+    rows = spark.range(0, 147, 1, 3).select(F.lit(1.0).alias("x"), (F.col("id") * 0.5).alias("y"))
+    flat, line = rows.agg(safe_corr(F.col("x"), F.col("y")).alias("flat"), safe_corr(F.col("y"), F.col("y") * 2).alias("line")).first()
+    assert flat is None and abs(line - 1) < 1e-12
