@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import residues as R
-from ..session import checkpointed, shuffle_width
+from ..session import checkpointed, shuffle_width, stored
 from ..sources import structure as T
 from .curate import CurateConfig, choose_inputs, judge_contents
 from .registry import query
@@ -45,13 +45,13 @@ def _files(t) -> DataFrame:
     path = F.when(key % 97 == 5, F.concat(F.lit("raw/"), key.cast("string"), F.lit(".cif"))).otherwise(
         F.concat(F.lit("raw/"), pdb, F.lit("-assembly"), F.floor(key / 10000).cast("string"), F.lit(".cif")))
     written = t.orders.join(rows, "o_orderkey", "left").select(path.alias("path"), text.cast("binary").alias("content"))
-    return checkpointed(written).select("path", F.octet_length("content").cast("bigint").alias("length"), "content")
+    return stored(written.select("path", F.octet_length("content").cast("bigint").alias("length"), "content"))
 
 
-def _parsed(files: DataFrame, chosen: DataFrame) -> DataFrame:
+def _parsed(files: DataFrame, categories=tuple(T.CATEGORIES)) -> DataFrame:
     # parsing takes far longer than reading: a partition count that adaptive execution does not lower for small bytes
-    wide = files.join(chosen.select("path"), "path", "left_semi").repartition(shuffle_width(files.sparkSession), "path")
-    return checkpointed(T.parse_contents(wide))
+    wide = files.select("path", "content").repartition(shuffle_width(files.sparkSession), F.xxhash64("path"))
+    return checkpointed(T.parse_contents(wide, categories=categories))
 
 
 FILES_SQL = f"""
@@ -81,8 +81,8 @@ def ingest_outcomes(t):
     known = t.orders.select((F.col("o_orderkey") % 10000).alias("k")).where("k % 4 = 0").distinct().select(
         F.lpad(F.col("k").cast("string"), 4, "0").alias("pdb_id"), F.lit(None).cast("date").alias("date"), F.lit(None).cast("double").alias("resolution"),
         F.when(F.col("k") % 8 == 0, "em").otherwise("lab").alias("method"))
-    inputs, skipped = choose_inputs(files.drop("content"), known, RULES)
-    judged, failed = judge_contents(inputs, _parsed(files, inputs), RULES)
+    inputs, skipped = choose_inputs(files, known, RULES)
+    judged, failed = judge_contents(inputs.drop("content"), _parsed(inputs, T.HEADER), RULES)
     return skipped.unionByName(failed).unionByName(judged.select("path", "status", "reason"))
 
 
@@ -97,7 +97,7 @@ def ingest_chains(t):
     """Chains of the lowest assembly of each entry, from parsed texts: best atoms, sequences, coverage, coordinates."""
     files = _files(t)
     chosen = T.discover_assemblies(files.drop("content"), policy="first")
-    parsed = _parsed(files, chosen)
+    parsed = _parsed(files.join(chosen.select("path"), "path", "left_semi"))
     named = checkpointed(chosen.select("path", F.col("entry_id").alias("entry")))
     table = lambda c: T.category_table(parsed, c).join(named, "path").drop("path")
     sequences = table("entity_poly_seq")

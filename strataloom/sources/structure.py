@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import gzip
 import re
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions import text as X
@@ -89,29 +89,37 @@ def size_bounded(files: DataFrame, max_bytes: int) -> tuple[DataFrame, DataFrame
 _TOKEN = re.compile(r"""'(.*?)'(?=\s|$)|"(.*?)"(?=\s|$)|(\#.*)|(\S+)""")
 
 
-def _cif_tokens(text: str):
-    """(token, quoted) pairs of a CIF text; text blocks between semicolons are one token."""
+def _cif_runs(text: str):
+    """(run of tokens, whether they are bare values) by line of a CIF text, tokens other than bare values as (token, quoted).
+
+    A line without quotes, comments and underscores holds values only. Text blocks between semicolons are one token.
+    """
     block = None
     for line in text.splitlines():
         if block is not None:
             if line.startswith(";"):
-                yield "\n".join(block), True
+                yield [("\n".join(block), True)], False
                 block = None
             else:
                 block.append(line)
         elif line.startswith(";"):
             block = [line[1:]]
+        elif "_" not in line and "'" not in line and '"' not in line and "#" not in line:
+            yield line.split(), True
         else:
+            run = []
             for single, double, comment, bare in _TOKEN.findall(line):
                 if comment:
                     break
-                yield (bare, False) if bare else (single or double, True)
+                run.append((bare, False) if bare else (single or double, True))
+            yield run, False
     if block is not None:
         raise ValueError("unterminated text block")
 
 
-def _cif_rows(text: str):
-    """(category, row number, {item: value}) of every single item group and loop row."""
+def _cif_rows(text: str, wanted: Collection[str]):
+    """(category, row number, {item: value}) of every single item group and loop row; of a loop that is not
+    wanted (category, number of its rows, None)."""
     singles: dict[str, dict] = {}
     names: list[str] = []
     values: list[str] = []
@@ -121,75 +129,99 @@ def _cif_rows(text: str):
         category = names[0][1:].split(".")[0]
         if len(values) % len(names):
             raise ValueError(f"loop of {category} is cut short")
+        if category not in wanted:
+            yield category, len(values) // len(names), None
+            return
         items = [n.split(".", 1)[-1] for n in names]
         for at in range(0, len(values), len(names)):
             yield category, at // len(names), dict(zip(items, values[at:at + len(names)]))
 
-    for token, quoted in _cif_tokens(text):
-        word = "" if quoted else token.lower()
-        if word == "loop_" or word.startswith("data_"):
-            if names and values:
-                yield from rows()
-            names, values, pending = [], [], None
-            mode = "names" if word == "loop_" else "items"
-        elif not quoted and token.startswith("_"):
-            if mode == "values":
-                yield from rows()
-                names, values, mode = [], [], "items"
-            if mode == "names":
-                names.append(token)
-            else:
-                pending = token
-        elif mode in ("names", "values"):
+    for run, bare in _cif_runs(text):
+        if bare and run and mode != "items":
             mode = "values"
-            values.append(token)
-        elif pending:
-            category, item = (pending[1:].split(".", 1) + [""])[:2]
-            singles.setdefault(category, {})[item] = token
-            pending = None
+            values += run
+            continue
+        for token, quoted in (((token, False) for token in run) if bare else run):
+            word = "" if quoted else token.lower()
+            if word == "loop_" or word.startswith("data_"):
+                if names and values:
+                    yield from rows()
+                names, values, pending = [], [], None
+                mode = "names" if word == "loop_" else "items"
+            elif not quoted and token.startswith("_"):
+                if mode == "values":
+                    yield from rows()
+                    names, values, mode = [], [], "items"
+                if mode == "names":
+                    names.append(token)
+                else:
+                    pending = token
+            elif mode in ("names", "values"):
+                mode = "values"
+                values.append(token)
+            elif pending:
+                category, item = (pending[1:].split(".", 1) + [""])[:2]
+                singles.setdefault(category, {})[item] = token
+                pending = None
     if names and values:
         yield from rows()
     for category, row in singles.items():
         yield category, 0, row
 
 
-def _needed_rows(path: str, content: bytes) -> list[tuple]:
+def _needed_rows(path: str, content: bytes, wanted: Collection[str]) -> list[tuple]:
     """All needed rows of a file, and one ``parsed`` row that holds the number of its atom rows."""
     raw = gzip.decompress(content) if path.endswith(".gz") else bytes(content)
     out, atoms = [], 0
-    for category, row, items in _cif_rows(raw.decode("utf-8", errors="replace")):
-        if category not in CATEGORIES:
+    for category, row, items in _cif_rows(raw.decode("utf-8", errors="replace"), wanted):
+        if category == "atom_site":
+            atoms += row if items is None else 1
+        if items is None or category not in wanted:
             continue
         values = [items.get(c) for c in CATEGORIES[category]]
-        if category == "atom_site":
-            atoms += 1
-            if (values[1] or "").strip().upper() not in BACKBONE:
-                continue
+        if category == "atom_site" and (values[1] or "").strip().upper() not in BACKBONE:
+            continue
         out.append((path, category, row, values, None))
     return [*out, (path, "parsed", 0, [str(atoms)], None)]
 
 
-def _parse_files(chunk: int):
+_PARSED = pa.schema([("path", pa.string()), ("category", pa.string()), ("row", pa.int64()), ("values", pa.list_(pa.string())), ("error", pa.string())])
+
+
+def _parse_files(chunk: int, wanted: Collection[str]):
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PARSED)], schema=_PARSED)
+
     def parse(batches):
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
+        out = []
+        for files in batches:
+            for path, content in zip(files["path"].to_pylist(), files["content"]):
                 # rows leave only when the whole file has parsed, so a failed file leaves none
                 try:
-                    out = _needed_rows(path, content)
+                    out += _needed_rows(path, content.as_py(), wanted)
                 except Exception as error:
-                    out = [(path, "error", 0, None, f"{type(error).__name__}: {error}")]
-                for at in range(0, len(out), chunk):
-                    yield pd.DataFrame(out[at:at + chunk], columns=["path", "category", "row", "values", "error"])
+                    out.append((path, "error", 0, None, f"{type(error).__name__}: {error}"))
+                # the rows of small files leave together
+                while len(out) >= chunk:
+                    yield batch(out[:chunk])
+                    del out[:chunk]
+        if out:
+            yield batch(out)
     return parse
 
 
 #: Columns of parsed files.
 PARSED = "path string, category string, row bigint, values array<string>, error string"
+#: The categories that hold header fields.
+HEADER = ("exptl", "pdbx_database_status", "database_PDB_rev", "refine", "em_3d_reconstruction", "reflns")
+
 
+def parse_contents(files: DataFrame, chunk: int = 50_000, categories: Collection[str] = tuple(CATEGORIES)) -> DataFrame:
+    """The needed rows of files whose ``content`` (bytes, gzip where the ``path`` ends in .gz) is a column; see ``read_mmcif``.
 
-def parse_contents(files: DataFrame, chunk: int = 50_000) -> DataFrame:
-    """The needed rows of files whose ``content`` (bytes, gzip where the ``path`` ends in .gz) is a column; see ``read_mmcif``."""
-    return files.select("path", "content").mapInPandas(_parse_files(chunk), PARSED)
+    Files are parsed whole, and the rows of ``categories`` come out.
+    """
+    return files.select("path", "content").mapInArrow(_parse_files(chunk, frozenset(categories)), PARSED)
 
 
 def read_mmcif(spark: SparkSession, paths: DataFrame | Sequence[str], chunk: int = 50_000) -> DataFrame:

@@ -429,3 +429,24 @@ def test_sinks(spark, tmp_path):
     sinks.write_index(rows, str(tmp_path / "i"), ["id"])
     sinks.write_fasta(rows, str(tmp_path / "f"), "id", "k", "v", "k")
     assert spark.read.text(str(tmp_path / "f")).count() == 6
+
+
+def test_cif_lines_of_values_and_blank_lines():
+    """Bare value lines, blank lines between names and a quoted value; loops that are not wanted are counted and checked."""
+    from strataloom.sources import structure as T
+
+    text = "data_x\nloop_\n_exptl.entry\n\n_exptl.method\nA 'X RAY' \n\nB EM\nloop_\n_atom_site.label_atom_id\nN\nCA\n\nO\n#\n_refine.ls_d_res_high\n2.5\n"
+    rows = [(category, values and [v for v in values if v]) for _, category, _, values, _ in T._needed_rows("a.cif", text.encode(), set(T.HEADER))]
+    assert rows == [("exptl", ["X RAY"]), ("exptl", ["EM"]), ("refine", ["2.5"]), ("parsed", ["3"])]
+    assert [v for _, c, _, v, _ in T._needed_rows("a.cif", text.encode(), set(T.CATEGORIES)) if c == "atom_site"] == [[None, n] + [None] * 11 for n in ("N", "CA", "O")]
+    with pytest.raises(ValueError):
+        T._needed_rows("a.cif", b"loop_\n_atom_site.a\n_atom_site.b\n1\n", set(T.HEADER))
+
+
+def test_small_files_leave_the_parser_together():
+    import pyarrow as pa
+    from strataloom.sources import structure as T
+
+    files = pa.RecordBatch.from_pydict({"path": [f"{k}.cif" for k in range(500)], "content": [b"data_x\n_exptl.method EM\n"] * 499 + [b";open"]})
+    out = list(T._parse_files(50_000, T.HEADER)([files]))
+    assert [len(b) for b in out] == [2 * 499 + 1] and out[0].to_pylist()[-1]["category"] == "error"
