@@ -450,3 +450,28 @@ def test_small_files_leave_the_parser_together():
     files = pa.RecordBatch.from_pydict({"path": [f"{k}.cif" for k in range(500)], "content": [b"data_x\n_exptl.method EM\n"] * 499 + [b";open"]})
     out = list(T._parse_files(50_000, T.HEADER)([files]))
     assert [len(b) for b in out] == [2 * 499 + 1] and out[0].to_pylist()[-1]["category"] == "error"
+
+
+def test_tile_searches_by_screening_are_exact():
+    """Ties, copies, points far from the origin and points that are not finite: the answers of the whole distance matrix."""
+    rng = np.random.default_rng(3)
+    for shift, axes in ((0.0, 3), (1e6, 3), (0.0, 64), (1e200, 2), (np.nan, 2)):
+        a, b = (np.round(rng.normal(size=(n, axes)), 1) + shift for n in (40, 60))
+        b[7], ids = b[3], np.arange(60) * 3
+        with np.errstate(all="ignore"):
+            whole = P._distances(a, b, 1e-6)
+            rows, dist, found = P._best_k(a, b, ids, 5, 1e-6)
+            order = [sorted(range(60), key=lambda j: (whole[i, j], j))[:5] for i in range(40)]
+            least = P._least(a, b)
+        if not np.isnan(shift):
+            assert rows.tolist() == [i for i in range(40) for _ in range(5)] and found.tolist() == [ids[j] for o in order for j in o]
+            assert dist.tolist() == [whole[i, j] for i, o in enumerate(order) for j in o]
+            plain = P._distances(a, b) if np.isfinite(whole).all() else whole
+            assert least[1:] == divmod(int(np.argmin(plain)), 60) and least[0] == plain.min()
+
+
+def test_tile_pairs_are_dealt_over_tasks(spark):
+    """Many pairs of one group: a task has a share of them, and a contact that is mutual is looked at once."""
+    close = spark.range(0, 60 * P.TASK_PAIRS).select(F.lit(1).alias("g"), F.col("id").alias("ta"), F.col("id").alias("tb"))
+    pairs, tasks = P._spread(close)
+    assert pairs.count() == 60 * P.TASK_PAIRS and tasks == 60
