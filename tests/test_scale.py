@@ -184,3 +184,11 @@ def test_correlation_of_equal_values(spark):
     rows = spark.range(0, 147, 1, 3).select(F.lit(1.0).alias("x"), (F.col("id") * 0.5).alias("y"))
     flat, line = rows.agg(safe_corr(F.col("x"), F.col("y")).alias("flat"), safe_corr(F.col("y"), F.col("y") * 2).alias("line")).first()
     assert flat is None and abs(line - 1) < 1e-12
+
+
+def test_ranges_grow_with_the_rows(spark):
+    """A table of many times the rows of one task's group is cut into as many ranges, and the scan stays exact."""
+    rows = spark.range(0, 4000, 1, 3).select(((F.col("id") * 7) % 4000).alias("at"), F.lit(1).alias("one"))
+    out = S.ordered_scan(rows, ["at"], {"n": ("sum", "one")}, group_rows=100)
+    assert out.where("n <> at + 1").count() == 0 and out.count() == 4000
+    assert out.withColumn("task", F.spark_partition_id()).groupBy("task").count().agg(F.max("count")).first()[0] < 600
