@@ -8,6 +8,7 @@ from ..functions import canonical as J, text as X
 from ..operators import audit as A, clusters as C, contracts as K, ledger as D, schemas as Y, select as S
 from ..operators.expect import duplicates, expect
 from .queries_splits import COMPONENTS_SQL, SPLIT_SQL, _split_docs
+from ..session import shuffle_width
 from .registry import query
 
 
@@ -222,6 +223,8 @@ def schema_orders(t):
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"), "lines")
     docs = t.orders.join(lines, "o_orderkey", "left").select("o_orderkey", F.to_json(order).alias("doc"))
+    # judging takes far longer than reading: a partition count that adaptive execution does not lower for small bytes
+    docs = docs.repartition(shuffle_width(t.spark), F.xxhash64("o_orderkey"))
     return Y.schema_report(docs, "doc", ORDER_SCHEMA).drop("example")
 
 
