@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from strataloom.functions import align
 from strataloom.functions.align import sequence_identity
 from strataloom.operators import audit, crop as K, features, filters as L, pairs as P, residues as R, sampling, select as S
 from strataloom.operators.metrics import structure_metrics, superpose
@@ -199,6 +200,34 @@ def test_alignment_identity():
     assert sequence_identity("", "A") == 0.0 and sequence_identity("AB", "AB") == 1.0
 
 
+def plain_matches(a, b):
+    """The whole table, cell by cell: (score in tenths, matches) ending in a pair, a gap in b, a gap in a."""
+    low = (-10**9, 0)
+    best, down, side = {}, {}, {}
+    for i in range(len(a) + 1):
+        for j in range(len(b) + 1):
+            add = lambda cell, score, n=0: (cell[0] + score, cell[1] + n)
+            down[i, j] = max(add(best[i - 1, j], -10), add(down[i - 1, j], -1)) if i else low
+            side[i, j] = max(add(best[i, j - 1], -10), add(side[i, j - 1], -1)) if j else low
+            same = bool(i and j and a[i - 1] == b[j - 1])
+            pair = add(best[i - 1, j - 1], 10 * same, same) if i and j else low if i or j else (0, 0)
+            best[i, j] = max(pair, down[i, j], side[i, j])
+    return best[len(a), len(b)][1]
+
+
+def test_pairs_are_aligned_side_by_side(monkeypatch):
+    random = np.random.default_rng(5)
+    word = lambda letters: "".join(random.choice(list(letters), random.integers(1, 30)))
+    pairs = [(word(letters), word(letters)) for letters in ("ab", "ACDEFGHIKLMNPQRSTVWY", "é😀a") for _ in range(100)]
+    batches, whole = [], align._matches
+    monkeypatch.setattr(align, "_matches", lambda some: batches.append(len(some)) or whole(some))
+    assert align.aligned_matches(pairs).tolist() == [plain_matches(a, b) for a, b in pairs]
+    assert sum(batches) == 300 and len(batches) == 1  # one pass a diagonal for all of them
+    # beyond 32 bits, and a batch of very different lengths
+    long = "".join(random.choice(list("abc"), 9000))
+    assert align.aligned_matches([(long, long[:100] + long[150:]), ("a", "ba"), (long[:50], long)]).tolist() == [8950, 1, 50]
+
+
 def test_identity_only_where_it_is_open(spark):
     rows = [("e", "A", True, "1", 7, "ACDE"), ("e", "B", False, "2", 7, "ACXDE"), ("e", "C", False, "1", 8, "GGG"), ("e", "D", False, "3", 9, "ACDF")]
     df = spark.createDataFrame(rows, "entry string, id string, t boolean, entity string, cluster int, seq string")
