@@ -13,6 +13,7 @@ Item = namedtuple("Item", "state attempts worker_id lease_expires_at max_attempt
 #: The state a finish leads to; any other status is retried while attempts are left.
 FINISHED = {"succeeded": "completed", "failed": "failed"}
 CHANGES = "work_id string, attempt int, at double, seq bigint, change string, state string, worker_id string, lease_expires_at double"
+NAMES = [c.split()[0] for c in CHANGES.split(", ")]
 
 
 def expire(item: Item, now: float) -> tuple[Item, list[tuple]]:
@@ -74,18 +75,15 @@ def ledger_changes(events: DataFrame, items: DataFrame, now: float | None = None
                 elif item is not None:
                     item, changes = apply_event(item, row)
                     out += [(work, *c) for c in changes]
-            yield pd.DataFrame(out, columns=_NAMES)
+            yield pd.DataFrame(out, columns=NAMES)
         out = []
         close(out)
-        yield pd.DataFrame(out, columns=_NAMES)
+        yield pd.DataFrame(out, columns=NAMES)
 
     # NULLs first: the row of the item has neither time nor number
     return rows.repartition("work_id").sortWithinPartitions("work_id", "at", "seq").mapInPandas(fold, CHANGES)
 
 
-_NAMES = [c.split()[0] for c in CHANGES.split(", ")]
-
-
 def attempt_table(changes: DataFrame) -> DataFrame:
     """(work_id, attempt, worker_id, claimed_at, lease_expires_at, finished_at, status) of every attempt.
 

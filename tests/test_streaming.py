@@ -67,6 +67,22 @@ def test_ledger_stream_equals_batch(spark, tmp_path, state_store):
     assert plain(got) == plain(batch.collect())
 
 
+def test_ledger_stream_keeps_items_by_bucket(spark, tmp_path, state_store):
+    """Sixty items in four buckets: a state and a timer a bucket, the changes those of the batch; a lease may end between two milliseconds."""
+    rows = [event(float(k), f"w{k}", k, "claim", "a", 50.0004 + k % 7) for k in range(60)] + [event(70.0, "w59", 60, "finish", "a", None, "succeeded")]
+    put(spark, tmp_path / "ev", rows[:40], 0)
+    put(spark, tmp_path / "ev", rows[40:], 1)
+    put(spark, tmp_path / "ev", [event(90.0, "w0", 61, "claim", "b", 500.0)], 2)
+    items = spark.createDataFrame([(f"w{k}", 1 + k % 3) for k in range(60)], "work_id string, max_attempts int")
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "ev"))
+    q = L.ledger_changes(stream, "5 seconds", items=items, buckets=4).writeStream.format("memory").queryName("ledger_buckets").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    batch = ledger_changes(spark.read.schema(EVENTS).parquet(str(tmp_path / "ev")), items, 1085.0)
+    plain = lambda rows: sorted((r["work_id"], r["attempt"], r["at"], r["seq"], r["change"], r["state"]) for r in rows)
+    assert plain(spark.table("ledger_buckets").collect()) == plain(batch.collect())
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) <= 4 * 3  # a value and two rows of a timer
+
+
 def test_enqueue_stream(spark, tmp_path):
     """Stored ids, a stored identity that differs, a repeat in a later batch, and a batch that runs twice."""
     schema = "work_id string, document string"
