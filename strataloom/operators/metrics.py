@@ -15,7 +15,7 @@ from ..functions import text as X
 from ..functions.vector import distance
 from ..session import checkpointed
 from .pairs import contact_agreement
-from .scale import join_groups, quantile_of_counts, row_numbers, value_counts
+from .scale import bounds, join_groups, quantile_of_counts, row_numbers, value_counts
 
 TRAINING_TOKENS = 2000.0
 SMOOTHING = 0.1
@@ -105,19 +105,12 @@ def to_long(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataF
 
 
 def counts_summary(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """count, mean, exact median, min, max per keys of a ``value_counts`` table."""
+    """count, mean, exact median, min, max per keys of a table of values and counts; a value may come in several rows."""
     stats = checkpointed(counts.groupBy(*keys).agg(
-        F.sum("n").alias("count"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"), F.max("value").alias("max"), F.count("*").alias("__values")))
-    largest = stats.agg(F.max("__values")).first()[0] or 0
-    median = quantile_of_counts(
-        counts, keys, "value", 0.5, "median", stats.select(*keys, F.col("count").alias("__total")), largest)
-    return join_groups(stats.drop("__values"), median, keys)
-
-
-def coarser(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same table under fewer keys."""
-    return counts.groupBy(*keys, "value").agg(F.sum("n").alias("n"))
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"), *bounds("value")))
+    found = ["__total", "__lo", "__hi"]
+    median = quantile_of_counts(counts, keys, "value", 0.5, "median", stats.select(*keys, *found))
+    return join_groups(stats.select(*keys, F.col("__total").alias("count"), "mean", "min", "max"), median, keys)
 
 
 def metric_summary(df: DataFrame, metrics: Sequence[str], group: str | None = None) -> DataFrame:
@@ -127,17 +120,14 @@ def metric_summary(df: DataFrame, metrics: Sequence[str], group: str | None = No
     """
     keys = ["metric"] if group is None else [group, "metric"]
     counts = checkpointed(value_counts(to_long(df, keys[:-1], metrics), keys, "value"))
-    columns = ["scope", "metric", "value", "n"]
-    overall = coarser(counts, ["metric"]).withColumn("scope", F.lit("overall")).select(columns)
-    if group is not None:
-        overall = overall.unionByName(counts.withColumn("scope", F.col(group).cast("string")).select(columns))
-    return counts_summary(overall, ["scope", "metric"])
+    scopes = F.array(F.lit("overall"), *([] if group is None else [F.col(group).cast("string")]))
+    return counts_summary(counts.select(F.explode(scopes).alias("scope"), "metric", "value", "n"), ["scope", "metric"])
 
 
 def model_summary(df: DataFrame, model: str, record: str, metrics: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Summaries by model and by record and model."""
     fine = checkpointed(value_counts(to_long(df, [model, record], metrics), [record, model, "metric"], "value"))
-    return (counts_summary(coarser(fine, [model, "metric"]), [model, "metric"]),
+    return (counts_summary(fine, [model, "metric"]),
             counts_summary(fine, [record, model, "metric"]))
 
 

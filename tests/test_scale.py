@@ -192,3 +192,27 @@ def test_ranges_grow_with_the_rows(spark):
     out = S.ordered_scan(rows, ["at"], {"n": ("sum", "one")}, group_rows=100)
     assert out.where("n <> at + 1").count() == 0 and out.count() == 4000
     assert out.withColumn("task", F.spark_partition_id()).groupBy("task").count().agg(F.max("count")).first()[0] < 600
+
+
+def test_quantiles_of_counts_in_bins(spark):
+    """Values at the bounds, in one bin, in several rows, not finite, of one kind only, under a NULL key."""
+    groups = {"even": [1.0, 2.0, 3.0, 4.0], "far": [1e-9 * k for k in range(50)] + [1e300, -1e300], "one": [7.0] * 3, "odd": [-float("inf"), 1.0, 2.0, float("inf"), float("inf")],
+              "nan": [1.0, 2.0, float("nan")], "endless": [float("inf")] * 2, None: [float(k % 97) for k in range(1000)]}
+    rows = [(k, v, 1) for k, vs in groups.items() for v in vs]
+    counts = spark.createDataFrame(rows, "k string, v double, n bigint")
+    for at in (0.0, 0.5, 0.75, 1.0):
+        got = {r["k"]: r["q"] for r in S.quantile_of_counts(counts, ["k"], "v", at, "q").collect()}
+        for k, vs in groups.items():
+            vs = sorted(vs, key=lambda v: (v != v, v))
+            rank = at * (len(vs) - 1)
+            low, high = vs[int(rank // 1)], vs[int(-(-rank // 1))]
+            assert repr(got[k]) == repr(low + (high - low) * (rank % 1)), (k, at)
+
+
+def test_median_orders_only_the_middle(spark, monkeypatch):
+    """Of 40,000 values a few at the median are scanned, not all."""
+    scanned, scan = [], S.ordered_scan
+    monkeypatch.setattr(S, "ordered_scan", lambda df, *a, **kw: scanned.append(df.count()) or scan(df, *a, **kw))
+    df = spark.range(40_000).select((F.col("id") % 2).alias("k"), (F.col("id") * 1.5).alias("v"))
+    assert {r["k"]: r["m"] for r in S.exact_median(df, ["k"], "v", "m").collect()} == {0: 29998.5, 1: 30000.0}
+    assert scanned and scanned[0] <= 40
