@@ -216,3 +216,16 @@ def test_median_orders_only_the_middle(spark, monkeypatch):
     df = spark.range(40_000).select((F.col("id") % 2).alias("k"), (F.col("id") * 1.5).alias("v"))
     assert {r["k"]: r["m"] for r in S.exact_median(df, ["k"], "v", "m").collect()} == {0: 29998.5, 1: 30000.0}
     assert scanned and scanned[0] <= 40
+
+
+def test_reduce_tasks_read_little(spark):
+    """Coalesced partitions end at 16 MB, whatever the cluster's own setting."""
+    from strataloom.session import tune
+
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64m")
+        assert tune(spark).conf.get(key) == "16m"
+    finally:
+        spark.conf.set(key, before)
