@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strataloom.llm import decontamination, jaccard_join, line_dedup, mixing, toxicity
-from strataloom.llm.common import prepare
+from strataloom.llm.common import TEXT_BATCH_ROWS, prepare
 from strataloom.session import checkpoint_dir
 
 
@@ -23,7 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that score 0.7 or more; the model learns from the labels that are not held out."""
-    prepare(spark)
+    prepare(spark, TEXT_BATCH_ROWS)
     return toxicity.without_toxic(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..operators.clusters import connected_labels
-from .common import ROW_KEY, keyed, maybe_broadcast, stored
+from .common import ROW_KEY, TEXT_BATCH_ROWS, keyed, maybe_broadcast, prepare, stored
 from .wordhash import mix64, shingle_sets, text_slices, word_hashes
 
 THRESHOLD, SHINGLE, TREES, LONGEST, RECALL = 0.8, 5, 24, 8, 0.99999
@@ -226,6 +226,7 @@ def similar_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
     Texts of fewer words have one shingle of all of them. NULL and empty texts have no shingles:
     no links, a class of their own with their own id. NULL ids sort last.
     """
+    prepare(docs.sparkSession, TEXT_BATCH_ROWS)
     rows = keyed(docs.select(id, text), id, text).select(*ROW_KEY, F.col(id).isNull().alias("none"), text)
     kind = rows.schema[ROW_KEY[0]].dataType.simpleString()
     signed = stored(rows.mapInArrow(_signer(shingle, trees), (

@@ -14,7 +14,7 @@ _IS_WORD[48:58] = _IS_WORD[97:123] = _IS_WORD[128:] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[int, np.ndarray] = {}
 #: Bytes of text hashed at a time.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def mix64(h: np.ndarray) -> np.ndarray:

@@ -7,6 +7,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -52,6 +53,13 @@ def near_copies(rng, n_sources, copies):
     return texts
 
 
+def test_jaccard_join_hands_few_texts_to_python_at_once(spark):
+    jaccard_join.similar_classes(documents(spark, [(1, "a b c")]))
+    rows = spark.range(5000, numPartitions=1).mapInArrow(
+        lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n bigint")
+    assert max(r["n"] for r in rows.collect()) <= 1000
+
+
 def test_jaccard_join_equals_brute_force(spark):
     texts = near_copies(random.Random(4), 12, 12) + AWKWARD + [(950, "ONE"), (951, "one!"), (952, "a b c d e"), (953, "A b c d e")]
     docs = documents(spark, texts)
