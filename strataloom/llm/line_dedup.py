@@ -14,7 +14,7 @@ BUCKETS = 1 << 18
 #: Lines (about 40 bytes each) up to which a set of them is broadcast; larger sets are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Parts in which the token space is worked off.
-PASSES = 8
+PASSES = 4
 LINE = [*ROW_KEY, "line"]
 
 
@@ -23,6 +23,10 @@ def line_tokens(line: Column) -> Column:
     return F.array_distinct(F.array_remove(F.split(F.lower(line), APART), ""))
 
 
+def _bucket(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
 def rarity_table(docs: DataFrame, text: str) -> DataFrame:
     """One row, ``__levels``: the level of each bucket of token hashes: how often its tokens occur in all texts, on a log scale.
 
@@ -30,7 +34,7 @@ def rarity_table(docs: DataFrame, text: str) -> DataFrame:
     exact results, a good one gives short lists.
     """
     counts = docs.select(F.explode(F.split(F.lower(F.col(text)), APART)).alias("t")).groupBy(
-        F.pmod(F.xxhash64("t"), F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("n"))
+        _bucket(F.xxhash64("t")).alias("b")).agg(F.count("*").alias("n"))
     level = F.coalesce(F.least(F.lit(127), F.floor(F.log2("n") * 4)).cast("int"), F.lit(0))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(counts, "b", "left").select("b", level.alias("l"))
     # BUCKETS numbers, one byte each
@@ -39,9 +43,10 @@ def rarity_table(docs: DataFrame, text: str) -> DataFrame:
 
 def _ordered(line: Column, levels: Column) -> Column:
     """The token set of a line as numbers, rarest first: level in the upper byte, hash below it."""
-    number = lambda h: F.shiftleft(F.get(levels, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
-    tokens = F.array_remove(F.split(F.lower(line), APART), "")
-    return F.sort_array(F.array_distinct(F.transform(tokens, lambda t: number(F.xxhash64(t)))))
+    # every token is hashed once, though its number takes the hash twice; empty ones go by their hash
+    hashes = F.array_remove(F.transform(F.split(F.lower(line), APART), lambda t: F.xxhash64(t)), F.xxhash64(F.lit("")))
+    return F.sort_array(F.array_distinct(let(levels, lambda found: F.transform(hashes, lambda h: F.shiftleft(
+        F.get(found, _bucket(h)).cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))))
 
 
 def _lines(docs: DataFrame, text: str) -> DataFrame:
@@ -54,9 +59,10 @@ def _place(of: str = "") -> Column:
 
 def _bitmap(tokens: Column, half: int) -> Column:
     """Half of 128 bits, one set for each token: two sets differ in at least as many tokens as their bitmaps in bits."""
-    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 40).bitwiseAND(F.lit(63)).cast("int"))
-    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda m, h: F.when(
-        F.shiftrightunsigned(h, 46).bitwiseAND(F.lit(1)) == half, m.bitwiseOR(bit(h))).otherwise(m))
+    # bit 46 tells the half; a shift counts by the lowest six bits of its width
+    mine = lambda h: F.shiftrightunsigned(h if half else F.bitwise_not(h), 46).bitwiseAND(F.lit(1).cast("bigint"))
+    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda m, h: m.bitwiseOR(
+        F.call_function("shiftleft", mine(h), F.shiftrightunsigned(h, 40).cast("int"))))
 
 
 def _bits_off(a: str, b: str) -> Column:
@@ -71,19 +77,19 @@ def _able(a: str, b: str, threshold: float) -> Column:
             & (_bits_off(a, b) <= n + m - 2 * need))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, text: str, threshold: float) -> DataFrame:
-    """The distinct ``later`` places of the (later, earlier) pairs whose lines reach the threshold, compared token by token."""
-    places = stored(pairs.select("later").union(pairs.select("earlier")).distinct().select(F.col("later.*")))
-    n = places.count()
+def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, text: str, threshold: float) -> DataFrame:
+    """The distinct ``later`` ranks of the (later, earlier) pairs of sets whose lines reach the threshold, compared token by token."""
+    ranks = stored(pairs.select(F.col("later").alias("rank")).union(pairs.select("earlier")).distinct())
+    n = ranks.count()
+    places = stored(sets.select("rank", "first").join(maybe_broadcast(ranks, n, BROADCAST_ROWS), "rank", "left_semi").select("rank", "first.*"))
     some = docs.join(maybe_broadcast(places.select(*ROW_KEY).distinct(), n, BROADCAST_ROWS), ROW_KEY, "left_semi")
-    # rows repeated as a whole hold the same line at one place
-    lines = stored(_lines(some, text).join(maybe_broadcast(places, n, BROADCAST_ROWS), LINE, "left_semi").select(
-        _place().alias("place"), "content").dropDuplicates(["place"]))
-    both = pairs.join(lines.select(F.col("place").alias("later"), F.col("content").alias("x")), "later").join(
-        lines.select(F.col("place").alias("earlier"), F.col("content").alias("y")), "earlier")
-    likeness = let(line_tokens(F.col("x")), lambda x: let(line_tokens(F.col("y")), lambda y: let(
-        F.size(F.array_intersect(x, y)), lambda common: common / (F.size(x) + F.size(y) - common))))
-    return both.where(likeness >= threshold).select("later").distinct()
+    # rows repeated as a whole hold the same line at one place; a line is split once, however many it is compared with
+    lines = stored(_lines(some, text).join(maybe_broadcast(places, n, BROADCAST_ROWS), LINE).select(
+        "rank", "content").dropDuplicates(["rank"]).select("rank", line_tokens(F.col("content")).alias("words")))
+    both = pairs.join(lines.select(F.col("rank").alias("later"), F.col("words").alias("x")), "later").join(
+        lines.select(F.col("rank").alias("earlier"), F.col("words").alias("y")), "earlier")
+    both = both.select("later", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("common"))
+    return both.where(F.col("common") / (F.col("n") + F.col("m") - F.col("common")) >= threshold).select("later").distinct()
 
 
 def _in_passes(find, *lists: DataFrame) -> DataFrame:
@@ -107,43 +113,47 @@ def repeated_lines(docs: DataFrame, text: str, threshold: float = THRESHOLD, lea
     settles families of copies without pairing them all. Only lines not settled so go on to the
     join with all earlier ones.
     """
-    # one row of a fixed size beside every line
-    ordered = _lines(docs, text).join(F.broadcast(rarity_table(docs, text))).select(*LINE, _ordered(F.col("content"), F.col("__levels")).alias("tokens"))
+    # one row of a fixed size beside every document, copied with it
+    listed = docs.join(F.broadcast(rarity_table(docs, text))).select(*ROW_KEY, F.transform(
+        F.split(F.col(text), "\n", -1), lambda line: _ordered(line, F.col("__levels"))).alias("lines"))
+    ordered = listed.select(*ROW_KEY, F.posexplode("lines").alias("line", "tokens"))
     size = F.size("tokens")
     lines = stored(ordered.where(size >= least_tokens).select(
         *LINE, F.xxhash64("tokens").alias("set_a"), F.xxhash64(F.lit(7), "tokens").alias("set_b"), size.alias("n"), _bitmap(F.col("tokens"), 0).alias("low"), _bitmap(F.col("tokens"), 1).alias("high"),
         F.when(size >= (size + 1) * threshold - 1e-9, F.slice("tokens", F.lit(1), (size - F.ceil(size * threshold - 1e-9) + 1).cast("int"))).alias("prefix")))
     # equal sets: only the first line goes on, a line that fills a third of all rows costs one row a task
-    sets = stored(lines.groupBy("set_a", "set_b").agg(
-        F.min(_place()).alias("first"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("high").alias("high"), F.first("prefix").alias("prefix")))
-    listed = ["n", "at", "low", "high", *LINE]
-    unroll = lambda df: df.select("first.*", "n", "low", "high", "prefix", F.posexplode("prefix").alias("at", "token")).withColumn(
+    distinct = lines.groupBy("set_a", "set_b").agg(
+        F.min(_place()).alias("first"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("high").alias("high"), F.first("prefix").alias("prefix"))
+    # numbered in the order of their places, so that one number stands for a place
+    sets = stored(distinct.repartitionByRange("first").sortWithinPartitions("first").withColumn("rank", F.monotonically_increasing_id()))
+    listed = ["rank", "n", "at", "low", "high"]
+    unroll = lambda df: df.select("rank", "n", "low", "high", "prefix", F.posexplode("prefix").alias("at", "token")).withColumn(
         "before", F.coalesce(F.get("prefix", F.col("at") - 1), F.lit(0))).drop("prefix")
     lists = unroll(sets)
 
     def with_heads(part: DataFrame) -> DataFrame:
-        ranked = W.partitionBy("token").orderBy(*LINE)
+        ranked = W.partitionBy("token").orderBy("rank").rowsBetween(W.unboundedPreceding, W.currentRow)
         met = part.select("token", *listed, *[F.first(c).over(ranked).alias(f"head_{c}") for c in listed])
-        return met.where((_place("head_") < _place()) & _able("", "head_", threshold)).groupBy(_place().alias("later")).agg(
-            F.min(F.struct(_bits_off("", "head_").alias("off"), _place("head_").alias("earlier"))).alias("best"))
+        return met.where((F.col("head_rank") < F.col("rank")) & _able("", "head_", threshold)).groupBy(F.col("rank").alias("later")).agg(
+            F.min(F.struct(_bits_off("", "head_").alias("off"), F.col("head_rank").alias("earlier"))).alias("best"))
 
     # of the first lines at its tokens, a line is compared with the one whose bitmap is nearest
     heads = stored(_in_passes(with_heads, lists).groupBy("later").agg(F.min("best").alias("best")).select("later", "best.earlier"))
-    settled = stored(_verified(heads, docs, text, threshold))
+    settled = stored(_verified(heads, sets, docs, text, threshold))
     # of the rest, each line looks at all earlier ones that share a token of its list
-    done = maybe_broadcast(settled.withColumnRenamed("later", "first"), settled.count(), BROADCAST_ROWS)
-    open_ = unroll(sets.join(done, "first", "left_anti"))
+    done = maybe_broadcast(settled.withColumnRenamed("later", "rank"), settled.count(), BROADCAST_ROWS)
+    open_ = unroll(sets.join(done, "rank", "left_anti"))
 
     def with_all(mine: DataFrame, part: DataFrame) -> DataFrame:
         probe = mine.join(part.select("token", *[F.col(c).alias(f"e_{c}") for c in (*listed, "before")]), "token")
         # lists that agree in the token before have met there, with more tokens left
         anew = (F.col("at") == 0) | (F.col("e_at") == 0) | (F.col("before") != F.col("e_before"))
-        return probe.where((_place("e_") < _place()) & anew & _able("", "e_", threshold)).select(
-            _place().alias("later"), _place("e_").alias("earlier")).distinct()
+        return probe.where((F.col("e_rank") < F.col("rank")) & _able("", "e_", threshold) & anew).select(
+            F.col("rank").alias("later"), F.col("e_rank").alias("earlier")).distinct()
 
     pairs = stored(_in_passes(with_all, open_, lists).distinct())
-    late = settled.union(_verified(pairs, docs, text, threshold)).withColumn("late", F.lit(True))
-    judged = sets.select("set_a", "set_b", "first").join(late.withColumnRenamed("later", "first"), "first", "left")
+    late = settled.union(_verified(pairs, sets, docs, text, threshold)).select(F.col("later").alias("rank"), F.lit(True).alias("late"))
+    judged = sets.select("set_a", "set_b", "first", "rank").join(late, "rank", "left")
     return lines.select(*LINE, "set_a", "set_b").join(judged, ["set_a", "set_b"]).where(
         F.coalesce("late", F.lit(False)) | (F.col("first") < _place())).select(*LINE).distinct()
 

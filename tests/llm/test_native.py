@@ -93,6 +93,11 @@ def test_line_dedup_equals_brute_force(spark):
         assert (got[i]["text"], got[i]["n_lines"], got[i]["n_removed"]) == ("\n".join(kept), text.count("\n") + 1, text.count("\n") + 1 - len(kept))
 
 
+def test_line_tokens_are_hashed_once(spark):
+    # the other hash is the constant of the empty token
+    assert len(re.findall(r"xxhash64\((?!')", str(line_dedup._ordered(F.col("line"), F.col("levels"))))) == 1
+
+
 def test_op8_and_stage_compare_short_lines(spark, tmp_path):
     rng = random.Random(3)
     texts = [(i, "\n".join(prose(rng, rng.randrange(1, 9), 7) for _ in range(rng.randrange(1, 6)))) for i in range(40)]
