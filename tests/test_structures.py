@@ -381,6 +381,25 @@ def test_assembly_expansion(spark):
     assert sampling.chain_examples(copies, ["k", "chain", "copy"]).where("example = 'x1'").select("letter").distinct().count() == 4
 
 
+def test_tiles_reach_python_a_few_at_once(spark, monkeypatch):
+    pack, seen = P._pack, spark.sparkContext.accumulator(0)
+
+    def counted(k, eps):
+        def each(batches):
+            for pdf in batches:
+                seen.add(1)
+                yield from pack(k, eps)([pdf])
+        return each
+
+    monkeypatch.setattr(P, "_pack", counted)
+    monkeypatch.setattr(P, "BATCH_BYTES", "64k", raising=False)
+    points = spark.range(40_000).select(F.lit(1).alias("g"), "id", F.array(F.col("id") * 1.0, F.lit(0.0), F.lit(0.0)).alias("v"))
+    tiles = P.make_tiles(points, ["g"], "id", "v", tile_rows=256)
+    assert tiles.agg(F.sum("n")).first()[0] == 40_000
+    # 157 tiles of about 10 kB
+    assert seen.value >= 20
+
+
 def test_edge_features_and_frames(spark):
     rng = np.random.default_rng(2)
     ca = np.cumsum(rng.normal(size=(12, 3)) * 0.2 + [3.75, 0, 0], axis=0)
