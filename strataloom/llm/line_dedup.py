@@ -14,7 +14,7 @@ BUCKETS = 1 << 18
 #: Lines (about 40 bytes each) up to which a set of them is broadcast; larger sets are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Parts in which the token space is worked off.
-PASSES = 4
+PASSES = 2
 LINE = [*ROW_KEY, "line"]
 
 
@@ -27,26 +27,50 @@ def _bucket(h: Column) -> Column:
     return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
-def rarity_table(docs: DataFrame, text: str) -> DataFrame:
-    """One row, ``__levels``: the level of each bucket of token hashes: how often its tokens occur in all texts, on a log scale.
+def token_table(docs: DataFrame, text: str) -> DataFrame:
+    """A row for each line: what its token set is known by, its size and bitmap, and ``tokens``, 31-bit numbers of its tokens.
+
+    Every line is split and hashed here, once. Sets are told apart by 128 bits over 64-bit hashes; tokens that share a
+    31-bit number only meet more often, as pairs are verified on the lines themselves.
+    """
+    # after the lines are exploded, so that arrays of numbers are made distinct and sorted by generated code
+    lines = _lines(docs, text).select(*LINE, _ordered(F.col("content")).alias("hashes"))
+    numbers = lines.select(*LINE, "hashes", _numbers(F.col("hashes")).alias("tokens"))
+    return stored(numbers.select(
+        *LINE, F.xxhash64("hashes").alias("set_a"), F.xxhash64(F.lit(7), "hashes").alias("set_b"), F.size("tokens").alias("n"),
+        _bitmap(F.col("tokens"), 0).alias("low"), _bitmap(F.col("tokens"), 1).alias("high"), "tokens"))
+
+
+def rarity_table(lines: DataFrame) -> DataFrame:
+    """One row, ``__levels``: the level of each bucket of token numbers: how many lines hold its tokens, on a log scale.
 
     Tokens that share a bucket share a level, which only makes the order coarser: any order gives
     exact results, a good one gives short lists.
     """
-    counts = docs.select(F.explode(F.split(F.lower(F.col(text)), APART)).alias("t")).groupBy(
-        _bucket(F.xxhash64("t")).alias("b")).agg(F.count("*").alias("n"))
+    counts = lines.select(F.explode("tokens").alias("t")).groupBy(_bucket(F.col("t")).alias("b")).agg(F.count("*").alias("n"))
     level = F.coalesce(F.least(F.lit(127), F.floor(F.log2("n") * 4)).cast("int"), F.lit(0))
-    every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(counts, "b", "left").select("b", level.alias("l"))
+    every = lines.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(counts, "b", "left").select("b", level.alias("l"))
     # BUCKETS numbers, one byte each
     return stored(every.agg(F.transform(F.array_sort(F.collect_list(F.struct("b", "l"))), lambda x: x["l"].cast("tinyint")).alias("__levels")))
 
 
-def _ordered(line: Column, levels: Column) -> Column:
-    """The token set of a line as numbers, rarest first: level in the upper byte, hash below it."""
-    # every token is hashed once, though its number takes the hash twice; empty ones go by their hash
+def _ordered(line: Column, levels: Column | None = None) -> Column:
+    """The token set of a line as sorted 64-bit hashes; with ``levels`` as numbers, rarest first."""
+    # every token is hashed once; empty ones go by their hash
     hashes = F.array_remove(F.transform(F.split(F.lower(line), APART), lambda t: F.xxhash64(t)), F.xxhash64(F.lit("")))
-    return F.sort_array(F.array_distinct(let(levels, lambda found: F.transform(hashes, lambda h: F.shiftleft(
-        F.get(found, _bucket(h)).cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))))
+    found = F.sort_array(F.array_distinct(hashes))
+    return found if levels is None else _rarest_first(_numbers(found), levels)
+
+
+def _numbers(hashes: Column) -> Column:
+    return F.transform(hashes, lambda h: h.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+
+
+def _rarest_first(tokens: Column, levels: Column) -> Column:
+    """Token numbers in order: level in the upper byte, number below it."""
+    # none can be NULL, so that they are sorted as numbers, not as objects
+    return F.sort_array(let(levels, lambda found: F.transform(tokens, lambda t: F.shiftleft(
+        F.coalesce(F.get(found, _bucket(t)).cast("bigint"), F.lit(0).cast("bigint")), 56).bitwiseOR(t.cast("bigint")))))
 
 
 def _lines(docs: DataFrame, text: str) -> DataFrame:
@@ -58,11 +82,10 @@ def _place(of: str = "") -> Column:
 
 
 def _bitmap(tokens: Column, half: int) -> Column:
-    """Half of 128 bits, one set for each token: two sets differ in at least as many tokens as their bitmaps in bits."""
-    # bit 46 tells the half; a shift counts by the lowest six bits of its width
-    mine = lambda h: F.shiftrightunsigned(h if half else F.bitwise_not(h), 46).bitwiseAND(F.lit(1).cast("bigint"))
-    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda m, h: m.bitwiseOR(
-        F.call_function("shiftleft", mine(h), F.shiftrightunsigned(h, 40).cast("int"))))
+    """Half of 128 bits, each token turns one over: two sets differ in at least as many tokens as their bitmaps in bits."""
+    # bit 6 tells the half; a shift counts by the lowest six bits of its width
+    mine = lambda t: F.shiftrightunsigned(t if half else F.bitwise_not(t), 6).bitwiseAND(F.lit(1)).cast("bigint")
+    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda m, t: m.bitwiseXOR(F.call_function("shiftleft", mine(t), t)))
 
 
 def _bits_off(a: str, b: str) -> Column:
@@ -92,10 +115,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, text: str, thr
     return both.where(F.col("common") / (F.col("n") + F.col("m") - F.col("common")) >= threshold).select("later").distinct()
 
 
-def _in_passes(find, *lists: DataFrame) -> DataFrame:
+def _in_passes(find, lists: DataFrame) -> DataFrame:
     """What ``find`` makes of the lists, one part of the token space after the other, which bounds
     the shuffle files on disk at one time."""
-    parts = [stored(find(*[x.where(F.pmod("token", F.lit(PASSES)) == k) for x in lists])) for k in range(PASSES)]
+    parts = [stored(find(lists.where(F.pmod("token", F.lit(PASSES)) == k))) for k in range(PASSES)]
     out = parts[0]
     for part in parts[1:]:
         out = out.union(part)
@@ -113,21 +136,22 @@ def repeated_lines(docs: DataFrame, text: str, threshold: float = THRESHOLD, lea
     settles families of copies without pairing them all. Only lines not settled so go on to the
     join with all earlier ones.
     """
-    # one row of a fixed size beside every document, copied with it
-    listed = docs.join(F.broadcast(rarity_table(docs, text))).select(*ROW_KEY, F.transform(
-        F.split(F.col(text), "\n", -1), lambda line: _ordered(line, F.col("__levels"))).alias("lines"))
-    ordered = listed.select(*ROW_KEY, F.posexplode("lines").alias("line", "tokens"))
-    size = F.size("tokens")
-    lines = stored(ordered.where(size >= least_tokens).select(
-        *LINE, F.xxhash64("tokens").alias("set_a"), F.xxhash64(F.lit(7), "tokens").alias("set_b"), size.alias("n"), _bitmap(F.col("tokens"), 0).alias("low"), _bitmap(F.col("tokens"), 1).alias("high"),
-        F.when(size >= (size + 1) * threshold - 1e-9, F.slice("tokens", F.lit(1), (size - F.ceil(size * threshold - 1e-9) + 1).cast("int"))).alias("prefix")))
+    every = token_table(docs, text)
+    lines = every.where(F.col("n") >= least_tokens)
+    size = F.col("n")
+    # one value of a fixed size, not a row beside every line
+    ordered = lines.withColumn("__levels", rarity_table(every).scalar()).select(
+        *LINE, "set_a", "set_b", "n", "low", "high", _rarest_first(F.col("tokens"), F.col("__levels")).alias("ordered"))
+    prefixed = ordered.select(*LINE, "set_a", "set_b", "n", "low", "high", F.when(size >= (size + 1) * threshold - 1e-9, F.slice(
+        "ordered", F.lit(1), (size - F.ceil(size * threshold - 1e-9) + 1).cast("int"))).alias("prefix"))
     # equal sets: only the first line goes on, a line that fills a third of all rows costs one row a task
-    distinct = lines.groupBy("set_a", "set_b").agg(
-        F.min(_place()).alias("first"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("high").alias("high"), F.first("prefix").alias("prefix"))
+    distinct = prefixed.groupBy("set_a", "set_b").agg(
+        F.min(_place()).alias("first"), (F.count("*") > 1).alias("many"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("high").alias("high"), F.first("prefix").alias("prefix"))
     # numbered in the order of their places, so that one number stands for a place
-    sets = stored(distinct.repartitionByRange("first").sortWithinPartitions("first").withColumn("rank", F.monotonically_increasing_id()))
+    place = [F.col(f"first.{c}") for c in LINE]
+    sets = stored(distinct.repartitionByRange(*place).sortWithinPartitions(*place).withColumn("rank", F.monotonically_increasing_id()))
     listed = ["rank", "n", "at", "low", "high"]
-    unroll = lambda df: df.select("rank", "n", "low", "high", "prefix", F.posexplode("prefix").alias("at", "token")).withColumn(
+    unroll = lambda df, *more: df.select("rank", "n", "low", "high", *more, "prefix", F.posexplode("prefix").alias("at", "token")).withColumn(
         "before", F.coalesce(F.get("prefix", F.col("at") - 1), F.lit(0))).drop("prefix")
     lists = unroll(sets)
 
@@ -141,21 +165,25 @@ def repeated_lines(docs: DataFrame, text: str, threshold: float = THRESHOLD, lea
     heads = stored(_in_passes(with_heads, lists).groupBy("later").agg(F.min("best").alias("best")).select("later", "best.earlier"))
     settled = stored(_verified(heads, sets, docs, text, threshold))
     # of the rest, each line looks at all earlier ones that share a token of its list
-    done = maybe_broadcast(settled.withColumnRenamed("later", "rank"), settled.count(), BROADCAST_ROWS)
-    open_ = unroll(sets.join(done, "rank", "left_anti"))
+    done = maybe_broadcast(settled.select(F.col("later").alias("rank"), F.lit(True).alias("done")), settled.count(), BROADCAST_ROWS)
+    marked = sets.join(done, "rank", "left").withColumn("open", F.col("done").isNull())
 
-    def with_all(mine: DataFrame, part: DataFrame) -> DataFrame:
-        probe = mine.join(part.select("token", *[F.col(c).alias(f"e_{c}") for c in (*listed, "before")]), "token")
+    def with_all(part: DataFrame) -> DataFrame:
+        mine, other = part.alias("l"), part.alias("e")
         # lists that agree in the token before have met there, with more tokens left
-        anew = (F.col("at") == 0) | (F.col("e_at") == 0) | (F.col("before") != F.col("e_before"))
-        return probe.where((F.col("e_rank") < F.col("rank")) & _able("", "e_", threshold) & anew).select(
-            F.col("rank").alias("later"), F.col("e_rank").alias("earlier")).distinct()
-
-    pairs = stored(_in_passes(with_all, open_, lists).distinct())
-    late = settled.union(_verified(pairs, sets, docs, text, threshold)).select(F.col("later").alias("rank"), F.lit(True).alias("late"))
-    judged = sets.select("set_a", "set_b", "first", "rank").join(late, "rank", "left")
-    return lines.select(*LINE, "set_a", "set_b").join(judged, ["set_a", "set_b"]).where(
-        F.coalesce("late", F.lit(False)) | (F.col("first") < _place())).select(*LINE).distinct()
+        anew = (F.col("l.at") == 0) | (F.col("e.at") == 0) | (F.col("l.before") != F.col("e.before"))
+        # both sides use the same columns, and no condition is of one side alone, so that both read one shuffle
+        open_ = F.col("l.open") | (F.col("e.open") & (F.col("e.rank") >= F.col("l.rank")))
+        return mine.join(other, (F.col("l.token") == F.col("e.token")) & (F.col("e.rank") < F.col("l.rank")) & open_ & anew & _able("l.", "e.", threshold)).select(
+            F.col("l.rank").alias("later"), F.col("e.rank").alias("earlier")).distinct()
+
+    pairs = stored(_in_passes(with_all, unroll(marked, "open")).distinct())
+    late = settled.union(stored(_verified(pairs, sets, docs, text, threshold))).select(F.col("later").alias("rank"), F.lit(True).alias("late"))
+    # a set of one line that matches no earlier one says nothing
+    judged = stored(sets.select("set_a", "set_b", "first", "many", "rank").join(maybe_broadcast(late, late.count(), BROADCAST_ROWS), "rank", "left").where(
+        F.col("many") | F.col("late")).select("set_a", "set_b", "first", F.coalesce("late", F.lit(False)).alias("late")))
+    return lines.select(*LINE, "set_a", "set_b").join(maybe_broadcast(judged, judged.count(), BROADCAST_ROWS), ["set_a", "set_b"]).where(
+        F.col("late") | (F.col("first") < _place())).select(*LINE).distinct()
 
 
 def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,

@@ -98,6 +98,23 @@ def test_line_tokens_are_hashed_once(spark):
     assert len(re.findall(r"xxhash64\((?!')", str(line_dedup._ordered(F.col("line"), F.col("levels"))))) == 1
 
 
+def test_lines_are_split_once_and_long_ones_told_apart(spark, monkeypatch):
+    words = lambda start: " ".join(f"w{i}" for i in range(start, start + 300))
+    docs = documents(spark, [(0, words(0)), (1, words(300)), (2, words(3))])
+    rows = {r["__row_id"]: r for r in line_dedup.token_table(line_dedup.keyed(docs, "doc_id", "text"), "text").collect()}
+    bits = lambda a, b: sum(bin((rows[a][c] ^ rows[b][c]) & (2**64 - 1)).count("1") for c in ("low", "high"))
+    # at most as many bits as tokens differ; sets of 300 tokens without a common one do not look alike
+    assert bits(0, 2) <= 6 and bits(0, 1) > 30 and [rows[i]["n"] for i in range(3)] == [300] * 3
+    ordered = spark.createDataFrame([([1, 2],)], "tokens array<int>").select(line_dedup._rarest_first(
+        F.col("tokens"), F.array(F.lit(5).cast("tinyint"), F.lit(3).cast("tinyint"))).alias("o"))
+    assert sorted(x & 0xFFFFFFFF for x in ordered.first()["o"]) == [1, 2]
+    # the search splits every line in one place, the rarity of its tokens is counted on their numbers
+    calls, split = [], line_dedup._ordered
+    monkeypatch.setattr(line_dedup, "_ordered", lambda *a: calls.append(a) or split(*a))
+    assert {r["doc_id"]: r["n_removed"] for r in line_dedup.dedup_lines(docs).collect()} == {0: 0, 1: 0, 2: 1}
+    assert len(calls) == 1 and len(calls[0]) == 1
+
+
 def test_op8_and_stage_compare_short_lines(spark, tmp_path):
     rng = random.Random(3)
     texts = [(i, "\n".join(prose(rng, rng.randrange(1, 9), 7) for _ in range(rng.randrange(1, 6)))) for i in range(40)]
