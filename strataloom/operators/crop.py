@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.text import window_start
 from ..session import checkpointed
+from .scale import GROUP_ROWS, join_groups, row_numbers
+from .select import spatial_rank, target_member
 
 BLOCK = 2048
 
@@ -55,42 +59,71 @@ def budget_crop(
     chains = checkpointed(chains.select(
         "entry", "chain", "length", "is_target", "spatial_rank", "center", *(["resolved_mask"] if gated else [])))
     target = chains.where("is_target").select("entry", F.col("chain").alias("target"), F.col("length").alias("target_length"))
-    too_long = target.where(F.col("target_length") > budget)
-    skipped = too_long.withColumn("reason", F.lit("target_too_long_for_complete_crop"))
-    fits = target.where(F.col("target_length") <= budget)
-    state = fits.select("entry", (F.lit(budget) - F.col("target_length")).cast("bigint").alias("remaining"), F.lit(1).cast("bigint").alias("kept"))
+    skipped = target.where(F.col("target_length") > budget).withColumn("reason", F.lit("target_too_long_for_complete_crop"))
     # one mark per residue: a window counts its marks, and only windows that are tried are counted
     marks = F.array_join(F.transform("resolved_mask", lambda x: F.when(x, "1").otherwise("0")), "") if gated else F.lit(None).cast("string")
-    context = chains.where("not is_target").withColumn(
-        "__block", F.floor((F.col("spatial_rank") - 1) / block).cast("int"))
+    # the target goes with the first block
+    context = chains.withColumn("__block", F.when(F.col("is_target"), 0).otherwise(F.floor((F.col("spatial_rank") - 1) / block)).cast("int"))
     context = context.select(
-        "entry", "chain", F.col("length").cast("bigint").alias("length"), F.col("center").cast("bigint").alias("center"),
+        "entry", "chain", "is_target", F.col("length").cast("bigint").alias("length"), F.col("center").cast("bigint").alias("center"),
         F.col("spatial_rank").cast("bigint").alias("spatial_rank"), marks.alias("marks"), "__block")
-    blocks = context.agg(F.max("__block")).first()[0]
+    blocks = context.agg(F.max("__block")).first()[0] or 0
     chain_type = chains.schema["chain"].dataType.simpleString()
     pick_type = f"struct<chain:{chain_type},spatial_rank:bigint,start:bigint,end:bigint,kind:string>"
-    crops = fits.select(
-        "entry", F.col("target").alias("chain"), F.lit(0).cast("bigint").alias("spatial_rank"),
-        F.lit(0).cast("bigint").alias("start"), F.col("target_length").cast("bigint").alias("end"),
-        F.lit("full_target").alias("kind"))
-    for at in range(0 if blocks is None else blocks + 1):
+    # at most ``block`` rows each
+    rows = F.array_sort(F.collect_list(F.when(~F.col("is_target"), F.struct("spatial_rank", "chain", "length", "center", "marks")))).alias("rows")
+    walk = lambda remaining, kept: _walk(
+        F.col("rows"), remaining, kept, min_length, max_chains, min_resolved, min_coverage, pick_type).alias("end")
+    # one grouping by entry brings the target and its nearest chains together
+    begun = context.where(F.col("__block") == 0).groupBy("entry").agg(
+        rows, F.min(F.when(F.col("is_target"), F.struct("length", "chain"))).alias("target")).where(F.col("target.length") <= budget)
+    full = F.struct(F.col("target.chain").alias("chain"), F.lit(0).cast("bigint").alias("spatial_rank"), F.lit(0).cast("bigint").alias("start"),
+                    F.col("target.length").alias("end"), F.lit("full_target").alias("kind"))
+    walked = begun.select("entry", F.array(full).cast(f"array<{pick_type}>").alias("full"), walk(
+        F.lit(budget).cast("bigint") - F.col("target.length"), F.lit(1).cast("bigint")))
+    if blocks:
+        walked = checkpointed(walked)
+    crops = walked.select("entry", F.explode(F.concat("full", "end.picks")).alias("p")).select("entry", "p.*")
+    for at in range(1, blocks + 1):
+        state = checkpointed(walked.select("entry", "end.remaining", "end.kept").where(
+            (F.col("remaining") >= min_length) & (F.col("kept") < max_chains)))
+        if state.isEmpty():
+            break
         part = context.where(F.col("__block") == at).join(state, "entry").groupBy("entry").agg(
-            F.array_sort(F.collect_list(F.struct("spatial_rank", "chain", "length", "center", "marks"))).alias("rows"),
-            F.first("remaining").alias("remaining"), F.first("kept").alias("kept"))  # at most ``block`` rows each
-        walked = part.select("entry", _walk(
-            F.col("rows"), F.col("remaining"), F.col("kept"), min_length, max_chains,
-            min_resolved, min_coverage, pick_type).alias("end"))
-        if blocks:
-            walked = checkpointed(walked)
+            rows, F.first("remaining").alias("remaining"), F.first("kept").alias("kept"))
+        walked = checkpointed(part.select("entry", walk(F.col("remaining"), F.col("kept"))))
         crops = crops.unionByName(walked.select("entry", F.explode("end.picks").alias("p")).select("entry", "p.*"))
-        if at < blocks:
-            state = checkpointed(walked.select("entry", "end.remaining", "end.kept").where(
-                (F.col("remaining") >= min_length) & (F.col("kept") < max_chains)))
-            if state.isEmpty():
-                break
     return crops, skipped
 
 
+def rank_chains(
+    chains: DataFrame, order: Sequence[str], score: str, distance: str, group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """``chains`` of entries with ``chain``, their number in ``order``, ``is_target``, the highest ``score`` and then the lowest
+    number, and ``spatial_rank``, by distance, NULL for the target.
+
+    Entries of at most ``group_rows`` rows, which are counted, are numbered and ranked behind one shuffle; larger ones
+    by distributed scans.
+    """
+    def plain(part: DataFrame) -> DataFrame:
+        entry = W.partitionBy("entry")
+        part = part.withColumn("chain", F.row_number().over(entry.orderBy(*order)).cast("bigint"))
+        part = part.withColumn("is_target", F.col("chain") == F.first("chain").over(entry.orderBy(-F.col(score), "chain")))
+        rank = F.row_number().over(W.partitionBy("entry", "is_target").orderBy(F.coalesce(F.col(distance), F.lit(float("inf"))), "chain"))
+        return part.withColumn("spatial_rank", F.when(~F.col("is_target"), rank.cast("bigint")))
+
+    large = chains.groupBy("entry").agg(F.count("*").alias("__n")).where(F.col("__n") > group_rows).select("entry")
+    large = checkpointed(large)
+    if large.isEmpty():
+        return plain(chains)
+    numbered = checkpointed(row_numbers(join_groups(chains, large, ["entry"], "left_semi"), order, "chain", ["entry"], group_rows))
+    target = target_member(numbered.select("entry", "chain", score), ["entry"], [score], "chain").select("entry", F.col("chain").alias("__target"))
+    marked = numbered.join(target, "entry").withColumn("is_target", F.col("chain") == F.col("__target")).drop("__target")
+    ranked = spatial_rank(marked.where("not is_target"), ["entry"], distance, "chain")
+    return plain(join_groups(chains, large, ["entry"], "left_anti")).unionByName(ranked).unionByName(
+        marked.where("is_target"), allowMissingColumns=True)
+
+
 def crop_residues(residues: DataFrame, crops: DataFrame, entry: str = "entry", chain: str = "chain", pos: str = "pos") -> DataFrame:
     """Residues inside the kept intervals, renumbered from 0, with their source position."""
     kept = crops.select(F.col("entry").alias(entry), F.col("chain").alias(chain), "start", "end")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.vector import rbf
 from ..operators import crop as K, greedy as G, pairs as P, select as S
-from ..session import checkpointed
 from .registry import query
 
 
@@ -267,17 +266,11 @@ w(entry, chain, rk, remaining, kept, start, stop, stopped) AS (
 SELECT entry, chain, rk AS spatial_rank, start AS crop_start, stop AS crop_end FROM w WHERE start IS NOT NULL""")
 def budget_crop(t):
     """Orders as entries, lines as chains; quantity is the length and price the distance."""
-    from ..operators.scale import row_numbers
     lines = t.lineitem.select(
         F.col("l_orderkey").alias("entry"), "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         F.col("l_quantity").cast("bigint").alias("length"))
-    lines = checkpointed(row_numbers(lines, ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], "chain", ["entry"]))
-    target = S.target_member(lines.select("entry", "chain", "length"), ["entry"], ["length"], "chain").select(
-        "entry", F.col("chain").alias("target"))
-    marked = lines.join(target, "entry").withColumn("is_target", F.col("chain") == F.col("target"))
-    context = S.spatial_rank(marked.where("not is_target"), ["entry"], "l_extendedprice", "chain")
-    chains = context.unionByName(marked.where("is_target"), allowMissingColumns=True).withColumn(
-        "center", F.floor(F.col("length") / 3))
+    ranked = K.rank_chains(lines, ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], "length", "l_extendedprice")
+    chains = ranked.withColumn("center", F.floor(F.col("length") / 3))
     crops, _ = K.budget_crop(chains, budget=80, max_chains=4, min_length=5)
     return crops.select("entry", "chain", "spatial_rank", F.col("start").alias("crop_start"), F.col("end").alias("crop_end"))
 

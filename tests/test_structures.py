@@ -195,6 +195,25 @@ def test_crop_skips_a_sparse_window_at_no_cost(spark):
     assert crops == {"A": (0, 70, "full_target"), "C": (0, 30, "full_context")}
 
 
+def test_crop_groups_entries_once(spark):
+    lines = [(e, k, (7 * e + 5 * k) % 11 + 5, None if k == 3 else float((3 * k + e) % 4)) for e in range(6) for k in range(1, 2 + 2 * e)]
+    rows = spark.createDataFrame(lines, "entry int, line int, length bigint, price double")
+    plain = K.rank_chains(rows, ["line"], "length", "price")
+    scanned = K.rank_chains(rows, ["line"], "length", "price", group_rows=3)
+    found = {tuple(r) for r in plain.collect()}
+    assert found == {tuple(r) for r in scanned.select(plain.columns).collect()} and len(found) == len(lines)
+    for e in range(6):
+        mine = [r for r in lines if r[0] == e]
+        target = min(mine, key=lambda r: (-r[2], r[1]))
+        context = sorted((r for r in mine if r is not target), key=lambda r: (float("inf") if r[3] is None else r[3], r[1]))
+        assert {(r["chain"], r["is_target"], r["spatial_rank"]) for r in plain.where(F.col("entry") == e).collect()} == {
+            (target[1], True, None)} | {(r[1], False, i + 1) for i, r in enumerate(context)}
+    crops, _ = K.budget_crop(plain.withColumn("center", F.floor(F.col("length") / 3)), 25, 4, 5)
+    # the target, its chains and the walk meet in one shuffle at most
+    assert crops._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 1
+    assert {r["entry"] for r in crops.where("kind = 'full_target'").collect()} == set(range(6))
+
+
 def test_alignment_identity():
     assert sequence_identity("ACDE", "ACXDE") == 0.8
     assert sequence_identity("", "A") == 0.0 and sequence_identity("AB", "AB") == 1.0
