@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions.text import rank_hash
 from ..session import checkpointed
 from .clusters import NotConverged
-from .scale import ordered_scan, row_numbers, with_group_agg
+from .scale import join_groups, row_numbers
 
 
 def greedy_unique(
@@ -27,32 +27,36 @@ def greedy_unique(
     Each round keeps the rows that come first for both their keys and drops the rows that share
     a key with them; the result equals the sequential walk. Copies of one key pair shrink to
     their first row before the rounds. ``rank`` must be total. ``within`` runs one walk per group.
+
+    The first row of a key is a minimum, reduced map-side, and rounds meet by semi and anti joins
+    only: the size that Spark expects of an inner join is the product of both sides and outlives a
+    checkpoint, so over a few rounds of such joins it grows to a number too long to compute.
     """
     a, b = keys
     pair = [*within, a, b]
     rest = [c for c in df.columns if c not in pair]
-    pool = (
+    first = checkpointed(
         df.groupBy(*pair)
         .agg(F.min_by(F.struct(*rest), F.struct(*rank)).alias("__row"), F.min(F.struct(*rank)).alias("__rank"))
     )
-    pool = checkpointed(pool)
+
+    def leaders(key: str, other: str) -> DataFrame:
+        least = pool.groupBy(*within, key).agg(F.min(F.struct("__rank", other)).alias("__least"))
+        return least.select(*within, key, F.col(f"__least.{other}").alias(other))
+
+    pool = first.select(*pair, "__rank")
     kept: DataFrame | None = None
     for _ in range(max_rounds):
-        scored = with_group_agg(pool, [*within, a], {"__first_a": ("min", "__rank")}, [b])
-        scored = with_group_agg(scored, [*within, b], {"__first_b": ("min", "__rank")}, [a])
-        scored = scored.withColumn(
-            "__win", (F.col("__rank") == F.col("__first_a")) & (F.col("__rank") == F.col("__first_b")))
-        scored = with_group_agg(scored, [*within, a], {"__out_a": ("max", "__win")}, [b])
-        scored = with_group_agg(scored, [*within, b], {"__out_b": ("max", "__win")}, [a])
-        scored = checkpointed(scored)
-        winners = scored.where("__win").select(*pool.columns)
+        winners = checkpointed(join_groups(leaders(a, b), leaders(b, a), pair, "left_semi"))
         kept = winners if kept is None else kept.unionByName(winners)
-        pool = scored.where("not __out_a and not __out_b").select(*pool.columns)
+        for key in keys:
+            pool = join_groups(pool, winners.select(*within, key), [*within, key], "left_anti")
+        pool = checkpointed(pool)
         if pool.isEmpty():
             break
     else:
         raise NotConverged(f"greedy selection did not settle in {max_rounds} rounds")
-    return kept.select(*pair, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*df.columns)
+    return join_groups(first, kept, pair, "left_semi").select(*pair, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
 def length_bins(low: int, high: int, count: int) -> list[tuple[str, int, int]]:
@@ -91,7 +95,7 @@ MAX_PICKS = 1000
 
 def stratified_pick(
     df: DataFrame, id: str, length: str, cluster: str, content: str,
-    bins: Sequence[tuple[str, int, int]], count: int, seed: int,
+    bins: Sequence[tuple[str, int, int]], count: int, seed: int, strict: bool = True,
 ) -> DataFrame:
     """``count`` records spread over length bins, no cluster or content twice.
 
@@ -99,7 +103,9 @@ def stratified_pick(
     with the fewest candidates up; open places are filled in hash order from all bins. At most
     ``MAX_PICKS`` records may be asked for. Each bin is one step that takes the first candidates,
     by a limited sort, whose cluster and content no earlier step used; only counts per bin reach
-    the driver.
+    the driver. A record outside all bins, or too few records, is an error; where not ``strict``,
+    records outside the bins fill open places too, without a label and numbered last, and what
+    can be picked is returned.
     """
     if not 1 <= count <= MAX_PICKS:
         raise ValueError(f"count must be between 1 and {MAX_PICKS}")
@@ -107,9 +113,9 @@ def stratified_pick(
     rows = checkpointed(
         df.select(id, length, cluster, content, rank_hash(seed, F.col(id), F.col(content)).alias("__hash"),
                   bin_label(F.col(length), bins).alias("length_bin")))
-    if not rows.where(F.col("length_bin").isNull()).isEmpty():
+    if strict and not rows.where(F.col("length_bin").isNull()).isEmpty():
         raise ValueError("a record lies outside all length bins")
-    firsts = checkpointed(greedy_unique(rows, rank, (cluster, content), within=["length_bin"]))
+    firsts = checkpointed(greedy_unique(rows.where(F.col("length_bin").isNotNull()), rank, (cluster, content), within=["length_bin"]))
     sizes = {r["length_bin"]: r["n"] for r in firsts.groupBy("length_bin").agg(F.count("*").alias("n")).collect()}
     base, extra = divmod(count, len(bins))
     quota = {label: base + (i < extra) for i, (label, _, _) in enumerate(bins)}
@@ -127,13 +133,19 @@ def stratified_pick(
             picks = checkpointed(picks.unionByName(served.select(picks.columns)))
     taken = picks.count()
     if taken < count:
-        more = greedy_unique(unused(rows), rank, (cluster, content)).orderBy(*rank).limit(count - taken)
+        left = unused(rows)
+        # the walk over all rows begins with the picks of the walk over the first of them, which mostly are enough
+        for part in (left.orderBy(*rank).limit(16 * count), left):
+            more = checkpointed(greedy_unique(part, rank, (cluster, content)).orderBy(*rank).limit(count - taken))
+            if more.count() == count - taken:
+                break
         picks = checkpointed(picks.unionByName(more.select(picks.columns)))
         taken = picks.count()
-    if taken < count:
+    if strict and taken < count:
         raise ValueError(f"only {taken} of {count} records can be picked")
     order = F.array_position(F.array(*[F.lit(label) for label, _, _ in bins]), F.col("length_bin"))
-    numbered = picks.select(F.format_string("record-%04d", F.row_number().over(W.orderBy(order, length, id))).alias("record_id"), id, "length_bin")
+    place = W.orderBy(*[c.asc_nulls_last() for c in (order, F.col(length), F.col(id))])
+    numbered = picks.select(F.format_string("record-%04d", F.row_number().over(place)).alias("record_id"), id, "length_bin")
     return df.join(F.broadcast(numbered), id)  # at most MAX_PICKS rows
 
 

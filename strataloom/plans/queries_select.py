@@ -196,8 +196,10 @@ SELECT 'record-' || lpad(rn::VARCHAR, 4, '0') AS record_id,
 
 @query("stratified_pick", PICK_SQL)
 def stratified_pick(t):
-    docs = t.documents.select("doc_id", "n_chars", F.floor(F.col("doc_id") / 2).alias("cluster"), F.sha2("text", 256).alias("content"))
-    return G.stratified_pick(docs, "doc_id", "n_chars", "cluster", "content", PICK_BINS, PICK_N, seed=13).select(
+    # a document without an id or a text has no key and is never picked
+    docs = t.documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
+        "doc_id", "n_chars", F.floor(F.col("doc_id") / 2).alias("cluster"), F.sha2("text", 256).alias("content"))
+    return G.stratified_pick(docs, "doc_id", "n_chars", "cluster", "content", PICK_BINS, PICK_N, seed=13, strict=False).select(
         "record_id", "length_bin", "doc_id", "n_chars")
 
 

@@ -56,5 +56,17 @@ def test_query(spark, duck, name):
     assert canonical(got) == canonical([[r[i] for i in order] for r in cursor.fetchall()])
 
 
+@pytest.mark.parametrize("rows", [200, 40])
+def test_stratified_pick_takes_documents_outside_the_bins_last(spark, tmp_path, rows):
+    con = duckdb.connect()
+    con.execute(f"""CREATE TABLE documents AS SELECT doc_id, CASE WHEN doc_id % 31 = 7 THEN NULL WHEN doc_id % 10 = 2 THEN '' ELSE text END AS text, lang, source,
+        CASE WHEN doc_id % 31 = 7 THEN NULL WHEN doc_id % 10 = 2 THEN 0 WHEN doc_id % 10 = 5 THEN n_chars + 200000 ELSE n_chars END AS n_chars
+        FROM '{FOLDER}/documents.parquet' WHERE doc_id < {rows}""")
+    con.execute(f"COPY documents TO '{tmp_path}/documents.parquet' (FORMAT parquet)")
+    got = QUERIES["stratified_pick"](spark, str(tmp_path)).select("record_id", "length_bin", "doc_id", "n_chars").collect()
+    want = con.execute(f"SELECT record_id, length_bin, doc_id, n_chars FROM ({ORACLES['stratified_pick']})").fetchall()
+    assert canonical(got) == canonical(want) and any(r["length_bin"] is None for r in got)
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).columns == ["split", "n_rows", "n_clusters", "content_leaks", "cluster_leaks"]

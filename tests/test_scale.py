@@ -94,6 +94,12 @@ def test_greedy_unique_equals_the_walk(spark):
         assert sorted(x["r"] for x in G.greedy_unique(df, [F.col("r")], ("a", "b")).collect()) == greedy(rows)
 
 
+def test_greedy_unique_settles_a_chain_of_many_rounds(spark):
+    # each row shares a key with the one before and the one after: every round settles one
+    df = spark.range(24).select(F.col("id").alias("r"), F.floor(F.col("id") / 2).alias("a"), F.floor((F.col("id") + 1) / 2).alias("b"))
+    assert sorted(x["r"] for x in G.greedy_unique(df, [F.col("r")], ("a", "b")).collect()) == list(range(0, 24, 2))
+
+
 def batches(sizes, budget):
     out, batch, filled = {}, 0, 0
     for size, i in sorted((s, i) for i, s in enumerate(sizes)):
